@@ -17,8 +17,17 @@ BATCH_INTERCEPT = -7.0
 BATCH_TERMS = {"tx_amount_log": 1.2, "score": 1.0, "cnt_last_24h": 0.15, "_gap_log": -0.03}
 
 
+SCHEMAS = {
+    "events": "event_id LONG, ts TIMESTAMP_NTZ, user_id LONG, event_type STRING, value DOUBLE, "
+    "props STRING",
+    "customer": "c_custkey LONG, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, "
+    "c_mktsegment STRING",
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return tune(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+    return tune(spark).read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def accounts(spark: SparkSession, sf_dir: str) -> DataFrame:

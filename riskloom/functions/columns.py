@@ -64,29 +64,34 @@ def uuid_from(*parts: Column | str) -> Column:
     return F.concat_ws("-", *[F.substring(digest, pos, n) for pos, n in cuts])
 
 
-def spline_basis(x: Column | str, low: float, high: float, n_splines: int = 8) -> list[Column]:
-    """Uniform cubic B-spline basis with edge knots ``low`` and ``high``.
+def spline_basis_sql(x: str, low: float, high: float, n_splines: int = 8) -> list[str]:
+    """Uniform cubic B-spline basis with edge knots ``low`` and ``high``, as SQL text.
 
     The columns sum to 1; outside the edge knots each continues as a straight line.
     """
     intervals = n_splines - 3
-    span = (high - low) or 1.0
-    u = (_col(x) - F.lit(low)) * F.lit(intervals / span)
-    edge = F.greatest(F.least(u, F.lit(float(intervals))), F.lit(0.0))
-    outside = u - edge
+    u = f"(({x} - {low!r}D) * {intervals / ((high - low) or 1.0)!r}D)"
+    edge = f"greatest(least({u}, {float(intervals)!r}D), 0.0D)"
     columns = []
     for j in range(n_splines):
-        t = edge - F.lit(float(j - 3))
+        t = f"({edge} - {float(j - 3)!r}D)"
         inside = (
-            F.when((t < 0) | (t >= 4), 0.0)
-            .when(t < 1, t * t * t / 6)
-            .when(t < 2, (-3 * t * t * t + 12 * t * t - 12 * t + 4) / 6)
-            .when(t < 3, (3 * t * t * t - 24 * t * t + 60 * t - 44) / 6)
-            .otherwise((4 - t) * (4 - t) * (4 - t) / 6)
+            f"CASE WHEN {t} < 0 OR {t} >= 4 THEN 0.0D"
+            f" WHEN {t} < 1 THEN {t}*{t}*{t}/6"
+            f" WHEN {t} < 2 THEN (-3*{t}*{t}*{t} + 12*{t}*{t} - 12*{t} + 4)/6"
+            f" WHEN {t} < 3 THEN (3*{t}*{t}*{t} - 24*{t}*{t} + 60*{t} - 44)/6"
+            f" ELSE (4 - {t})*(4 - {t})*(4 - {t})/6 END"
         )
         # slope of the basis at the edge knots: -1/2, 0, 1/2 on the three live columns
-        low_slope = {0: -0.5, 2: 0.5}.get(j, 0.0)
-        high_slope = {intervals: -0.5, intervals + 2: 0.5}.get(j, 0.0)
-        slope = F.when(outside < 0, low_slope).when(outside > 0, high_slope).otherwise(0.0)
-        columns.append(inside + slope * outside)
+        below = {0: -0.5, 2: 0.5}.get(j, 0.0)
+        above = {intervals: -0.5, intervals + 2: 0.5}.get(j, 0.0)
+        beyond = (
+            f"CASE WHEN {u} < 0 THEN {below}D * {u}"
+            f" WHEN {u} > {intervals} THEN {above}D * ({u} - {intervals}) ELSE 0.0D END"
+        )
+        columns.append(f"{inside} + {beyond}" if below or above else inside)
     return columns
+
+
+def spline_basis(x: str, low: float, high: float, n_splines: int = 8) -> list[Column]:
+    return [F.expr(text) for text in spline_basis_sql(x, low, high, n_splines)]

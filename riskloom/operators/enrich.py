@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskloom.operators.skew import BROADCAST_ROWS, HOT_ROWS, broadcast_if_small, split_hot
+from riskloom.operators.skew import BROADCAST_ROWS, HOT_ROWS, is_small, split_hot
 
 ACCOUNT_COLUMNS = ["init_balance", "country", "account_type", "tx_behavior_id"]
 BATCH_ACCOUNT_COLUMNS = ["init_balance", "country", "account_type"]
@@ -49,22 +49,24 @@ def join_accounts(
     if how not in ("left", "inner", "left_anti"):
         raise ValueError(f"unsupported join type {how!r}")
     wanted = [] if how == "left_anti" else list(columns)
-    side = accounts.select("account_id", "customer_id", *wanted)
-    if not fan_out and how != "left_anti":
-        side = first_account(side)
-    side = side.select("account_id", *wanted)
     if how == "left_anti":
-        side = side.distinct()
+        side = accounts.select("account_id")
+    elif fan_out:
+        side = accounts.select("account_id", *wanted)
+    else:
+        side = first_account(accounts.select("account_id", "customer_id", *wanted))
+        side = side.select("account_id", *wanted)
 
     def joined(rows: DataFrame, dimension: DataFrame) -> DataFrame:
         on = F.col(key) == F.col("account_id")
         return rows.join(dimension, on, how).select(*tx.columns, *wanted)
 
-    checked = broadcast_if_small(side, max_broadcast_rows)
-    if checked is not side or fan_out:
-        return joined(tx, checked)
+    if is_small(accounts, max_broadcast_rows):
+        return joined(tx, F.broadcast(side))
+    if fan_out:
+        return joined(tx, side)
     cold, hot, keys = split_hot(tx, key, hot_rows)
-    few = side.join(F.broadcast(keys), F.col("account_id") == F.col(key), "left_semi")
+    few = side.join(F.broadcast(keys), F.col("account_id") == F.col(key), "left_semi").distinct()
     return joined(cold, side).unionByName(joined(hot, F.broadcast(few)))
 
 

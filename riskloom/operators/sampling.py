@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskloom.functions import hash32, hash_fraction
@@ -47,36 +47,40 @@ def subsample(
     key: str = "tx_id",
     seed: int = GAM_SEED,
 ) -> DataFrame:
-    """All positives, and exactly enough negatives (lowest hashes) to reach ``max_rows``.
+    """All positives, and exactly enough negatives (lowest hashes) to reach ``max_rows``."""
+    return _take(df, F.col(label) == 1, F.col(label) == 0, max_rows, key, seed)
+
+
+def take_by_hash(df: DataFrame, n: int, key: str = "tx_id", seed: int = GAM_SEED) -> DataFrame:
+    """Exactly ``n`` rows (or all, if fewer), those with the lowest hashes."""
+    return _take(df, F.lit(False), F.lit(True), n, key, seed)
+
+
+def _take(
+    df: DataFrame, always: Column, eligible: Column, max_rows: int, key: str, seed: int
+) -> DataFrame:
+    """Rows of ``always``, and the first ``eligible`` ones until there are ``max_rows``.
 
     No global sort: a histogram of hash prefixes, at most 65,536 rows, shows which
     prefixes are taken whole and which single one is cut. Only that one is ranked, and
-    being a hash prefix it holds about 1/65,536 of the negatives.
+    being a hash prefix it holds about 1/65,536 of the rows.
     """
     keyed = df.withColumn("_h", hash32(key, seed)).withColumn("_b", F.shiftright("_h", 16))
     histogram = keyed.groupBy("_b").agg(
-        F.count_if(F.col(label) == 1).alias("_pos"), F.count_if(F.col(label) == 0).alias("_neg")
+        F.count_if(always).alias("_kept"), F.count_if(eligible).alias("_n")
     )
     everything = Window.orderBy("_b").rowsBetween(
         Window.unboundedPreceding, Window.unboundedFollowing
     )
     before = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    room = F.greatest(F.lit(max_rows) - F.sum("_pos").over(everything), F.lit(0))
-    quota = histogram.select(
-        "_b",
-        "_neg",
-        F.least(
-            F.col("_neg"),
-            F.greatest(room - F.coalesce(F.sum("_neg").over(before), F.lit(0)), F.lit(0)),
-        ).alias("_take"),
-    )
+    room = F.greatest(F.lit(max_rows) - F.sum("_kept").over(everything), F.lit(0))
+    left = F.greatest(room - F.coalesce(F.sum("_n").over(before), F.lit(0)), F.lit(0))
+    quota = histogram.select("_b", "_n", F.least(F.col("_n"), left).alias("_take"))
     rows = keyed.join(F.broadcast(quota), "_b")
-    whole = rows.filter((F.col(label) == 1) | (F.col("_take") == F.col("_neg")))
+    whole = rows.filter(always | (eligible & (F.col("_take") == F.col("_n"))))
     rank = F.row_number().over(Window.partitionBy("_b").orderBy("_h", key))
     cut = (
-        rows.filter(
-            (F.col(label) == 0) & (F.col("_take") > 0) & (F.col("_take") < F.col("_neg"))
-        )
+        rows.filter(eligible & (F.col("_take") > 0) & (F.col("_take") < F.col("_n")))
         .withColumn("_rank", rank)
         .filter(F.col("_rank") <= F.col("_take"))
     )

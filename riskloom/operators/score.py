@@ -67,9 +67,9 @@ def score_model(df: DataFrame, model, output: str = "score") -> DataFrame:
     """Score with a fitted Spark ML pipeline: the probability of class 1."""
     from pyspark.ml.functions import vector_to_array
 
-    added = ["rawPrediction", "probability", "prediction"]
-    scored = model.transform(df)
-    return scored.withColumn(output, vector_to_array("probability")[1]).drop(*added)
+    kept = [c for c in df.columns if c != output]
+    probability = vector_to_array("probability")[1].alias(output)
+    return model.transform(df).select(*kept, probability)
 
 
 def score_external(
@@ -91,8 +91,8 @@ def score_external(
 
 def decide_ge(df: DataFrame, threshold: float | Column | str, score: str = "score") -> DataFrame:
     """Speed decision: at or above the threshold. Adds ``is_fraud`` and ``threshold``."""
-    limit = F.lit(threshold) if isinstance(threshold, float) else threshold
-    out = df.withColumn("threshold", F.col(limit) if isinstance(limit, str) else limit)
+    limit = F.col(threshold) if isinstance(threshold, str) else threshold
+    out = df.withColumn("threshold", F.lit(limit))
     return out.withColumn("is_fraud", F.col(score) >= F.col("threshold"))
 
 

@@ -11,13 +11,13 @@ HOT_ROWS = 5_000_000
 BROADCAST_ROWS = 1_000_000
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast only when a count proves the side small.
+def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
+    """Whether a count proves the side small enough to broadcast.
 
-    Otherwise the join is left to Catalyst: a shuffle join whose hot keys the
-    adaptive skew-join rule splits. The count reads no columns from Parquet.
+    On a stored table the count reads file footers, no columns. A side that is not
+    small is joined by a shuffle, its hot keys apart.
     """
-    return F.broadcast(df) if df.count() <= max_rows else df
+    return df.count() <= max_rows
 
 
 def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame:

@@ -186,6 +186,11 @@ _BATCH_FACT = (
   (SELECT * REPLACE (fraud_probability > 0.5 AS is_fraud) FROM batched)"""
 )
 _FACT = _with(TX, SCORED) + f"SELECT tx_id, {FACT}, {ALERT_ID} FROM decided"
+_SPEED = (
+    _with(TX, ACCOUNTS, SCORED)
+    + """SELECT tx_id, round(score, 6) AS score, is_fraud
+FROM (SELECT d.* FROM decided d JOIN accounts ON sender_account_id = account_id)"""
+)
 _BEHAVIOUR = _with(TX, WINDOWS.format(source="tx"))
 _USABLE = (
     """
@@ -350,6 +355,8 @@ JOIN categories c ON l.feature = c.feature AND l.value = c.value""",
         "layer_compare": _with(TX, SCORED, BATCH)
         + """SELECT is_fraud AS is_fraud_speed, fraud_probability > 0.5 AS is_fraud_batch,
   count(*) AS n FROM batched GROUP BY 1, 2""",
+        "stream_score": _SPEED,
+        "backfill": _SPEED,
         "confusion": _metrics("tp, fp, fn, tn"),
         "class_metrics": _metrics(
             f"""round({safe.format(a='tp', b='tp+fp')}, 6) AS precision, round({recall}, 6) AS recall,

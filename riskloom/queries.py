@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 from riskloom import fixtures as fx
 from riskloom.operators import encode, enrich, evaluate, facts, sampling, score, validate, windows
 from riskloom.schemas import GAM_CATEGORICAL, SCORED_TX
+from riskloom.session import scratch_dir
+from riskloom.streaming import speed
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -449,3 +451,52 @@ def cost_threshold(spark, d):
 @query
 def f1_threshold(spark, d):
     return rounded(evaluate.f1_threshold(_judged(spark, d)), "threshold", "f1")
+
+
+# --- whole paths ---------------------------------------------------------
+
+
+def _speed_events(events):
+    """Events as they arrive on the wire: an id and JSON text."""
+    tx = fx.events_as_transactions(events)
+    return tx.select("tx_id", F.to_json(enrich.event_struct()).alias("value"))
+
+
+def _speed_scorer(df):
+    return score.score_linear(df, fx.SPEED_INTERCEPT, fx.SPEED_TERMS)
+
+
+@query
+def backfill(spark, d):
+    """The stream's decisions on the stored table."""
+    parsed = validate.parse_events(_speed_events(fx.table(spark, d, "events")))
+    decided = speed.decide_events(
+        parsed, fx.accounts(spark, d), _speed_scorer, fx.SPEED_THRESHOLD
+    )
+    out = decided.filter(F.col("reason").isNull())
+    return rounded(out.select("tx_id", "score", "is_fraud"), "score")
+
+
+@query
+def stream_score(spark, d):
+    """The same through the stream: file source, micro-batches, staged outputs."""
+    events = (
+        fx.tune(spark)
+        .readStream.schema(fx.SCHEMAS["events"])
+        .option("pathGlobFilter", "events.parquet")
+        .parquet(d)
+    )
+    work = scratch_dir(spark, "stream")
+    running = speed.run_speed_layer(
+        _speed_events(events),
+        lambda: fx.accounts(spark, d),
+        _speed_scorer,
+        fx.SPEED_THRESHOLD,
+        f"{work}/out",
+        f"{work}/checkpoint",
+        trigger={"availableNow": True},
+    )
+    running.awaitTermination()
+    staged = spark.read.parquet(f"{work}/out/speed_layer/staged")
+    out = staged.filter(F.col("outcome") == "scored")
+    return rounded(out.select("tx_id", "score", "is_fraud"), "score")

@@ -35,6 +35,8 @@ def local_session(app: str = "riskloom", cores: int = 8, memory: str = "8g") ->
         .config("spark.sql.shuffle.partitions", str(cores))
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        # call-site capture costs more than planning on small inputs
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for key, value in RUNTIME_CONF.items():
         builder = builder.config(key, value)
