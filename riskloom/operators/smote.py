@@ -45,14 +45,17 @@ def oversample(
     label: str = "label",
     features: str = "features",
     key: str = "tx_id",
+    weight: str | None = None,
     cell_rows: int = CELL_ROWS,
 ) -> DataFrame:
     """Originals plus synthetic positives until they are ``ratio`` of the negatives.
 
     Each synthetic vector lies between a positive and one of its ``k`` nearest
-    neighbours. Returns ``key, features, label, synthetic``; synthetic keys are NULL.
+    neighbours. Returns ``key, features, label, synthetic`` and ``weight`` if named;
+    synthetic rows have no key and weight 1.
     """
-    originals = df.select(key, features, label).withColumn("synthetic", F.lit(False))
+    weights = [weight] if weight else []
+    originals = df.select(key, features, label, *weights, F.lit(False).alias("synthetic"))
     sizes = {r[label]: r["n"] for r in df.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()}
     n_min, n_maj = sizes.get(1, 0), sizes.get(0, 0)
     wanted = int(ratio * n_maj) - n_min
@@ -79,6 +82,7 @@ def oversample(
         F.lit(None).cast(df.schema[key].dataType).alias(key),
         array_to_vector("x").alias(features),
         F.lit(1).cast(df.schema[label].dataType).alias(label),
+        *[F.lit(1.0).alias(w) for w in weights],
         F.lit(True).alias("synthetic"),
     )
     return originals.unionByName(synthetic)

@@ -13,7 +13,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom import fixtures as fx
-from riskloom.operators import encode, enrich, evaluate, facts, sampling, score, validate, windows
+from riskloom.operators import (
+    encode,
+    enrich,
+    evaluate,
+    facts,
+    sampling,
+    score,
+    smote,
+    validate,
+    windows,
+)
+from riskloom.plans import training
 from riskloom.schemas import GAM_CATEGORICAL, SCORED_TX
 from riskloom.session import scratch_dir
 from riskloom.streaming import speed
@@ -500,3 +511,41 @@ def stream_score(spark, d):
     staged = spark.read.parquet(f"{work}/out/speed_layer/staged")
     out = staged.filter(F.col("outcome") == "scored")
     return rounded(out.select("tx_id", "score", "is_fraud"), "score")
+
+
+# --- models: fitted on the whole tables; only rounds and draws are kept low ---
+
+
+@query
+def oversample(spark, d):
+    rows = fx.model_rows(spark, d)
+    assembled = encode.tree_pipeline().fit(rows).transform(rows)
+    out = smote.oversample(assembled.select("tx_id", "features", "label"))
+    return out.select("tx_id", "label", "synthetic")
+
+
+@query
+def gam_fit(spark, d):
+    return training.train_gam(
+        spark, fx.transactions(spark, d), fx.accounts(spark, d), scratch_dir(spark, "gam")
+    )
+
+
+@query
+def gbt_fit(spark, d):
+    usable, _ = training.tree_rows(
+        fx.predictions(spark, d).drop("label"),
+        fx.labelled_with_copies(spark, d),
+        fx.accounts(spark, d),
+    )
+    return training.train_trees(spark, usable, scratch_dir(spark, "trees"), rounds=10, depth=5)
+
+
+@query
+def hpo(spark, d):
+    rows = fx.model_rows(spark, d)
+    assembled = encode.tree_pipeline().fit(rows).transform(rows)
+    folder = scratch_dir(spark, "search")
+    assembled.select("tx_id", "features", "label").write.parquet(folder)
+    grid = {**training.SEARCH_GRID, "maxDepth": [3, 5]}
+    return training.search(spark.read.parquet(folder), draws=3, rounds=5, grid=grid)
