@@ -1,0 +1,124 @@
+"""Account joins and label matching."""
+
+import pytest
+from conftest import rows
+
+from riskloom.operators.enrich import first_account, join_accounts, match_label
+
+ACCOUNTS = (
+    "account_id int, customer_id string, init_balance double, country string, "
+    "account_type string, tx_behavior_id int"
+)
+TX = "tx_id long, sender_account_id int"
+
+
+@pytest.fixture
+def accounts(spark):
+    return spark.createDataFrame(
+        [
+            (1, "b", 10.0, "DE", "I", 1),
+            (1, "a", 20.0, "FR", "I", 2),
+            (2, "c", 30.0, "US", "B", 3),
+            (3, "d", 40.0, "US", "B", 4),
+        ],
+        ACCOUNTS,
+    )
+
+
+@pytest.fixture
+def tx(spark):
+    data = [(i, 1) for i in range(40)] + [(40, 2), (41, 9), (42, None)]
+    return spark.createDataFrame(data, TX)
+
+
+def test_first_customer_wins(accounts):
+    assert [(r["account_id"], r["customer_id"]) for r in rows(first_account(accounts))] == [
+        (1, "a"),
+        (2, "c"),
+        (3, "d"),
+    ]
+
+
+# broadcast; shuffle with account 1 hot; shuffle with nothing hot
+@pytest.mark.parametrize("options", [{}, {"max_broadcast_rows": 1, "hot_rows": 10}, {"max_broadcast_rows": 1}])
+class TestJoin:
+    def test_left_keeps_every_transaction(self, tx, accounts, options):
+        got = rows(join_accounts(tx, accounts, "left", **options), "tx_id")
+        assert [r["tx_id"] for r in got] == list(range(43))
+        assert got[0]["init_balance"] == 20.0 and got[40]["country"] == "US"
+        assert got[41]["init_balance"] is None and got[42]["country"] is None
+
+    def test_inner_and_anti_are_complements(self, tx, accounts, options):
+        inner = join_accounts(tx, accounts, "inner", **options)
+        anti = join_accounts(tx, accounts, "left_anti", **options)
+        assert sorted(r["tx_id"] for r in inner.collect()) == list(range(41))
+        assert sorted(r["tx_id"] for r in anti.collect()) == [41, 42]
+        assert anti.columns == tx.columns
+
+    def test_fan_out_on_request(self, tx, accounts, options):
+        assert join_accounts(tx, accounts, "inner", fan_out=True, **options).count() == 81
+
+
+def test_small_side_is_broadcast_and_large_side_is_not(tx, accounts):
+    def plan(df):
+        return df._jdf.queryExecution().optimizedPlan().toString()
+
+    assert "strategy=broadcast" in plan(join_accounts(tx, accounts))
+    large = plan(join_accounts(tx, accounts, max_broadcast_rows=1, hot_rows=10))
+    # only the key list and the hot accounts are broadcast, not the account table
+    assert "Union" in large
+
+
+def test_unknown_join_type(tx, accounts):
+    with pytest.raises(ValueError):
+        join_accounts(tx, accounts, "cross")
+
+
+KEYS = "sender_account_id int, receiver_account_id int, tx_type string, ts long, tx_amount double"
+
+
+def _predictions(spark, *amounts):
+    return spark.createDataFrame(
+        [(i, 0.5, 1, 2, "T", 100, a) for i, a in enumerate(amounts)], f"tx_id long, score double, {KEYS}"
+    )
+
+
+def _labelled(spark, *pairs):
+    return spark.createDataFrame(
+        [(1, 2, "T", 100, a, f) for a, f in pairs], f"{KEYS}, is_fraud boolean"
+    )
+
+
+def test_match_within_tolerance_only(spark):
+    predictions = _predictions(spark, 10.0, 10.0 + 9e-7, 10.0 - 9e-7, 10.00001)
+    out = match_label(predictions, _labelled(spark, (10.0, True)))
+    assert [r["tx_id"] for r in rows(out)] == [0, 1, 2]
+
+
+def test_match_over_cell_borders(spark):
+    """Pairs closer than the tolerance are found wherever the amount lies."""
+    amounts = [i * 1e-6 / 3 + base for base in (0.0, 99.99, 123456.78, 5e9) for i in range(12)]
+    predictions = _predictions(spark, *amounts)
+    labelled = _labelled(spark, *[(a + 4e-7, False) for a in amounts])
+    expected = sorted(
+        (i, j)
+        for i, a in enumerate(amounts)
+        for j, b in enumerate(a + 4e-7 for a in amounts)
+        if abs(a - b) < 1e-6
+    )
+    out = match_label(predictions, labelled, expand=True)
+    assert out.count() == len(expected)
+
+
+def test_copies_are_counted_not_paired(spark):
+    predictions = _predictions(spark, *[10.0] * 50)
+    labelled = _labelled(spark, *[(10.0, True)] * 70, *[(10.0, False)] * 5)
+    out = match_label(predictions, labelled)
+    assert out.count() == 100
+    assert {(r["tx_is_fraud"], r["n_matches"]) for r in out.collect()} == {(True, 70), (False, 5)}
+    assert match_label(predictions, labelled, expand=True).count() == 50 * 75
+
+
+def test_other_keys_must_be_equal(spark):
+    other = spark.createDataFrame([(1, 3, "T", 100, 10.0, True)], f"{KEYS}, is_fraud boolean")
+    assert match_label(_predictions(spark, 10.0), other).count() == 0
