@@ -44,17 +44,16 @@ def backfill(
     parsed = rows.withColumn(
         "tx_id", uuid_from(F.lit(csv_path), F.monotonically_increasing_id())
     ).withColumn("value", F.to_json(facts.event_struct()))
-    path = f"{out}/speed_layer/staged/backfill"
-    counted, seen = writers.count_while(
-        speed.decide_events(parsed, accounts, scorer, threshold), "backfill"
-    )
-    scored, rejected = speed.stage(counted, path)
-    speed.persist_staged(scored, rejected, out, "/backfill", mode="overwrite")
+    path = f"{out}/speed_layer/staged/batch_id=backfill"
+    decided = speed.decide_events(parsed, accounts, scorer, threshold)
+    scored, rejected = speed.stage(decided, path)
+    speed.persist_staged(scored, rejected, out, "/batch_id=backfill", mode="overwrite")
     writers.append_predictions_csv(
         facts.scored_payload(scored, F.col("tx_timestamp")), f"{out}/predictions_csv"
     )
     seconds = time.time() - start
-    total = seen.get["rows"]
+    # both from file footers
+    total = scored.count() + rejected.count()
     return {"rows": total, "seconds": seconds, "rows_per_second": total / seconds}
 
 

@@ -111,6 +111,8 @@ def train_gam(
 
     model = gam_pipeline(weighted, iterations).fit(weighted)
     save_model(model, f"{out}/model")
+    # the stored model carries no training summary, and so no session, to the tasks
+    model = load_pipeline(f"{out}/model")
     score_model(val, model).select("tx_id", "label", "score").write.mode("overwrite").parquet(
         f"{out}/scored"
     )
@@ -244,7 +246,7 @@ def search(
     spark = rows.sparkSession
     if save_to is not None:
         try:
-            return spark.read.parquet(f"{save_to}/results").orderBy(F.desc("f1"))
+            return spark.read.parquet(f"{save_to}/results").orderBy(F.desc("f1"), *grid)
         except Exception as absent:
             if "PATH_NOT_FOUND" not in str(absent):
                 raise
@@ -268,7 +270,7 @@ def search(
     if save_to is not None:
         save_model(fitted.bestModel, f"{save_to}/best")
         results.write.mode("overwrite").parquet(f"{save_to}/results")
-    return results.orderBy(F.desc("f1"))
+    return results.orderBy(F.desc("f1"), *grid)
 
 
 # --- artefacts -----------------------------------------------------------

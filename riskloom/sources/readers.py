@@ -74,8 +74,7 @@ def read_scored_json(
             rows = rows.filter(F.col("dt") >= since)
         if until is not None:
             rows = rows.filter(F.col("dt") < until)
-        rows = rows.drop("dt")
-    return rows
+    return rows.select(*SCORED_TX.fieldNames())
 
 
 def read_table(

@@ -26,7 +26,7 @@ def test_every_sql_has_a_query():
 
 def test_entry_returns_flagged_transactions(spark):
     out = entry.entry(spark)
-    assert out.filter("is_fraud").count() == out.count() == 32
+    assert out.filter("is_fraud").count() == out.count() == 30
     assert {"score", "country", "cnt_last_24h"} <= set(out.columns)
 
 

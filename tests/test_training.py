@@ -99,7 +99,7 @@ def test_policies_for_missing_inputs(spark):
     assert (usable.count(), rejected.count()) == (1, 2)
     filled, none = score.require(df, ["n", "c"], "impute")
     assert filled.filter("n IS NULL OR c IS NULL").count() == 0 and none.count() == 0
-    assert filled.schema == df.schema
+    assert filled.dtypes == df.dtypes
     strict, _ = score.require(df, ["n", "c"], "error")
     with pytest.raises(Exception, match="model input is NULL"):
         strict.collect()
