@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from riskloom.functions import linear, log1p, logistic, time_cos, time_sin
 
+# the batch function below travels whole: executors need not have this package installed
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 BATCH_THRESHOLD = 0.5
 
 

@@ -14,10 +14,12 @@ A cell outside the bound cannot hold a nearer vector, so the result is exact.
 from __future__ import annotations
 
 import math
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -25,9 +27,12 @@ from pyspark.sql import functions as F
 from riskloom.operators.sampling import TREE_SEED, take_by_hash
 from riskloom.session import scratch_dir
 
+# the task functions below travel whole: executors need not have this package installed
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 RATIO = 0.7
 NEIGHBOURS = 5
-CELL_ROWS = 4096
+CELL_ROWS = 1024
 # bounds the tree and the boxes shipped to the tasks, not the data
 MAX_LEVELS = 14
 # searches of one cell, and synthetic rows of one vector, handled by one task

@@ -12,7 +12,7 @@ its history is first folded to one *tick* per second and cut into days:
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from riskloom.functions import DAY, FIRST_TX_GAP
@@ -46,16 +46,26 @@ def add_behavioral_features(
 def _by_window(df: DataFrame, sender: str, ts: str, amount: str, tx_id: str) -> DataFrame:
     whole = Window.partitionBy(sender)
     in_order = whole.orderBy(ts, tx_id)
-    trailing_day = whole.orderBy(ts).rangeBetween(-DAY, 0)
-    # one exchange and one sort by (sender, ts, tx_id) serve all four windows
+    # one exchange and one sort by (sender, ts, tx_id) serve all windows
     return (
         df.withColumn("prev_ts", F.lag(ts).over(in_order))
-        .withColumn("cnt_last_24h", F.count(F.lit(1)).over(trailing_day))
+        .withColumn("cnt_last_24h", _trailing_day(F.count(F.lit(1)), whole.orderBy(ts)))
         .withColumn("sender_avg_amount", F.avg(amount).over(whole))
         .withColumn("sender_std_amount", F.stddev_samp(amount).over(whole))
     )
 
 
+def _trailing_day(total: Column, by_time: WindowSpec) -> Column:
+    """A total over the last 24 hours, as the difference of two growing frames.
+
+    A sliding frame is summed anew for every row, which is quadratic for a sender with
+    many rows a day; frames that start at the beginning are extended row by row.
+    """
+    until_now = by_time.rangeBetween(Window.unboundedPreceding, 0)
+    before = by_time.rangeBetween(Window.unboundedPreceding, -DAY - 1)
+    return total.over(until_now) - F.coalesce(total.over(before), F.lit(0))
+
+
 def _by_ticks(df: DataFrame, sender: str, ts: str, amount: str, tx_id: str) -> DataFrame:
     ticks = (
         df.groupBy(F.col(sender).alias("_sender"), F.col(ts).alias("_ts"))
@@ -68,7 +78,7 @@ def _by_ticks(df: DataFrame, sender: str, ts: str, amount: str, tx_id: str) -> D
     per_tick = (
         ticks.withColumn("_slot", own_and_next)
         .withColumn("_prev_tick", F.lag("_ts").over(slot))
-        .withColumn("_cnt", F.sum("_n").over(slot.rangeBetween(-DAY, 0)))
+        .withColumn("_cnt", _trailing_day(F.sum("_n"), slot))
         .filter(F.col("_slot") == F.col("_day"))
     )
     # a tick with no neighbour in two days looks back to the last tick of an earlier day
