@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.functions import time_sin
-from riskloom.operators.score import add_log_features, add_time_features, decide_ge, score_linear
+from riskloom.operators.score import decide_ge, score_linear
 from riskloom.session import tune
 
 SPEED_THRESHOLD = 0.52
@@ -142,12 +142,7 @@ def event_json(spark: SparkSession, sf_dir: str, damaged: bool = True) -> DataFr
 
 def model_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scored, enriched and featurised rows with every model input present."""
-    from riskloom.operators.enrich import join_accounts
-    from riskloom.operators.score import require
-    from riskloom.operators.windows import add_behavioral_features
-    from riskloom.schemas import TREE_CATEGORICAL, TREE_NUMERIC
-
-    rows = join_accounts(scored(spark, sf_dir), accounts(spark, sf_dir), "left")
-    rows = add_behavioral_features(add_log_features(add_time_features(rows)))
-    usable, _ = require(rows, [*TREE_NUMERIC, *TREE_CATEGORICAL, "tx_behavior_id"])
+    from riskloom.plans.jobs import batch_features
+
+    usable, _ = batch_features(scored(spark, sf_dir), accounts(spark, sf_dir))
     return usable

@@ -64,6 +64,12 @@ def uuid_from(*parts: Column | str) -> Column:
     return F.concat_ws("-", *[F.substring(digest, pos, n) for pos, n in cuts])
 
 
+def as_uuid(text: Column | str) -> Column:
+    """The text if it is shaped like a UUID, else NULL."""
+    shape = "^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$"
+    return F.when(_col(text).rlike(shape), _col(text))
+
+
 def spline_basis_sql(x: str, low: float, high: float, n_splines: int = 8) -> list[str]:
     """Uniform cubic B-spline basis with edge knots ``low`` and ``high``, as SQL text.
 

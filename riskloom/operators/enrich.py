@@ -54,8 +54,8 @@ def join_accounts(
     elif fan_out:
         side = accounts.select("account_id", *wanted)
     else:
-        side = first_account(accounts.select("account_id", "customer_id", *wanted))
-        side = side.select("account_id", *wanted)
+        needed = dict.fromkeys(["account_id", "customer_id", *wanted])
+        side = first_account(accounts.select(*needed)).select("account_id", *wanted)
 
     def joined(rows: DataFrame, dimension: DataFrame) -> DataFrame:
         on = F.col(key) == F.col("account_id")
@@ -71,10 +71,13 @@ def join_accounts(
 
 
 def enriched_pair(enriched: DataFrame) -> DataFrame:
-    """The ``{account, transaction}`` pair as two struct columns."""
+    """The ``{account, transaction}`` pair as two struct columns.
+
+    ``enriched`` was joined with ``columns=["customer_id", *ACCOUNT_COLUMNS]``.
+    """
     account = F.struct(
         F.col("sender_account_id").alias("ACCOUNT_ID"),
-        *[F.col(c).alias(c.upper()) for c in ACCOUNT_COLUMNS],
+        *[F.col(c).alias(c.upper()) for c in ["customer_id", *ACCOUNT_COLUMNS]],
     )
     return enriched.select("tx_id", account.alias("account"), event_struct().alias("transaction"))
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import time
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,7 +12,7 @@ from riskloom.functions import uuid_from
 from riskloom.operators import facts
 from riskloom.operators.enrich import BATCH_ACCOUNT_COLUMNS, join_accounts
 from riskloom.operators.score import BATCH_THRESHOLD, add_model_features, decide_gt, require
-from riskloom.operators.windows import add_behavioral_features
+from riskloom.operators.windows import FEATURES, add_behavioral_features
 from riskloom.schemas import TREE_CATEGORICAL, TREE_NUMERIC
 from riskloom.session import scratch_dir
 from riskloom.sinks import writers
@@ -33,6 +34,7 @@ def backfill(
     threshold: float,
     out: str,
     ts_unit: str = "s",
+    inputs: Sequence[str] = (),
 ) -> dict[str, float]:
     """Score a transaction file with the streaming rules; returns the throughput.
 
@@ -45,7 +47,7 @@ def backfill(
         "tx_id", uuid_from(F.lit(csv_path), F.monotonically_increasing_id())
     ).withColumn("value", F.to_json(facts.event_struct()))
     path = f"{out}/speed_layer/staged/batch_id=backfill"
-    decided = speed.decide_events(parsed, accounts, scorer, threshold)
+    decided = speed.decide_events(parsed, accounts, scorer, threshold, inputs)
     scored, rejected = speed.stage(decided, path)
     speed.persist_staged(scored, rejected, out, "/batch_id=backfill", mode="overwrite")
     writers.append_predictions_csv(
@@ -62,11 +64,20 @@ def batch_features(
 ) -> tuple[DataFrame, DataFrame]:
     """``(usable, rejected)``: enriched transactions with all eleven model inputs.
 
-    Windows see every transaction of a sender, before any row is set aside.
+    Windows see every transaction of a sender, before any row is set aside, and come
+    before the join: they need no account. Rejected rows carry no window features, so
+    finding them costs no shuffle.
     """
-    rows = join_accounts(flat, accounts, "left", BATCH_ACCOUNT_COLUMNS)
-    featured = add_behavioral_features(add_model_features(rows))
-    return require(featured, [*TREE_NUMERIC, *TREE_CATEGORICAL], on_missing)
+
+    def checked(rows: DataFrame):
+        enriched = join_accounts(rows, accounts, "left", BATCH_ACCOUNT_COLUMNS)
+        # window features are never NULL where the amount is present
+        needed = [c for c in [*TREE_NUMERIC, *TREE_CATEGORICAL] if c not in FEATURES]
+        return require(add_model_features(enriched), needed, on_missing)
+
+    usable, _ = checked(add_behavioral_features(flat))
+    _, rejected = checked(flat)
+    return usable, rejected
 
 
 def batch_scoring(

@@ -24,8 +24,9 @@ from riskloom.operators import encode, evaluate, sampling
 from riskloom.operators.enrich import join_accounts, match_label
 from riskloom.operators.score import add_model_features, decide_ge, decide_gt, require, score_model
 from riskloom.operators.smote import oversample
-from riskloom.operators.windows import add_behavioral_features
-from riskloom.schemas import GAM_CATEGORICAL, GAM_NUMERIC, TREE_CATEGORICAL, TREE_NUMERIC
+from riskloom.plans.jobs import batch_features
+from riskloom.schemas import GAM_CATEGORICAL, GAM_NUMERIC
+from riskloom.session import scratch_dir
 from riskloom.sinks import writers
 
 SPLINES = {"tx_amount_log": 8, "init_balance_log": 8}
@@ -133,12 +134,17 @@ def tree_rows(
     """``(usable, rejected)``: predictions with matched labels and all model inputs.
 
     Copies of a labelled transaction count through ``n_matches``, which the fit takes
-    as a weight; ``expand`` repeats the rows instead.
+    as a weight; ``expand`` repeats the rows instead. The matched rows are written once,
+    as the features read them several times.
     """
-    rows = join_accounts(match_label(predictions, labelled, expand=expand), accounts, "left")
-    featured = add_behavioral_features(add_model_features(rows))
-    featured = featured.withColumn("label", F.col("tx_is_fraud").cast("int"))
-    return require(featured, [*TREE_NUMERIC, *TREE_CATEGORICAL, "label"])
+    spark = predictions.sparkSession
+    landed = scratch_dir(spark, "matched")
+    match_label(predictions, labelled, expand=expand).write.parquet(landed)
+    matched = spark.read.parquet(landed)
+    return batch_features(
+        matched.withColumn("label", F.col("tx_is_fraud").cast("int")).filter("label IS NOT NULL"),
+        accounts,
+    )
 
 
 def _plain(df: DataFrame) -> DataFrame:

@@ -329,10 +329,12 @@ def score_linear(spark, d):
 
 
 def _batch_scored(spark, d):
+    # windows need no account, so they come before the join
+    featured = windows.add_behavioral_features(fx.scored(spark, d))
     rows = enrich.join_accounts(
-        fx.scored(spark, d), fx.accounts(spark, d), "left", enrich.BATCH_ACCOUNT_COLUMNS
+        featured, fx.accounts(spark, d), "left", enrich.BATCH_ACCOUNT_COLUMNS
     )
-    return fx.batch_score(windows.add_behavioral_features(rows))
+    return fx.batch_score(rows)
 
 
 @query

@@ -6,7 +6,7 @@ progress tracking and output folders that a repeated micro-batch overwrites.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -24,26 +24,39 @@ NO_SCORE = "no_score"
 
 
 def decide_events(
-    parsed: DataFrame, accounts: DataFrame, scorer: Scorer, threshold: float
+    parsed: DataFrame,
+    accounts: DataFrame,
+    scorer: Scorer,
+    threshold: float,
+    inputs: Sequence[str] = (),
 ) -> DataFrame:
     """Every event with its decision, or with the ``reason`` it has none.
 
-    ``parsed`` comes from :func:`parse_events`. Nothing is dropped: invalid events and
-    events whose sender has no account keep ``reason`` and a NULL decision.
+    ``parsed`` comes from :func:`parse_events`. Nothing is dropped: invalid events,
+    events whose sender has no account and events without one of the scorer's
+    ``inputs`` keep ``reason`` and a NULL decision. They pass through the scorer with
+    zeros, so that one pass serves all and a strict scorer does not fail on them.
     """
     found = accounts.withColumn("_found", F.lit(True))
     joined = join_accounts(parsed, found, "left", [*ACCOUNT_COLUMNS, "_found"])
-    scored = decide_ge(scorer(add_model_features(joined)), threshold)
+    featured = add_model_features(joined)
+    incomplete = F.lit(False)
+    for name in inputs:
+        incomplete = incomplete | F.col(name).isNull()
     reason = (
         F.when(F.col("status") != VALID, F.col("status"))
         .when(F.col("_found").isNull(), NO_ACCOUNT)
-        .when(F.col("score").isNull(), NO_SCORE)
+        .when(incomplete, NO_SCORE)
+    )
+    ready = featured.withColumn("reason", reason).withColumns(
+        {name: F.coalesce(F.col(name), F.lit(0.0)) for name in inputs}
     )
-    usable = F.col("reason").isNull()
-    out = scored.withColumn("reason", reason).withColumns(
-        {c: F.when(usable, F.col(c)) for c in ("score", "is_fraud")}
+    failed = F.col("score").isNull() | F.isnan("score")
+    scored = scorer(ready).withColumn(
+        "reason", F.coalesce("reason", F.when(failed, NO_SCORE))
     )
-    return facts.with_alert_id(out).drop("_found", "status")
+    scored = scored.withColumn("score", F.when(F.col("reason").isNull(), F.col("score")))
+    return facts.with_alert_id(decide_ge(scored, threshold)).drop("_found", "status")
 
 
 def stage(decided: DataFrame, path: str) -> tuple[DataFrame, DataFrame]:
@@ -87,6 +100,7 @@ def run_speed_layer(
     out: str,
     checkpoint: str,
     ts_unit: str = "s",
+    inputs: Sequence[str] = (),
     publish_to: dict | None = None,
     trigger: dict | None = None,
 ) -> StreamingQuery:
@@ -101,7 +115,8 @@ def run_speed_layer(
     def handle(batch: DataFrame, batch_id: int) -> None:
         path = f"{out}/speed_layer/staged/batch_id={batch_id}"
         parsed = parse_events(batch, ts_unit=ts_unit)
-        scored, rejected = stage(decide_events(parsed, accounts(), scorer, threshold), path)
+        decided = decide_events(parsed, accounts(), scorer, threshold, inputs)
+        scored, rejected = stage(decided, path)
         persist_staged(scored, rejected, out, f"/batch_id={batch_id}", publish_to=publish_to)
 
     return (

@@ -3,7 +3,13 @@
 import pytest
 from conftest import rows
 
-from riskloom.operators.enrich import first_account, join_accounts, match_label
+from riskloom.operators.enrich import (
+    ACCOUNT_COLUMNS,
+    enriched_pair,
+    first_account,
+    join_accounts,
+    match_label,
+)
 
 ACCOUNTS = (
     "account_id int, customer_id string, init_balance double, country string, "
@@ -122,3 +128,22 @@ def test_copies_are_counted_not_paired(spark):
 def test_other_keys_must_be_equal(spark):
     other = spark.createDataFrame([(1, 3, "T", 100, 10.0, True)], f"{KEYS}, is_fraud boolean")
     assert match_label(_predictions(spark, 10.0), other).count() == 0
+
+
+def test_enriched_pair(spark, accounts):
+    event = spark.createDataFrame(
+        [(5, 2, 3, "T", 9.5, 100)],
+        "tx_id long, sender_account_id int, receiver_account_id int, tx_type string, "
+        "tx_amount double, ts long",
+    )
+    pair = enriched_pair(join_accounts(event, accounts, "inner", ["customer_id", *ACCOUNT_COLUMNS]))
+    (row,) = rows(pair)
+    assert row["account"] == {
+        "ACCOUNT_ID": 2,
+        "CUSTOMER_ID": "c",
+        "INIT_BALANCE": 30.0,
+        "COUNTRY": "US",
+        "ACCOUNT_TYPE": "B",
+        "TX_BEHAVIOR_ID": 3,
+    }
+    assert list(row["transaction"].values()) == [2, 3, "T", 9.5, 100]

@@ -69,3 +69,13 @@ def test_hash_fraction_is_uniform(spark):
     df = spark.range(20000).select(fn.hash_fraction("id", 7).alias("v"))
     low, high, mean = df.agg(F.min("v"), F.max("v"), F.avg("v")).first()
     assert 0 <= low and high < 1 and mean == pytest.approx(0.5, abs=0.01)
+
+
+def test_uuid_shape(spark):
+    good = "0d5a7ba2-11f0-4c5b-9d5a-0a1b2c3d4e5f"
+    assert values(spark, [good, good[:-1], "x", None], "string", fn.as_uuid("x")) == [
+        good,
+        None,
+        None,
+        None,
+    ]

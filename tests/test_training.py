@@ -112,3 +112,22 @@ def test_decisions_at_the_threshold(spark):
     ge = [r["is_fraud"] for r in score.decide_ge(df, 0.5).collect()]
     gt = [r["is_fraud"] for r in score.decide_gt(df).collect()]
     assert ge == [True, False, True] and gt == [False, False, True]
+
+
+def test_strict_model_on_a_batch_with_bad_events(spark, sf_dir, gam):
+    """The assembler refuses NULL, yet bad events must not fail the batch."""
+    from functools import partial
+
+    from riskloom.operators.validate import parse_events
+    from riskloom.schemas import GAM_NUMERIC
+    from riskloom.streaming import speed
+
+    out, _ = gam
+    scorer = partial(score.score_model, model=training.load_pipeline(f"{out}/model"))
+    parsed = parse_events(fx.event_json(spark, sf_dir))
+    decided = speed.decide_events(parsed, fx.accounts(spark, sf_dir), scorer, 0.5, GAM_NUMERIC)
+    counts = {r["reason"]: r["count"] for r in decided.groupBy("reason").count().collect()}
+    assert sum(counts.values()) == 1000
+    assert set(counts) == {None, "malformed", "bad_type", "missing_field", "no_account", "no_score"}
+    assert decided.filter("reason IS NULL AND score IS NULL").count() == 0
+    assert decided.filter("reason IS NOT NULL AND (score IS NOT NULL OR is_fraud)").count() == 0
