@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 DAY = 86400
@@ -70,14 +70,21 @@ def as_uuid(text: Column | str) -> Column:
     return F.when(_col(text).rlike(shape), _col(text))
 
 
-def spline_basis_sql(x: str, low: float, high: float, n_splines: int = 8) -> list[str]:
-    """Uniform cubic B-spline basis with edge knots ``low`` and ``high``, as SQL text.
+def spline_position_sql(x: str, low: float, high: float, n_splines: int = 8) -> list[str]:
+    """Two SQL columns for :func:`spline_basis_sql`: the place of ``x`` between the edge
+    knots, in knot intervals, free (``<x>_u``) and held within the edges (``<x>_e``)."""
+    intervals = n_splines - 3
+    u = f"(({x} - {low!r}D) * {intervals / ((high - low) or 1.0)!r}D)"
+    return [f"{u} AS {x}_u", f"greatest(least({u}, {float(intervals)!r}D), 0.0D) AS {x}_e"]
+
+
+def spline_basis_sql(x: str, n_splines: int = 8, prefix: str = "b") -> list[str]:
+    """Uniform cubic B-spline basis of ``x`` as SQL columns ``<prefix>0 ...``.
 
     The columns sum to 1; outside the edge knots each continues as a straight line.
     """
     intervals = n_splines - 3
-    u = f"(({x} - {low!r}D) * {intervals / ((high - low) or 1.0)!r}D)"
-    edge = f"greatest(least({u}, {float(intervals)!r}D), 0.0D)"
+    u, edge = f"{x}_u", f"{x}_e"
     columns = []
     for j in range(n_splines):
         t = f"({edge} - {float(j - 3)!r}D)"
@@ -89,15 +96,19 @@ def spline_basis_sql(x: str, low: float, high: float, n_splines: int = 8) -> lis
             f" ELSE (4 - {t})*(4 - {t})*(4 - {t})/6 END"
         )
         # slope of the basis at the edge knots: -1/2, 0, 1/2 on the three live columns
-        below = {0: -0.5, 2: 0.5}.get(j, 0.0)
-        above = {intervals: -0.5, intervals + 2: 0.5}.get(j, 0.0)
-        beyond = (
-            f"CASE WHEN {u} < 0 THEN {below}D * {u}"
-            f" WHEN {u} > {intervals} THEN {above}D * ({u} - {intervals}) ELSE 0.0D END"
-        )
-        columns.append(f"{inside} + {beyond}" if below or above else inside)
+        slopes = [
+            f"{slope}D * {side}({u} - {edge}, 0.0D)"
+            for side, first in (("least", 0), ("greatest", intervals))
+            for slope in [{first: -0.5, first + 2: 0.5}.get(j)]
+            if slope is not None
+        ]
+        columns.append(f"{' + '.join([inside, *slopes])} AS {prefix}{j}")
     return columns
 
 
-def spline_basis(x: str, low: float, high: float, n_splines: int = 8) -> list[Column]:
-    return [F.expr(text) for text in spline_basis_sql(x, low, high, n_splines)]
+def add_spline_basis(
+    df: DataFrame, x: str, low: float, high: float, n_splines: int = 8, prefix: str = "b"
+) -> DataFrame:
+    """Add the basis columns ``<prefix>0 ...`` of column ``x``."""
+    placed = df.selectExpr("*", *spline_position_sql(x, low, high, n_splines))
+    return placed.selectExpr("*", *spline_basis_sql(x, n_splines, prefix)).drop(f"{x}_u", f"{x}_e")

@@ -318,6 +318,16 @@ JOIN categories c ON l.feature = c.feature AND l.value = c.value""",
   round(sender_avg_amount, 8) AS f7, f_tx_type.idx AS f8, f_account_type.idx AS f9,
   f_country.idx AS f10 FROM usable_joined u """
         + " ".join(idx(n, "u") for n in features),
+        "oversample": _with(TX, ACCOUNTS, SCORED)
+        + """, usable AS (
+  SELECT tx_id, label FROM scored JOIN accounts ON sender_account_id = account_id
+  WHERE init_balance > -1),
+wanted AS (
+  SELECT CAST(floor(0.7::DOUBLE * count(*) FILTER (label = 0)) AS BIGINT)
+         - count(*) FILTER (label = 1) AS n FROM usable)
+SELECT tx_id, label, FALSE AS synthetic FROM usable
+UNION ALL
+SELECT NULL, 1, TRUE FROM range((SELECT max(event_id) + 1 FROM events)) r(i), wanted WHERE i < n""",
         "label_counts": _with(TX)
         + "SELECT CAST(is_fraud AS INT) AS label, count(*) AS n FROM tx GROUP BY 1",
         "fraud_rate": _with(TX)

@@ -19,7 +19,7 @@ from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.functions import hash_fraction, spline_basis_sql
+from riskloom.functions import hash_fraction, spline_basis_sql, spline_position_sql
 from riskloom.operators import encode, evaluate, sampling
 from riskloom.operators.enrich import join_accounts, match_label
 from riskloom.operators.score import add_model_features, decide_ge, decide_gt, require, score_model
@@ -58,24 +58,24 @@ def gam_rows(tx: DataFrame, accounts: DataFrame, on_missing: str = "quarantine")
     return require(rows, [*GAM_NUMERIC, *GAM_CATEGORICAL, "label"], on_missing)
 
 
-def gam_pipeline(train: DataFrame, iterations: int = GAM_ITERATIONS) -> Pipeline:
-    """Splines on both amounts, linear cyclic time, one-hot categories, logistic link.
+def gam_pipeline(train: DataFrame) -> Pipeline:
+    """Splines on both amounts, linear cyclic time and one-hot categories, assembled.
 
     Knots and the kept countries are read from ``train`` and become literals, so the
     saved pipeline scores without it.
     """
     ends = train.agg(*[f(c) for c in SPLINES for f in (F.min, F.max)]).first()
-    terms, slots = [], []
+    places, terms, slots = [], [], []
     for i, (column, n) in enumerate(SPLINES.items()):
-        names = [f"{column}_b{j}" for j in range(n)]
-        basis = spline_basis_sql(column, ends[2 * i], ends[2 * i + 1], n)
-        terms += [f"{text} AS {name}" for text, name in zip(basis, names)]
-        slots += names
+        places += spline_position_sql(column, ends[2 * i], ends[2 * i + 1], n)
+        terms += spline_basis_sql(column, n, f"{column}_b")
+        slots += [f"{column}_b{j}" for j in range(n)]
     # at most TOP_K rows
     kept = [r["country"] for r in encode.top_values(train, "country").collect()]
     listed = ", ".join("'" + c.replace("\\", "\\\\").replace("'", "\\'") + "'" for c in kept)
     bucket = f"CASE WHEN country IN ({listed}) THEN country ELSE '{encode.OTHER}' END"
-    statement = f"SELECT *, {', '.join(terms)}, {bucket} AS country_bucket FROM __THIS__"
+    placed = f"SELECT *, {', '.join(places)}, {bucket} AS country_bucket FROM __THIS__"
+    statement = f"SELECT *, {', '.join(terms)} FROM ({placed})"
     categories = ["country_bucket" if c == "country" else c for c in GAM_CATEGORICAL]
     linear = ["tx_time_sin", "tx_time_cos"]
     return Pipeline(
@@ -86,7 +86,6 @@ def gam_pipeline(train: DataFrame, iterations: int = GAM_ITERATIONS) -> Pipeline
                 inputCols=[*slots, *linear, *[f"{c}_hot" for c in categories]],
                 outputCol="features",
             ),
-            LogisticRegression(weightCol="weight", maxIter=iterations, regParam=REG_PARAM),
         ]
     )
 
@@ -110,8 +109,13 @@ def train_gam(
     weighted.write.mode("overwrite").parquet(f"{out}/train")
     weighted = spark.read.parquet(f"{out}/train")
 
-    model = gam_pipeline(weighted, iterations).fit(weighted)
-    save_model(model, f"{out}/model")
+    prepared = gam_pipeline(weighted).fit(weighted)
+    writers.write_features(prepared.transform(weighted), f"{out}/features")
+    regression = LogisticRegression(
+        weightCol="weight", maxIter=iterations, regParam=REG_PARAM
+    )
+    fitted = regression.fit(spark.read.parquet(f"{out}/features"))
+    save_model(PipelineModel([*prepared.stages, fitted]), f"{out}/model")
     # the stored model carries no training summary, and so no session, to the tasks
     model = load_pipeline(f"{out}/model")
     score_model(val, model).select("tx_id", "label", "score").write.mode("overwrite").parquet(

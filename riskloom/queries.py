@@ -211,12 +211,12 @@ def sender_stats(spark, d):
 
 @query
 def spline_basis(spark, d):
-    from riskloom.functions import spline_basis as basis
+    from riskloom.functions import add_spline_basis
 
     logged = fx.transactions(spark, d).select("tx_id", F.log1p("tx_amount").alias("x"))
     low, high = logged.agg(F.min("x"), F.max("x")).first()
-    columns = {f"b{j}": c for j, c in enumerate(basis("x", low, high))}
-    return rounded(logged.withColumns(columns).drop("x"), *columns)
+    out = add_spline_basis(logged, "x", low, high).drop("x")
+    return rounded(out, *out.columns[1:])
 
 
 # --- categories ----------------------------------------------------------

@@ -38,7 +38,7 @@ def test_spline_sums_to_one_and_continues_straight(spark):
     low, high = 2.0, 7.0
     xs = [low + i / 7 for i in range(-20, 60)]
     df = spark.createDataFrame([(float(x),) for x in xs], "x double")
-    table = df.select("x", *fn.spline_basis("x", low, high)).collect()
+    table = fn.add_spline_basis(df, "x", low, high).collect()
     for row in table:
         assert sum(row[1:]) == pytest.approx(1.0)
         if low <= row["x"] <= high:
@@ -52,7 +52,7 @@ def test_spline_sums_to_one_and_continues_straight(spark):
 def test_spline_is_smooth_at_the_edges(spark):
     h = 1e-4
     df = spark.createDataFrame([(x,) for x in (-h, 0.0, h, 1 - h, 1.0, 1 + h)], "x double")
-    t = df.orderBy("x").select(*fn.spline_basis("x", 0.0, 1.0)).collect()
+    t = fn.add_spline_basis(df, "x", 0.0, 1.0).orderBy("x").drop("x").collect()
     for j in range(8):
         assert t[2][j] - t[1][j] == pytest.approx(t[1][j] - t[0][j], abs=1e-5)
         assert t[5][j] - t[4][j] == pytest.approx(t[4][j] - t[3][j], abs=1e-5)
