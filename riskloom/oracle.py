@@ -107,6 +107,9 @@ ALERT_ID = "CASE WHEN is_fraud THEN {} END AS alert_id".format(
     UUID.format(h="md5('alert:' || CAST(tx_id AS VARCHAR))")
 )
 FRACTION = "CAST('0x' || substr(md5('{seed}:' || CAST(tx_id AS VARCHAR)), 1, 8) AS BIGINT)"
+# adding zero turns a rounded -0.0 into 0.0, as Spark's round gives it
+SIN = "round(sin((ts % 86400) * (2*pi()/86400)), 6) + 0.0::DOUBLE"
+COS = "round(cos((ts % 86400) * (2*pi()/86400)), 6) + 0.0::DOUBLE"
 LN1P = "CASE WHEN {x} > -1 THEN ln(1 + {x}) END"
 
 
@@ -267,8 +270,7 @@ FROM predictions p JOIN labelled t
  AND p.tx_type = t.tx_type AND p.ts = t.ts AND abs(p.tx_amount - t.tx_amount) < 1e-6
 GROUP BY p.tx_id, p.score, t.is_fraud, t.tx_amount""",
         "time_features": _with(TX)
-        + """SELECT tx_id, round(sin((ts % 86400) * (2*pi()/86400)), 6) AS tx_time_sin,
-  round(cos((ts % 86400) * (2*pi()/86400)), 6) AS tx_time_cos FROM tx""",
+        + f"""SELECT tx_id, {SIN} AS tx_time_sin, {COS} AS tx_time_cos FROM tx""",
         "log_features": _with(TX, ACCOUNTS, JOINED)
         + f"""SELECT tx_id, round({LN1P.format(x='tx_amount')}, 6) AS tx_amount_log,
   round({LN1P.format(x='init_balance')}, 6) AS init_balance_log FROM joined""",
@@ -311,9 +313,8 @@ JOIN categories c ON l.feature = c.feature AND l.value = c.value""",
             _USABLE,
             FREQ.format(source="usable_joined"),
         )
-        + """SELECT tx_id, round(ln(1+tx_amount), 6) AS f0, round(ln(1+init_balance), 6) AS f1,
-  round(sin((ts % 86400) * (2*pi()/86400)), 6) AS f2,
-  round(cos((ts % 86400) * (2*pi()/86400)), 6) AS f3, round(score, 6) AS f4,
+        + f"""SELECT tx_id, round(ln(1+tx_amount), 6) AS f0, round(ln(1+init_balance), 6) AS f1,
+  {SIN} AS f2, {COS} AS f3, round(score, 6) AS f4,
   CAST(time_since_last_tx AS DOUBLE) AS f5, CAST(cnt_last_24h AS DOUBLE) AS f6,
   round(sender_avg_amount, 8) AS f7, f_tx_type.idx AS f8, f_account_type.idx AS f9,
   f_country.idx AS f10 FROM usable_joined u """
