@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from functools import partial
+
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -59,10 +64,18 @@ def write_accounts(accounts: DataFrame, warehouse: str, mode: str = "overwrite")
     return stored
 
 
-def write_fan_out(
+def side_by_side(spark: SparkSession, writes: list[Callable[[], None]]) -> None:
+    """Run independent writes at once; one small write leaves most executors idle."""
+    with ThreadPoolExecutor(len(writes)) as pool:
+        running = [pool.submit(inheritable_thread_target(spark)(write)) for write in writes]
+        for write in running:
+            write.result()
+
+
+def fan_out(
     staged: DataFrame, warehouse: str, layer: str, mode: str = "append", suffix: str = ""
-) -> None:
-    """Write a layer's three transaction tables and its alerts.
+) -> list[Callable[[], None]]:
+    """The writes of a layer's three transaction tables and its alerts.
 
     ``staged`` should be read back from storage (decisions, ids and write time
     already fixed), so that the four tables agree and a lost executor re-reads files
@@ -75,8 +88,16 @@ def write_fan_out(
         "transactions_by_receiver": facts.tx_by_receiver(staged),
         "alerts": facts.alerts(staged),
     }
-    for table, rows in outputs.items():
-        write_table(rows, f"{root}/{table}{suffix}", table, mode)
+    return [
+        partial(write_table, rows, f"{root}/{table}{suffix}", table, mode)
+        for table, rows in outputs.items()
+    ]
+
+
+def write_fan_out(
+    staged: DataFrame, warehouse: str, layer: str, mode: str = "append", suffix: str = ""
+) -> None:
+    side_by_side(staged.sparkSession, fan_out(staged, warehouse, layer, mode, suffix))
 
 
 def write_scored_json(payload: DataFrame, path: str, mode: str = "append") -> None:

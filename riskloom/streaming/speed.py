@@ -82,12 +82,16 @@ def persist_staged(
     publish_to: dict | None = None,
 ) -> None:
     """Write all speed-layer outputs of one staged batch."""
-    writers.write_fan_out(scored, out, "speed_layer", mode, suffix)
+    root = f"{out}/speed_layer"
     payload = facts.scored_payload(scored, F.col("tx_timestamp"))
-    writers.write_scored_json(payload, f"{out}/speed_layer/scored_json{suffix}", mode)
-    rejected.select("tx_id", "value", "reason").write.mode(mode).parquet(
-        f"{out}/speed_layer/quarantine{suffix}"
-    )
+    quarantine = rejected.select("tx_id", "value", "reason")
+    writes = [
+        *writers.fan_out(scored, out, "speed_layer", mode, suffix),
+        lambda: writers.write_scored_json(payload, f"{root}/scored_json{suffix}", mode),
+        lambda: quarantine.write.mode(mode).parquet(f"{root}/quarantine{suffix}"),
+    ]
+    writers.side_by_side(scored.sparkSession, writes)
+    # results are announced once they are stored
     if publish_to is not None:
         writers.publish(payload, **publish_to)
 
