@@ -36,6 +36,7 @@ def join_accounts(
     fan_out: bool = False,
     max_broadcast_rows: int = BROADCAST_ROWS,
     hot_rows: int = HOT_ROWS,
+    small: bool | None = None,
 ) -> DataFrame:
     """Equi-join transactions to accounts on the sender.
 
@@ -45,6 +46,9 @@ def join_accounts(
     Accounts counted as small are broadcast and the transactions are not shuffled.
     Otherwise the join shuffles on the key; the accounts of hot senders, at most
     ``rows / hot_rows`` of them, are broadcast to those senders' rows instead.
+
+    The count runs here, when the join is declared; pass its outcome as ``small`` to
+    declare several joins for one count.
     """
     if how not in ("left", "inner", "left_anti"):
         raise ValueError(f"unsupported join type {how!r}")
@@ -61,7 +65,9 @@ def join_accounts(
         on = F.col(key) == F.col("account_id")
         return rows.join(dimension, on, how).select(*tx.columns, *wanted)
 
-    if is_small(accounts, max_broadcast_rows):
+    if small is None:
+        small = is_small(accounts, max_broadcast_rows)
+    if small:
         return joined(tx, F.broadcast(side))
     if fan_out:
         return joined(tx, side)

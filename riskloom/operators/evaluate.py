@@ -82,7 +82,8 @@ def cumulative_counts(
     A running total over all scores would sort everything in one task. Scores are
     first made distinct with counts, then cut into quantile buckets, which stay even
     however the scores are distributed; each bucket sums on its own and the bucket
-    totals, at most ``buckets`` rows, supply what lies above it.
+    totals, at most ``buckets`` rows, supply what lies above it. Finding the bucket
+    edges runs a job here.
     """
     by_score = (
         df.filter(F.col(score).isNotNull())

@@ -57,7 +57,8 @@ def oversample(
 
     Each synthetic vector lies between a positive and one of its ``k`` nearest
     neighbours. Returns ``key, features, label, synthetic`` and ``weight`` if named;
-    synthetic rows have no key and weight 1.
+    synthetic rows have no key and weight 1. Runs jobs: the neighbour search goes
+    through written tables in the shared scratch folder.
     """
     weights = [weight] if weight else []
     originals = df.select(key, features, label, *weights, F.lit(False).alias("synthetic"))

@@ -12,6 +12,7 @@ from riskloom.functions import uuid_from
 from riskloom.operators import facts
 from riskloom.operators.enrich import BATCH_ACCOUNT_COLUMNS, join_accounts
 from riskloom.operators.score import BATCH_THRESHOLD, add_model_features, decide_gt, require
+from riskloom.operators.skew import is_small
 from riskloom.operators.windows import FEATURES, add_behavioral_features
 from riskloom.schemas import TREE_CATEGORICAL, TREE_NUMERIC
 from riskloom.session import scratch_dir
@@ -69,8 +70,10 @@ def batch_features(
     finding them costs no shuffle.
     """
 
+    small = is_small(accounts)
+
     def checked(rows: DataFrame):
-        enriched = join_accounts(rows, accounts, "left", BATCH_ACCOUNT_COLUMNS)
+        enriched = join_accounts(rows, accounts, "left", BATCH_ACCOUNT_COLUMNS, small=small)
         # window features are never NULL where the amount is present
         needed = [c for c in [*TREE_NUMERIC, *TREE_CATEGORICAL] if c not in FEATURES]
         return require(add_model_features(enriched), needed, on_missing)
@@ -95,7 +98,8 @@ def batch_scoring(
 
     The JSON is read once, into a Parquet table in the shared scratch folder: the
     window features read their input more than once. ``scorer`` adds ``score`` of its
-    own as ``fraud_probability``; the speed score stays a feature.
+    own as ``fraud_probability``; the speed score stays a feature. ``since`` prunes the
+    folders read, and the windows then see only what is read.
     """
     landed = scratch_dir(spark, "flattened")
     records = readers.read_scored_json(spark, scored_json, since)

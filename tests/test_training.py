@@ -51,6 +51,20 @@ def test_trees(spark, sf_dir, tmp_path):
     scored = score.score_model(usable.withColumnRenamed("label", "y"), model, "fraud_probability")
     frame = scored.select(F.col("fraud_probability").alias("score"), F.col("y").alias("label"))
     assert training.rank_auc(frame) > 0.8
+    # the stored model serves the batch job as it is
+    from functools import partial
+
+    from riskloom.operators import facts
+    from riskloom.plans import jobs
+    from riskloom.queries import _decided
+    from riskloom.sinks import writers
+
+    writers.write_scored_json(facts.scored_payload(_decided(spark, sf_dir)), f"{out}/json")
+    scorer = partial(score.score_model, model=model, output="fraud_probability")
+    jobs.batch_scoring(spark, f"{out}/json", fx.accounts(spark, sf_dir), scorer, out)
+    stored = spark.read.parquet(f"{out}/batch_layer/transactions")
+    assert stored.count() > 800 and stored.filter("is_fraud").count() > 0
+
     features = spark.read.parquet(f"{out}/features")
     assert set(features.columns) == {"tx_id", "features", "label", "weight", "split"}
     # copies of a labelled transaction weigh as many rows
