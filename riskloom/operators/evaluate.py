@@ -85,25 +85,28 @@ def cumulative_counts(
     totals, at most ``buckets`` rows, supply what lies above it. Finding the bucket
     edges runs a job here.
     """
-    by_score = (
-        df.filter(F.col(score).isNotNull())
-        .groupBy(F.col(score).cast("double").alias("threshold"))
-        .agg(F.count_if(F.col(label) == 1).alias("_p"), F.count_if(F.col(label) == 0).alias("_q"))
+    scored = df.filter(F.col(score).isNotNull()).select(
+        F.col(score).cast("double").alias("threshold"),
+        F.when(F.col(label) == 1, 1).otherwise(0).alias("_p"),
+        F.when(F.col(label) == 0, 1).otherwise(0).alias("_q"),
     )
-    cuts = by_score.approxQuantile(
+    # quantiles of the rows: a bucket has at most as many distinct scores as rows
+    cuts = scored.approxQuantile(
         "threshold", [i / buckets for i in range(1, buckets)], 1 / (4 * buckets)
     )
     edges = sorted(set(cuts)) or [DEFAULT_THRESHOLD]
-    bucketed = Bucketizer(
+    cut = Bucketizer(
         splits=[float("-inf"), *edges, float("inf")], inputCol="threshold", outputCol="_bucket"
-    ).transform(by_score)
+    )
 
     above = Window.orderBy(F.desc("_bucket")).rowsBetween(Window.unboundedPreceding, -1)
     every = Window.orderBy(F.desc("_bucket")).rowsBetween(
         Window.unboundedPreceding, Window.unboundedFollowing
     )
+    # straight from the rows: map-side sums leave one row per bucket and task
     totals = (
-        bucketed.groupBy("_bucket")
+        cut.transform(scored)
+        .groupBy("_bucket")
         .agg(F.sum("_p").alias("_bp"), F.sum("_q").alias("_bq"))
         .select(
             "_bucket",
@@ -112,6 +115,8 @@ def cumulative_counts(
             F.sum("_bp").over(every).alias("positives"),
         )
     )
+    by_score = scored.groupBy("threshold").agg(F.sum("_p").alias("_p"), F.sum("_q").alias("_q"))
+    bucketed = cut.transform(by_score)
     within = (
         Window.partitionBy("_bucket")
         .orderBy(F.desc("threshold"))
