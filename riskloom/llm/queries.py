@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm import sharding, warc
+from riskloom.llm import quality_rules, sharding, warc
 from riskloom.llm.common import table
 from riskloom.llm.sql import SQL
 from riskloom.session import scratch_dir
@@ -23,6 +23,12 @@ def query(fn: Query) -> Query:
     return fn
 
 
+@query
+def op1_quality_ledger(spark, d):
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    return quality_rules.judge(quality_rules.ledger(docs)).drop("text")
+
+
 @query
 def op2_byte_shards(spark, d):
     placed = sharding.shard_table(table(spark, d, "documents"))

@@ -2,6 +2,44 @@
 
 SQL: dict[str, str] = {}
 
+SQL["op1_quality_ledger"] = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), m AS (
+  SELECT r, doc_id, CAST(len(w) AS BIGINT) AS n_words, w,
+         array_to_string(w, '') AS c,
+         list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l
+  FROM d
+), g AS (
+  SELECT r, i, [w[i], w[i + 1], w[i + 2]] AS g
+  FROM (SELECT r, w, unnest(range(1, len(w) - 1)) AS i FROM m)
+), two AS (
+  SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, g) AS n FROM g) WHERE n > 1
+), rep AS (
+  SELECT r, count(DISTINCT i + k) AS n FROM two, (SELECT unnest([0, 1, 2]) AS k) GROUP BY r
+), v AS (
+  SELECT doc_id, n_words, CAST(length(c) AS BIGINT) AS word_chars,
+         CAST(length(c) - length(regexp_replace(c, '[#*$%&|<>]+', '', 'g')) AS BIGINT)
+           AS n_symbols,
+         CAST(len(l) AS BIGINT) AS n_lines,
+         CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines,
+         CAST(coalesce(rep.n, 0) AS BIGINT) AS n_repeat_words,
+         CAST(length(c) - length(regexp_replace(c, '\p{Lu}+', '', 'g')) AS BIGINT) AS n_upper
+  FROM m LEFT JOIN rep USING (r)
+), b AS (
+  SELECT *, CAST(n_words < 50 AS BIGINT) + 2 * CAST(100 * n_repeat_words > 50 * n_words AS BIGINT)
+    + 4 * CAST(10 * n_symbols > word_chars AS BIGINT)
+    + 8 * CAST(2 * n_dup_lines > n_lines AS BIGINT)
+    + 16 * CAST(10 * n_upper > 3 * word_chars AS BIGINT)
+    + 32 * CAST(word_chars < 2 * n_words AS BIGINT)
+    + 64 * CAST(word_chars > 20 * n_words AS BIGINT) AS fail_bits
+  FROM v
+)
+SELECT *, (fail_bits & 3) <> 0 AS base_failed, fail_bits = 0 AS kept FROM b
+"""
+
 SQL["op9_warc_revisits"] = """
 WITH p AS (
   SELECT page_id, coalesce(html, '') AS html, CAST(strlen(coalesce(html, '')) AS BIGINT) AS n
