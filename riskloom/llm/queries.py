@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm import quality_rules, sharding, warc
+from riskloom.llm import quality_rules, sharding, token_counts, url_rules, warc
 from riskloom.llm.common import table
 from riskloom.llm.sql import SQL
 from riskloom.session import scratch_dir
@@ -43,6 +44,23 @@ def op2_byte_shards(spark, d):
     )
 
 
+@query
+def op3_url_rules(spark, d):
+    return url_rules.judge_urls(table(spark, d, "pages"), table(spark, d, "labels"))
+
+
+@query
+def op5_token_counts(spark, d):
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    counted = token_counts.count_tokens(docs, public_tokenizers.path("word_bpe_49k.json"))
+    return counted.select(
+        "doc_id",
+        F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"),
+        "n_tokens",
+        token_counts.over().alias("over_limit"),
+    )
+
+
 @query
 def op9_warc_revisits(spark, d):
     path = scratch_dir(spark, "warc")
