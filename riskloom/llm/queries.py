@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm import quality_rules, sharding, token_counts, url_rules, warc
+from riskloom.llm import near_dups, quality_rules, sharding, token_counts, url_rules, warc
 from riskloom.llm.common import table
 from riskloom.llm.sql import SQL
 from riskloom.session import scratch_dir
@@ -61,6 +61,12 @@ def op5_token_counts(spark, d):
     )
 
 
+@query
+def op6_near_duplicates(spark, d):
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    return near_dups.near_duplicates(docs, shingle=4).drop("text_hash")
+
+
 @query
 def op9_warc_revisits(spark, d):
     path = scratch_dir(spark, "warc")

@@ -54,3 +54,32 @@ SELECT page_id, n AS payload_bytes, digest AS payload_digest,
        CASE WHEN page_id <> top THEN top END AS refers_to
 FROM r
 """
+
+SQL["op6_near_duplicates"] = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 3], ' ') AS g
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, 2))) AS i FROM d WHERE len(w) > 0)
+), n AS (
+  SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+), p AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common
+  FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL
+), links AS (
+  SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
+  WHERE 100 * common >= 80 * (x.n + y.n - common)
+), reach(a, b) AS (
+  SELECT doc_id, doc_id FROM d
+  UNION
+  SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.b
+), c AS (
+  SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a
+)
+SELECT doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, component_id,
+       doc_id = component_id AS kept
+FROM c LEFT JOIN n USING (doc_id)
+"""
