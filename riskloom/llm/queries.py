@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm import near_dups, quality_rules, sharding, token_counts, url_rules, warc
+from riskloom.llm import decontaminate, near_dups, quality_rules, sharding, token_counts, url_rules, warc
 from riskloom.llm.common import table
 from riskloom.llm.sql import SQL
 from riskloom.session import scratch_dir
@@ -67,6 +67,20 @@ def op6_near_duplicates(spark, d):
     return near_dups.near_duplicates(docs, shingle=4).drop("text_hash")
 
 
+@query
+def op7_decontamination(spark, d):
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    found = decontaminate.contamination(docs, table(spark, d, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        "n_items",
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 @query
 def op9_warc_revisits(spark, d):
     path = scratch_dir(spark, "warc")

@@ -83,3 +83,37 @@ SELECT doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, component_id,
        doc_id = component_id AS kept
 FROM c LEFT JOIN n USING (doc_id)
 """
+
+SQL["op7_decontamination"] = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, list_filter(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w
+  FROM documents
+), b AS (
+  SELECT item_id, list_filter(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w
+  FROM benchmark
+), v AS (
+  SELECT DISTINCT item_id, n, array_to_string(w[i:i + n - 1], ' ') AS g
+  FROM (SELECT item_id, w, least(len(w), 10) AS n, unnest(range(1, greatest(len(w) - 8, 2))) AS i
+        FROM b WHERE len(w) > 0)
+), s AS (
+  SELECT r, n, i, array_to_string(w[i:i + n - 1], ' ') AS g
+  FROM (SELECT r, w, n, unnest(range(1, greatest(CAST(len(w) AS BIGINT) - n + 2, 1))) AS i
+        FROM d, (SELECT DISTINCT n FROM v))
+), h AS (
+  SELECT DISTINCT s.r, s.i, s.n, v.item_id FROM s JOIN v USING (n, g)
+), c AS (
+  SELECT r, count(DISTINCT i + k) AS n_hit
+  FROM (SELECT r, i, unnest(range(0, n)) AS k FROM (SELECT DISTINCT r, i, n FROM h)) GROUP BY r
+), t AS (
+  SELECT r, count(*) AS n_items, string_agg(x, ',' ORDER BY x) AS items
+  FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS x FROM h) GROUP BY r
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
+       coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN c USING (r) LEFT JOIN t USING (r)
+"""
