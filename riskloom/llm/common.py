@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from riskloom.session import scratch_dir, tune
 
@@ -58,3 +59,8 @@ def words(text: Column) -> Column:
 def let(value: Column, body) -> Column:
     """``body(value)`` with ``value`` computed once for a row."""
     return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def schema_with(df: DataFrame, added: str) -> T.StructType:
+    """The schema of ``df`` and more fields, given as DDL."""
+    return T.StructType([*df.schema.fields, *T.StructType.fromDDL(added).fields])

@@ -8,7 +8,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm import decontaminate, near_dups, quality_rules, sharding, token_counts, url_rules, warc
+from riskloom.llm import (
+    chat,
+    decontaminate,
+    near_dups,
+    pieces,
+    quality_rules,
+    sharding,
+    token_counts,
+    url_rules,
+    warc,
+)
 from riskloom.llm.common import table
 from riskloom.llm.sql import SQL
 from riskloom.session import scratch_dir
@@ -49,6 +59,13 @@ def op3_url_rules(spark, d):
     return url_rules.judge_urls(table(spark, d, "pages"), table(spark, d, "labels"))
 
 
+@query
+def op4_merge_dropout(spark, d):
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    return pieces.encode(docs, model, ids=False).drop("text")
+
+
 @query
 def op5_token_counts(spark, d):
     docs = table(spark, d, "documents").select("doc_id", "text")
@@ -81,6 +98,18 @@ def op7_decontamination(spark, d):
     )
 
 
+@query
+def op8_chat_snapshots(spark, d):
+    made = chat.format_chats(table(spark, d, "conversations"))
+    return made.select(
+        "conv_id",
+        F.col("segment").cast("long").alias("segment"),
+        "n_turns",
+        F.octet_length("rendered").cast("long").alias("n_bytes"),
+        F.sha2(F.col("rendered").cast("binary"), 256).alias("text_sha256"),
+    )
+
+
 @query
 def op9_warc_revisits(spark, d):
     path = scratch_dir(spark, "warc")

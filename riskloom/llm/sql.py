@@ -117,3 +117,32 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
        coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN c USING (r) LEFT JOIN t USING (r)
 """
+
+SQL["op8_chat_snapshots"] = """
+WITH t AS (
+  SELECT DISTINCT conv_id, coalesce(turn, -4611686018427387904) AS pos,
+         coalesce(role, '') AS role, coalesce(text, '') AS text
+  FROM conversations WHERE conv_id IS NOT NULL
+), c AS (
+  SELECT conv_id, pos, string_agg(role || chr(1) || text || chr(2), '' ORDER BY role, text) AS s
+  FROM t GROUP BY conv_id, pos
+), p AS (
+  SELECT conv_id, pos, max(pos) OVER (PARTITION BY conv_id) AS top,
+         string_agg(CAST(pos AS VARCHAR) || chr(3) || s, '') OVER (
+           PARTITION BY conv_id ORDER BY pos ROWS UNBOUNDED PRECEDING) AS h
+  FROM c
+), e AS (
+  SELECT conv_id, h, min(conv_id) OVER (PARTITION BY h) AS least FROM p WHERE pos = top
+), k AS (
+  SELECT conv_id FROM e
+  WHERE conv_id = least AND h NOT IN (SELECT h FROM p WHERE pos < top)
+), b AS (
+  SELECT conv_id, CAST(floor(pos / 256) AS BIGINT) AS block, count(*) AS n_turns,
+         string_agg('<|' || role || '|>' || chr(10) || text || '<|end|>' || chr(10), ''
+                    ORDER BY pos, role, text) AS s
+  FROM t WHERE conv_id IN (SELECT conv_id FROM k) GROUP BY ALL
+)
+SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY block) - 1 AS segment, n_turns,
+       CAST(strlen(s) AS BIGINT) AS n_bytes, sha256(s) AS text_sha256
+FROM b
+"""

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from riskloom.llm.common import session
+from riskloom.llm.common import schema_with, session
 
 LIMIT = 2048
 # remembered counts of merged pre-tokens in one Python worker
@@ -127,8 +127,7 @@ def count_tokens(
     tokenizer = Tokenizer.from_str(content)
     shared = spark.sparkContext.broadcast((content, whole_tokens(tokenizer)))
     key = hashlib.sha256(content.encode()).hexdigest()
-    kept = [F.col(c) for c in docs.columns if c != out]
-    schema = docs.select(*kept).schema.add(out, "long")
+    kept = docs.drop(out)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = _counter(key, shared)
@@ -136,7 +135,7 @@ def count_tokens(
             counts = [counter.count(t) if t else 0 for t in batch.column(text).to_pylist()]
             yield batch.append_column(out, pa.array(counts, pa.int64()))
 
-    return docs.select(*kept).mapInArrow(run, schema)
+    return kept.mapInArrow(run, schema_with(kept, f"{out} long"))
 
 
 def over(limit: int = LIMIT, column: str = "n_tokens") -> Column:
