@@ -64,3 +64,13 @@ def let(value: Column, body) -> Column:
 def schema_with(df: DataFrame, added: str) -> T.StructType:
     """The schema of ``df`` and more fields, given as DDL."""
     return T.StructType([*df.schema.fields, *T.StructType.fromDDL(added).fields])
+
+
+def keep_where(df: DataFrame, condition: Column) -> DataFrame:
+    """The rows where ``condition`` holds, evaluated above the columns it uses.
+
+    A filter on computed columns is otherwise pushed below them, and each of its mentions
+    of a column becomes one more evaluation of what made it.
+    """
+    here = df.withColumn("_here", F.monotonically_increasing_id())
+    return here.filter(condition & (F.col("_here") >= 0)).drop("_here")

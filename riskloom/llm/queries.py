@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +15,7 @@ from riskloom.llm import (
     near_dups,
     pieces,
     quality_rules,
+    rule_ensemble,
     sharding,
     token_counts,
     url_rules,
@@ -115,3 +117,17 @@ def op9_warc_revisits(spark, d):
     path = scratch_dir(spark, "warc")
     warc.write_archives(table(spark, d, "pages"), path)
     return warc.resolve_archives(warc.read_archives(spark, path)).drop("url")
+
+
+@query
+def op10_rule_ensemble(spark, d):
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    model = rule_ensemble.fit(docs, table(spark, d, "labels"))
+    scored = rule_ensemble.with_score(docs, model)
+    held = rule_ensemble.held_out(F.col("doc_id"))
+    return scored.select("doc_id", held.alias("held_out"), "score", "predicted")
+
+
+QUERIES["pipeline"] = corpus_pipeline.run
+if corpus_pipeline.ORACLE_SQL:
+    SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
