@@ -1,0 +1,126 @@
+import random
+
+import numpy as np
+from cases import EDGE, ascii_lower, edge_docs, no_docs, words
+
+from riskloom.llm import near_dups as n
+
+
+def shingles(text, k):
+    w = words(ascii_lower(text))
+    if not w:
+        return frozenset()
+    return frozenset(tuple(w[i : i + k]) for i in range(max(1, len(w) - k + 1)))
+
+
+def expected(docs, k, percent=80):
+    """Least id of each document's component, by brute force."""
+    sets = [(i, shingles(t, k)) for i, t in docs]
+    parent = {i: i for i, _ in sets}
+
+    def top(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for x, (i, a) in enumerate(sets):
+        for j, b in sets[x + 1 :]:
+            if a and b and 100 * len(a & b) >= percent * len(a | b):
+                lo, hi = sorted((top(i), top(j)))
+                parent[hi] = lo
+    return {i: top(i) for i, _ in sets}
+
+
+def family(seed, size, words_each, edits):
+    """Near copies of one text, each with its own random edits."""
+    r = random.Random(seed)
+    base = [f"w{r.randrange(5000)}" for _ in range(words_each)]
+    texts = []
+    for _ in range(size):
+        w = list(base)
+        for _ in range(r.randrange(edits)):
+            w[r.randrange(len(w))] = f"e{r.randrange(10**6)}"
+        texts.append(" ".join(w))
+    return texts
+
+
+def check(spark, texts, k):
+    docs = list(enumerate(texts, 5))
+    random.Random(1).shuffle(docs)
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(5)
+    found = {r["doc_id"]: r for r in n.near_duplicates(df, shingle=k).collect()}
+    want = expected(docs, k)
+    assert {i: r["component_id"] for i, r in found.items()} == want
+    assert {i for i, r in found.items() if r["kept"]} == set(want.values())
+    assert all(found[i]["n_shingles"] == len(shingles(t, k)) for i, t in docs)
+
+
+def test_components_equal_brute_force(spark):
+    texts = family(1, 60, 80, 9) + family(2, 40, 12, 3) + family(3, 30, 300, 40)
+    texts += ["ONE Two three", "one two THREE", "one two", "", " \n", "x"] + ["copy me now please " * 4] * 50
+    check(spark, texts, 4)
+
+
+def test_a_family_without_a_centre(spark):
+    """Chains of edits: the ends do not link, the neighbours do."""
+    w = [f"w{i}" for i in range(100)]
+    texts = []
+    for step in range(60):
+        w[(step * 3) % 100] = f"n{step}"
+        texts.append(" ".join(w))
+    check(spark, texts, 5)
+
+
+def test_edge_cases(spark):
+    rows = n.near_duplicates(edge_docs(spark)).collect()
+    assert len(rows) == len(EDGE)
+    by = {r["doc_id"]: r for r in rows}
+    assert all(r["kept"] for r in rows) and by[None]["component_id"] is None
+    assert by[2]["n_shingles"] == by[3]["n_shingles"] == by[4]["n_shingles"] == 0
+    assert n.near_duplicates(no_docs(spark)).count() == 0
+
+
+def test_deduplicated_rows(spark):
+    out = n.deduplicate(edge_docs(spark))
+    assert out.columns == edge_docs(spark).columns
+    ids = [r["doc_id"] for r in out.collect()]
+    assert sorted(i or 0 for i in ids) == [0, 1, 2, 3, 4, 5, 6, 7, 8]
+    same = spark.createDataFrame([(9, "a b c d e f g"), (3, "A b c d e f g")], "doc_id long, text string")
+    assert [r["doc_id"] for r in n.deduplicate(same).collect()] == [3]
+
+
+def test_two_texts_under_one_id(spark):
+    data = [(1, "a b c d e f g"), (1, "h i j k l m n"), (2, "h i j k l m n")]
+    df = spark.createDataFrame(data, "doc_id long, text string")
+    found = sorted((r["doc_id"], r["component_id"]) for r in n.near_duplicates(df).collect())
+    assert found == [(1, 1), (1, 1), (2, 1)]
+
+
+def test_every_coordinate_fills_and_estimates_similarity():
+    rng = np.random.default_rng(4)
+    for size in (1, 2, 7, 60, 900):
+        a = np.unique(rng.integers(0, 2**62, size).astype(np.uint64))
+        part = max(1, size // 8)
+        b = np.unique(np.r_[a[part:], rng.integers(0, 2**62, part).astype(np.uint64)])
+        x, y = n.sketch(a), n.sketch(b)
+        assert (x < np.uint64(2**64 - 1)).all()
+        j = len(np.intersect1d(a, b)) / len(np.union1d(a, b))
+        assert abs((x == y).mean() - j) < 5 * (j * (1 - j) / n.SIZE) ** 0.5 + 1e-9
+
+
+def test_agreement_expression(spark):
+    rng = np.random.default_rng(5)
+    x, y = (rng.integers(0, 3, n.SIZE).astype(np.uint64) for _ in range(2))
+    a, b = n.bit_planes(x), n.bit_planes(y)
+    low = lambda v: n.mix(v) & np.uint64(15)
+    df = spark.createDataFrame([(a.tolist(), b.tolist())], "a array<long>, b array<long>")
+    from pyspark.sql import functions as F
+
+    assert df.select(n.agreeing(F.col("a"), F.col("b"))).first()[0] == (low(x) == low(y)).sum()
+
+
+def test_components_of_a_long_path(spark):
+    edges = [(bytes([i]), bytes([i + 1])) for i in range(40)] + [(b"\xf0", b"\xf1")]
+    df = spark.createDataFrame(edges, "a binary, b binary")
+    found = {bytes(r["node"]): bytes(r["root"]) for r in n.components(df).collect()}
+    assert found == {bytes([i]): b"\x00" for i in range(41)} | {b"\xf0": b"\xf0", b"\xf1": b"\xf0"}
