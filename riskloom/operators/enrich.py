@@ -47,6 +47,8 @@ def join_accounts(
     Otherwise the join shuffles on the key; the accounts of hot senders, at most
     ``rows / hot_rows`` of them, are broadcast to those senders' rows instead.
 
+    A stream always takes the plain shuffle join there, as its senders cannot be counted.
+
     The count runs here, when the join is declared; pass its outcome as ``small`` to
     declare several joins for one count.
     """
@@ -69,7 +71,8 @@ def join_accounts(
         small = is_small(accounts, max_broadcast_rows)
     if small:
         return joined(tx, F.broadcast(side))
-    if fan_out:
+    if fan_out or tx.isStreaming:
+        # hot keys of a stream cannot be counted; the adaptive skew join splits them
         return joined(tx, side)
     cold, hot, keys = split_hot(tx, key, hot_rows)
     few = side.join(F.broadcast(keys), F.col("account_id") == F.col(key), "left_semi").distinct()

@@ -21,13 +21,17 @@ def fraud_rate(df: DataFrame, label: str = "label") -> DataFrame:
 
 
 def confusion(df: DataFrame, label: str = "label", predicted: str = "is_fraud") -> DataFrame:
-    """One row ``tp, fp, fn, tn``."""
+    """One row ``tp, fp, fn, tn, unjudged``; they add up to the rows of ``df``.
+
+    ``unjudged`` counts rows without a label or without a decision.
+    """
     hit, flagged = F.col(label) == 1, F.col(predicted)
     return df.agg(
         F.count_if(hit & flagged).alias("tp"),
         F.count_if(~hit & flagged).alias("fp"),
         F.count_if(hit & ~flagged).alias("fn"),
         F.count_if(~hit & ~flagged).alias("tn"),
+        F.count_if(hit.isNull() | flagged.isNull()).alias("unjudged"),
     )
 
 
@@ -71,7 +75,8 @@ def evaluation_report(
     df: DataFrame, label: str = "label", predicted: str = "is_fraud"
 ) -> DataFrame:
     """Counts and every metric in one row, from one pass."""
-    return confusion(df, label, predicted).select("tp", "fp", "fn", "tn", *_metric_columns())
+    return confusion(df, label, predicted).select(
+        "tp", "fp", "fn", "tn", "unjudged", *_metric_columns())
 
 
 def cumulative_counts(
@@ -83,13 +88,15 @@ def cumulative_counts(
     first made distinct with counts, then cut into quantile buckets, which stay even
     however the scores are distributed; each bucket sums on its own and the bucket
     totals, at most ``buckets`` rows, supply what lies above it. Finding the bucket
-    edges runs a job here.
+    edges runs a job here. A positive without a score is never reached, but counts among
+    the positives.
     """
-    scored = df.filter(F.col(score).isNotNull()).select(
+    every_row = df.select(
         F.col(score).cast("double").alias("threshold"),
         F.when(F.col(label) == 1, 1).otherwise(0).alias("_p"),
         F.when(F.col(label) == 0, 1).otherwise(0).alias("_q"),
     )
+    scored = every_row.filter(F.col("threshold").isNotNull())
     # quantiles of the rows: a bucket has at most as many distinct scores as rows
     cuts = scored.approxQuantile(
         "threshold", [i / buckets for i in range(1, buckets)], 1 / (4 * buckets)
@@ -105,7 +112,9 @@ def cumulative_counts(
     )
     # straight from the rows: map-side sums leave one row per bucket and task
     totals = (
-        cut.transform(scored)
+        cut.setHandleInvalid("keep")
+        .transform(every_row)
+        .withColumn("_bucket", F.when(F.col("threshold").isNull(), -1.0).otherwise(F.col("_bucket")))
         .groupBy("_bucket")
         .agg(F.sum("_p").alias("_bp"), F.sum("_q").alias("_bq"))
         .select(
@@ -186,10 +195,11 @@ def f1_threshold(
     grid_values = [low + i * step for i in range(points - 1)] + [high]
     # cells of -score are closed below, so a score equal to t falls short of t
     splits = [float("-inf"), *sorted(-t for t in grid_values), float("inf")]
-    scored = df.filter(F.col(score).isNotNull()).withColumn("_neg", -F.col(score))
+    # a positive without a score is below every threshold
+    placed = df.withColumn("_neg", F.coalesce(-F.col(score), F.lit(float("inf"))))
     cells = (
         Bucketizer(splits=splits, inputCol="_neg", outputCol="_cell")
-        .transform(scored)
+        .transform(placed)
         .groupBy("_cell")
         .agg(F.count_if(F.col(label) == 1).alias("_p"), F.count(F.lit(1)).alias("_n"))
     )

@@ -14,6 +14,8 @@ from riskloom.operators.enrich import event_struct
 from riskloom.schemas import EVENT_COLUMNS, EVENT_FIELDS
 
 ALERT_TYPE = "FRAUD"
+# the partition column of stored results, passed through where it is there
+DAY = "dt"
 SPEED_REFERENCE = ["is_fraud_speed", "speed_layer_score", "speed_layer_treshold"]
 
 
@@ -39,6 +41,10 @@ def as_batch_rows(df: DataFrame, score: str = "score", threshold: str = "thresho
     )
 
 
+def _day(df: DataFrame) -> list[str]:
+    return [DAY] if DAY in df.columns else []
+
+
 def _fact(df: DataFrame, key: str | None) -> DataFrame:
     body = ["sender_account_id", "receiver_account_id", "tx_type", "tx_amount", "is_fraud"]
     extra = [c for c in SPEED_REFERENCE if c in df.columns]
@@ -47,7 +53,7 @@ def _fact(df: DataFrame, key: str | None) -> DataFrame:
         head = ["tx_id", *clock]
     else:
         head, body = [key, *clock, "tx_id"], [c for c in body if c != key]
-    return df.select(*head, *body, *extra, "alert_id")
+    return df.select(*head, *body, *extra, "alert_id", *_day(df))
 
 
 def tx_fact(df: DataFrame) -> DataFrame:
@@ -77,6 +83,7 @@ def alerts(df: DataFrame) -> DataFrame:
         "receiver_account_id",
         "tx_type",
         "tx_amount",
+        *_day(df),
     )
 
 
@@ -113,6 +120,7 @@ def flatten_scored(payload: DataFrame) -> DataFrame:
         F.col("transaction.TX_TYPE").alias("tx_type"),
         F.col("transaction.TX_AMOUNT").alias("tx_amount"),
         F.col("transaction.TIMESTAMP").alias("timestamp"),
+        *_day(payload),
     )
 
 
@@ -164,6 +172,7 @@ def batch_results(df: DataFrame, at: Column | None = None) -> DataFrame:
         "fraud_probability",
         "is_fraud",
         F.date_format(moment, "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").alias("timestamp"),
+        *_day(df),
     )
 
 

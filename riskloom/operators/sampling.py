@@ -12,7 +12,6 @@ MAX_TRAIN_ROWS = 1_058_587
 GAM_SEED = 42
 TREE_SEED = 1212
 # hash prefixes used to find an exact sample size without a global sort
-HASH_BUCKETS = 1 << 16
 
 
 def hash_split(

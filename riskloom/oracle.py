@@ -368,7 +368,7 @@ SELECT NULL, 1, TRUE FROM range((SELECT max(event_id) + 1 FROM events)) r(i), wa
   count(*) AS n FROM batched GROUP BY 1, 2""",
         "stream_score": _SPEED,
         "backfill": _SPEED,
-        "confusion": _metrics("tp, fp, fn, tn"),
+        "confusion": _metrics("tp, fp, fn, tn, 0::BIGINT AS unjudged"),
         "class_metrics": _metrics(
             f"""round({safe.format(a='tp', b='tp+fp')}, 6) AS precision, round({recall}, 6) AS recall,
   round({fraud}, 6) AS f1_fraud, round({legit}, 6) AS f1_legit,

@@ -39,20 +39,23 @@ def backfill(
 ) -> dict[str, float]:
     """Score a transaction file with the streaming rules; returns the throughput.
 
-    Ids follow the position in the scan, so a retried task repeats them, and they are
-    fixed for good in the staged table.
+    Ids follow the position in the scan, so a retried task repeats them; they are fixed
+    for good in the staged table, but another split size gives other ids. Every output
+    goes to the folder of this batch and replaces it, so a second run changes nothing.
     """
     start = time.time()
     rows = readers.read_transactions_csv(spark, csv_path, labelled=False, ts_unit=ts_unit)
     parsed = rows.withColumn(
         "tx_id", uuid_from(F.lit(csv_path), F.monotonically_increasing_id())
-    ).withColumn("value", F.to_json(facts.event_struct()))
+    ).withColumnRenamed("raw", "value")
     path = f"{out}/speed_layer/staged/batch_id=backfill"
     decided = speed.decide_events(parsed, accounts, scorer, threshold, inputs)
     scored, rejected = speed.stage(decided, path)
     speed.persist_staged(scored, rejected, out, "/batch_id=backfill", mode="overwrite")
-    writers.append_predictions_csv(
-        facts.scored_payload(scored, F.col("tx_timestamp")), f"{out}/predictions_csv"
+    writers.write_predictions_csv(
+        facts.scored_payload(scored, F.col("tx_timestamp")),
+        f"{out}/predictions_csv/batch_id=backfill",
+        "overwrite",
     )
     seconds = time.time() - start
     # both from file footers
@@ -61,15 +64,32 @@ def backfill(
 
 
 def batch_features(
-    flat: DataFrame, accounts: DataFrame, on_missing: str = "quarantine"
+    flat: DataFrame,
+    accounts: DataFrame,
+    on_missing: str = "quarantine",
+    since: str | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """``(usable, rejected)``: enriched transactions with all eleven model inputs.
 
     Windows see every transaction of a sender, before any row is set aside, and come
     before the join: they need no account. Rejected rows carry no window features, so
     finding them costs no shuffle.
-    """
 
+    With ``since``, only rows of that day (column ``dt``) and later come out; the rows
+    before it are history for the windows, and of that only the senders that come out.
+    Mean and deviation are then those known on the row's own day.
+    """
+    if since is not None:
+        fresh = F.col(facts.DAY) >= since
+        senders = flat.filter(fresh).select(F.col("sender_account_id").alias("_s")).distinct()
+        same = F.col("sender_account_id").eqNullSafe(F.col("_s"))
+        history = flat.filter(~fresh).join(senders, same, "left_semi")
+        featured = add_behavioral_features(
+            history.unionByName(flat.filter(fresh)), as_of=facts.DAY
+        ).filter(fresh)
+        flat = flat.filter(fresh)
+    else:
+        featured = add_behavioral_features(flat)
     small = is_small(accounts)
 
     def checked(rows: DataFrame):
@@ -78,7 +98,7 @@ def batch_features(
         needed = [c for c in [*TREE_NUMERIC, *TREE_CATEGORICAL] if c not in FEATURES]
         return require(add_model_features(enriched), needed, on_missing)
 
-    usable, _ = checked(add_behavioral_features(flat))
+    usable, _ = checked(featured)
     _, rejected = checked(flat)
     return usable, rejected
 
@@ -98,20 +118,25 @@ def batch_scoring(
 
     The JSON is read once, into a Parquet table in the shared scratch folder: the
     window features read their input more than once. ``scorer`` adds ``score`` of its
-    own as ``fraud_probability``; the speed score stays a feature. ``since`` prunes the
-    folders read, and the windows then see only what is read.
+    own as ``fraud_probability``; the speed score stays a feature.
+
+    With ``since`` (the name of a ``dt=`` folder) the job is incremental: all folders are
+    read for the windows, but only that day and later ones are scored, and only their
+    folders of the result tables are replaced; earlier results stay. Runs day after day
+    give what one run with the first day as ``since`` gives, as long as no folder holds
+    events older than those of the folders before it.
     """
     landed = scratch_dir(spark, "flattened")
-    records = readers.read_scored_json(spark, scored_json, since)
+    records = readers.read_scored_json(spark, scored_json, day=since is not None)
     flat = facts.as_transactions(facts.flatten_scored(records))
     flat.write.mode("overwrite").parquet(landed)
 
-    usable, rejected = batch_features(spark.read.parquet(landed), accounts, on_missing)
+    usable, rejected = batch_features(spark.read.parquet(landed), accounts, on_missing, since)
     decided = decide_gt(scorer(usable), threshold, "fraud_probability")
     ready = facts.with_write_time(facts.with_alert_id(facts.as_batch_rows(decided)))
-    path = f"{out}/batch_layer/staged"
+    path = scratch_dir(spark, "batch-staged") if since else f"{out}/batch_layer/staged"
     ready.write.mode("overwrite").parquet(path)
-    rejected.write.mode("overwrite").parquet(f"{out}/batch_layer/quarantine")
+    writers.by_day(rejected, "overwrite").parquet(f"{out}/batch_layer/quarantine")
 
     staged = spark.read.parquet(path)
     writers.write_fan_out(staged, out, "batch_layer", "overwrite")

@@ -41,7 +41,6 @@ EVENT_COLUMNS = {
     "TX_AMOUNT": "tx_amount",
     "TIMESTAMP": "ts",
 }
-LABELLED_EVENT = StructType(EVENT.fields + [StructField("IS_FRAUD", StringType(), True)])
 
 ACCOUNT_CSV = _struct(
     ("ACCOUNT_ID", StringType()),

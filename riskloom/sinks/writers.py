@@ -7,13 +7,13 @@ from concurrent.futures import ThreadPoolExecutor
 from functools import partial
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.operators import facts
 from riskloom.schemas import CLUSTERING, LAYERS
 
-BATCH_FILE_ROWS = 1000
+BATCH_FILE_ROWS = 1_000_000
 
 
 def create_tables(spark: SparkSession, warehouse: str, layers: dict = LAYERS) -> list[str]:
@@ -38,7 +38,8 @@ def clustered(df: DataFrame, table: str) -> DataFrame:
     sender span several files; each file covers a narrow key range, so reads of one
     sender skip the others by their statistics.
     """
-    order = [
+    order = [F.col(facts.DAY)] if facts.DAY in df.columns else []
+    order += [
         F.col(c[1:]).desc() if c.startswith("-") else F.col(c).asc() for c in CLUSTERING[table]
     ]
     return df.repartitionByRange(*order).sortWithinPartitions(*order)
@@ -47,7 +48,16 @@ def clustered(df: DataFrame, table: str) -> DataFrame:
 def write_table(
     df: DataFrame, path: str, table: str, mode: str = "append", format: str = "parquet"
 ) -> None:
-    clustered(df, table).write.mode(mode).format(format).save(path)
+    """Rows with a day go to its ``dt=`` folder; ``overwrite`` then replaces only the
+    folders of the days that are written."""
+    by_day(clustered(df, table), mode).format(format).save(path)
+
+
+def by_day(df: DataFrame, mode: str) -> DataFrameWriter:
+    writer = df.write.mode(mode)
+    if facts.DAY not in df.columns:
+        return writer
+    return writer.option("partitionOverwriteMode", "dynamic").partitionBy(facts.DAY)
 
 
 def write_accounts(accounts: DataFrame, warehouse: str, mode: str = "overwrite") -> dict[str, int]:
@@ -116,12 +126,12 @@ def write_batch_json(
     results: DataFrame, path: str, rows_per_file: int = BATCH_FILE_ROWS, mode: str = "append"
 ) -> None:
     """Batch results, at most ``rows_per_file`` to a file."""
-    results.write.mode(mode).option("maxRecordsPerFile", rows_per_file).json(path)
+    by_day(results, mode).option("maxRecordsPerFile", rows_per_file).json(path)
 
 
-def append_predictions_csv(payload: DataFrame, path: str) -> None:
+def write_predictions_csv(payload: DataFrame, path: str, mode: str = "append") -> None:
     """Flattened result records; every part file carries the header."""
-    facts.dotted(payload).write.mode("append").option("header", True).csv(path)
+    facts.dotted(payload).write.mode(mode).option("header", True).csv(path)
 
 
 def publish(payload: DataFrame, format: str = "kafka", path: str | None = None, **options) -> None:

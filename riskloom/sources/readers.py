@@ -6,12 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from riskloom.functions import epoch_seconds
 from riskloom.operators.facts import undotted
-from riskloom.operators.validate import coerce_events
+from riskloom.operators.validate import BAD_TYPE, VALID, coerce_events
 from riskloom.schemas import (
     ACCOUNT_CSV,
-    EVENT,
     EVENT_COLUMNS,
     EVENT_FIELDS,
     PREDICTIONS_CSV,
@@ -20,11 +18,16 @@ from riskloom.schemas import (
 
 
 def _csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """Columns are found by header name, so their order in the file is free."""
+    """Columns are found by header name, so their order in the file is free.
+
+    A file of the folder whose header differs from the first one's is an error: its
+    columns would be taken for others.
+    """
     header = spark.read.option("header", True).csv(path).columns
     known = {f.name: f for f in schema.fields}
     actual = StructType([known.get(c, StructField(c, StringType(), True)) for c in header])
-    return spark.read.option("header", True).schema(actual).csv(path)
+    reader = spark.read.option("header", True).option("enforceSchema", False)
+    return reader.schema(actual).csv(path)
 
 
 def read_accounts_csv(spark: SparkSession, path: str) -> DataFrame:
@@ -35,10 +38,11 @@ def read_accounts_csv(spark: SparkSession, path: str) -> DataFrame:
 def read_transactions_csv(
     spark: SparkSession, path: str, labelled: bool = True, ts_unit: str = "s"
 ) -> DataFrame:
-    """Event columns plus the label; ids are the rows' own content hash.
+    """Event columns, the label, ``status`` and ``raw``, the fields as they were read.
 
     Fields are read as text and coerced, so that a bad row gets a ``status`` instead
-    of failing the job. Splits come from the file size, not from a row count.
+    of failing the job; a label that is neither true nor false is NULL and such a row
+    ``bad_type``. Splits come from the file size, not from a row count.
     """
     wanted = [*EVENT_FIELDS, "IS_FRAUD"] if labelled else list(EVENT_FIELDS)
     text = StructType([StructField(c, StringType(), True) for c in wanted])
@@ -49,10 +53,17 @@ def read_transactions_csv(
     typed = coerce_events(rows.withColumn("_e", raw), "_e", ts_unit)
     columns = [*EVENT_COLUMNS.values()]
     if labelled:
-        label = F.lower(F.col("IS_FRAUD").cast("string")).isin("true", "1", "1.0")
-        typed = typed.withColumn("is_fraud", label)
+        text = F.lower(F.trim("IS_FRAUD"))
+        label = F.when(text.isin("true", "1", "1.0"), True).when(
+            text.isin("false", "0", "0.0"), False
+        )
+        bad = (F.col("status") == VALID) & F.col("is_fraud").isNull()
+        typed = typed.withColumn("is_fraud", label).withColumn(
+            "status", F.when(bad, BAD_TYPE).otherwise(F.col("status"))
+        )
         columns.append("is_fraud")
-    return typed.select(*columns, "status")
+    read = [F.col(f"_e.{c}") for c in EVENT_FIELDS] + ([F.col("IS_FRAUD")] if labelled else [])
+    return typed.select(*columns, "status", F.to_json(F.struct(*read)).alias("raw"))
 
 
 def read_predictions_csv(spark: SparkSession, path: str) -> DataFrame:
@@ -63,18 +74,25 @@ def read_predictions_csv(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_scored_json(
-    spark: SparkSession, path: str, since: str | None = None, until: str | None = None
+    spark: SparkSession,
+    path: str,
+    since: str | None = None,
+    until: str | None = None,
+    day: bool = False,
 ) -> DataFrame:
-    """Scored transactions. ``since``/``until`` prune the ``dt=`` folders they name."""
+    """Scored transactions. ``since``/``until`` prune the ``dt=`` folders they name.
+
+    ``day`` keeps the name of the folder as a column ``dt``, NULL outside such folders.
+    """
     rows = spark.read.schema(SCORED_TX).json(path)
-    if since is not None or until is not None:
+    if day or since is not None or until is not None:
         partitioned = StructType([*SCORED_TX.fields, StructField("dt", StringType(), True)])
         rows = spark.read.schema(partitioned).json(path)
         if since is not None:
             rows = rows.filter(F.col("dt") >= since)
         if until is not None:
             rows = rows.filter(F.col("dt") < until)
-    return rows.select(*SCORED_TX.fieldNames())
+    return rows.select(*SCORED_TX.fieldNames(), *(["dt"] if day else []))
 
 
 def read_table(
@@ -110,12 +128,3 @@ def read_events(
     key = uuid_from("_metadata.file_path", "value")
     return rows.select(key.alias("tx_id"), F.col("value"))
 
-
-def typed_events(df: DataFrame, ts_unit: str = "s") -> DataFrame:
-    """Wire-named event columns under the operators' names, already typed on read."""
-    renamed = df.withColumnsRenamed(EVENT_COLUMNS)
-    return renamed.withColumn("ts", epoch_seconds("ts", ts_unit))
-
-
-def event_schema() -> StructType:
-    return EVENT

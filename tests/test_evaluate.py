@@ -118,3 +118,16 @@ def test_f1_default_without_hits(spark):
 def test_curve_without_positives(spark):
     got = rows(evaluate.pr_curve(frame(spark, [(0.2, 0), (0.4, 0)])), "threshold")
     assert [(r["precision"], r["recall"]) for r in got] == [(0.0, 1.0), (0.0, 1.0)]
+
+
+def test_rows_without_score_label_or_decision_are_counted(spark):
+    df = spark.createDataFrame(
+        [(1, True, 0.9), (None, True, 0.8), (1, None, None), (0, False, 0.1), (0, None, 0.2)],
+        "label int, is_fraud boolean, score double",
+    )
+    counts = evaluate.confusion(df).first()
+    assert sum(counts) == 5 and counts["unjudged"] == 3
+    curve = {r["threshold"]: r for r in evaluate.cumulative_counts(df).collect()}
+    assert curve[0.1]["tp"] == 1 and curve[0.1]["positives"] == 2
+    assert evaluate.cost_threshold(df).first()["cost"] == 1
+    assert evaluate.f1_threshold(df).first()["f1"] == pytest.approx(2 / 3)

@@ -22,12 +22,12 @@ ACCOUNTS = """ACCOUNT_ID,CUSTOMER_ID,INIT_BALANCE,COUNTRY,ACCOUNT_TYPE,TX_BEHAVI
 3,C_3,-5,FR,I,3
 """
 TRANSACTIONS = """TX_AMOUNT,SENDER_ACCOUNT_ID,RECEIVER_ACCOUNT_ID,TX_TYPE,TIMESTAMP,IS_FRAUD
-333.44,1,2,TRANSFER,1708001234,True
-12.5,2,1,TRANSFER,1708001300,False
-12.5,2,1,TRANSFER,1708001300,False
-oops,2,1,TRANSFER,1708001301,False
-5.0,99,1,TRANSFER,1708001302,False
-7.0,3,1,,1708001303,False
+512.75,1,2,TRANSFER,1717171717,True
+12.5,2,1,TRANSFER,1717171800,False
+12.5,2,1,TRANSFER,1717171800,False
+oops,2,1,TRANSFER,1717171801,False
+5.0,99,1,TRANSFER,1717171802,False
+7.0,3,1,,1717171803,False
 """
 
 
@@ -61,7 +61,7 @@ def test_accounts_csv_to_both_layers(spark, csv):
 
 def test_csv_columns_are_found_by_name_and_bad_rows_kept(spark, csv):
     got = rows(readers.read_transactions_csv(spark, f"{csv}/transactions.csv"), "ts", "status")
-    assert got[0]["tx_amount"] == 333.44 and got[0]["is_fraud"] is True
+    assert got[0]["tx_amount"] == 512.75 and got[0]["is_fraud"] is True
     assert [r["status"] for r in got] == ["valid"] * 3 + ["bad_type", "valid", "missing_field"]
 
 
@@ -141,7 +141,7 @@ def test_predictions_csv_appends_with_dotted_names(spark, sf_dir, tmp_path):
     payload = facts.scored_payload(_decided(spark, sf_dir))
     path = f"{tmp_path}/csv"
     for _ in range(2):
-        writers.append_predictions_csv(payload, path)
+        writers.write_predictions_csv(payload, path)
     header = next(Path(path).glob("*.csv")).read_text().splitlines()[0]
     assert "transaction.SENDER_ACCOUNT_ID" in header
     back = readers.read_predictions_csv(spark, path)
@@ -168,10 +168,18 @@ def test_backfill_job(spark, csv):
     assert speed["rows"] == 6 and speed["rows_per_second"] > 0
     table = rows(spark.read.parquet(f"{csv}/w/speed_layer/transactions"), "tx_amount")
     # two equal transactions stay two, under ids of their own
-    assert [r["tx_amount"] for r in table] == [12.5, 12.5, 333.44]
+    assert [r["tx_amount"] for r in table] == [12.5, 12.5, 512.75]
     assert len({r["tx_id"] for r in table}) == 3
     quarantine = rows(spark.read.parquet(f"{csv}/w/speed_layer/quarantine"), "reason")
     assert [r["reason"] for r in quarantine] == ["bad_type", "missing_field", "no_account"]
+    assert '"TX_AMOUNT":"oops"' in "".join(r["value"] for r in quarantine)
+    assert readers.read_predictions_csv(spark, f"{csv}/w/predictions_csv").count() == 3
+    # a second run changes nothing
+    jobs.backfill(spark, f"{csv}/transactions.csv", accounts, speed_scorer, 0.5, f"{csv}/w")
+    again = spark.read.parquet(f"{csv}/w/speed_layer/transactions")
+    assert rows(again.drop("tx_timestamp"), "tx_amount", "tx_id") == rows(
+        spark.createDataFrame(table, again.schema).drop("tx_timestamp"), "tx_amount", "tx_id"
+    )
     assert readers.read_predictions_csv(spark, f"{csv}/w/predictions_csv").count() == 3
 
 
@@ -204,3 +212,49 @@ def test_batch_job_on_the_speed_layers_output(spark, sf_dir, tmp_path):
     )
     again = spark.read.parquet(f"{tmp_path}/batch_layer/transactions")
     assert again.count() == n_rows
+
+
+def test_daily_runs_equal_one_run_and_keep_earlier_days(spark, sf_dir, tmp_path):
+    scored = _decided(spark, sf_dir)
+    days = ["2024-02-01", "2024-02-02", "2024-02-03"]
+    low, high = scored.agg(F.min("ts"), F.max("ts")).first()
+    third = F.floor((F.col("ts") - low) * 3 / (high + 1 - low))
+
+    def add(k, path):
+        part = scored.filter(third == k)
+        writers.write_scored_json(facts.scored_payload(part, F.lit(days[k]).cast("timestamp")), path)
+
+    for k in range(3):
+        add(k, f"{tmp_path}/all")
+    accounts = fx.accounts(spark, sf_dir)
+
+    def stored(out, table="transactions"):
+        df = spark.read.parquet(f"{out}/batch_layer/{table}")
+        return rows(df.drop("tx_timestamp", "alert_timestamp"), "tx_id")
+
+    def scorer(df):
+        """Lets the features through, to compare them too."""
+        kept = F.round(F.col("sender_avg_amount") + F.col("cnt_last_24h"), 6)
+        return fx.batch_score(df).withColumn("speed_layer", kept).withColumn("tx_amount", kept)
+
+    whole, daily = f"{tmp_path}/whole", f"{tmp_path}/daily"
+    jobs.batch_scoring(spark, f"{tmp_path}/all", accounts, scorer, whole, since="2024-02-01")
+    source = f"{tmp_path}/growing"
+    for k in range(3):
+        add(k, source)
+        jobs.batch_scoring(spark, source, accounts, scorer, daily, since=days[k])
+    for table in ("transactions", "transactions_by_sender", "alerts", "quarantine"):
+        assert stored(daily, table) == stored(whole, table)
+    assert len({r["dt"] for r in stored(daily)}) == 3
+
+
+def test_files_with_other_headers_are_an_error(spark, tmp_path):
+    head = "SENDER_ACCOUNT_ID,RECEIVER_ACCOUNT_ID,TX_TYPE,TX_AMOUNT,TIMESTAMP,IS_FRAUD"
+    swapped = "RECEIVER_ACCOUNT_ID,SENDER_ACCOUNT_ID,TX_TYPE,TX_AMOUNT,TIMESTAMP,IS_FRAUD"
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.csv").write_text(head + "\n1,2,TRANSFER,5.0,10,maybe\n")
+    got = rows(readers.read_transactions_csv(spark, f"{tmp_path}/in"))
+    assert got[0]["is_fraud"] is None and got[0]["status"] == "bad_type"
+    (tmp_path / "in" / "b.csv").write_text(swapped + "\n1,2,TRANSFER,5.0,10,true\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        readers.read_transactions_csv(spark, f"{tmp_path}/in").collect()

@@ -124,3 +124,52 @@ def test_scratch_folder(spark):
     with pytest.raises(ValueError):
         scratch_dir(Named(None), "part")
     assert scratch_dir(spark, "part")
+
+
+@pytest.mark.parametrize("hot_rows", [0, 3])
+@pytest.mark.parametrize("as_of", [None, "day"])
+def test_windows_do_not_depend_on_the_switch(spark, hot_rows, as_of):
+    """Repeated ids, ties, NULL times, ids, senders and amounts."""
+    import random
+
+    r = random.Random(hot_rows)
+    data = [
+        (
+            r.choice([1, 1, 1, 2, None]),
+            r.choice([None, *range(0, 400_000, 40_000)]),
+            r.choice([None, 1.0, 2.5, 7.25]),
+            r.choice([None, *range(40)]),
+            f"d{r.randrange(3)}",
+        )
+        for _ in range(120)
+    ]
+    data += data[:20]
+    df = spark.createDataFrame(
+        data, "sender_account_id int, ts long, tx_amount double, tx_id long, day string"
+    )
+
+    def found(limit):
+        out = add_behavioral_features(df, hot_rows=limit, as_of=as_of)
+        for c in ("sender_avg_amount", "sender_std_amount"):
+            out = out.withColumn(c, F.round(c, 6))
+        return sorted(map(repr, out.collect()))
+
+    assert found(hot_rows) == found(10**9)
+
+
+def test_large_accounts_join_a_stream(spark, tmp_path):
+    from riskloom.operators.enrich import join_accounts
+
+    tx = spark.createDataFrame([(1, 10), (2, 11)], "tx_id long, sender_account_id int")
+    tx.write.parquet(f"{tmp_path}/in")
+    accounts = spark.createDataFrame(
+        [(10, "a", "b")], "account_id int, customer_id string, country string"
+    )
+    stream = spark.readStream.schema(tx.schema).parquet(f"{tmp_path}/in")
+    joined = join_accounts(stream, accounts, "left", ["country"], max_broadcast_rows=0)
+    query = (
+        joined.writeStream.format("memory").queryName("large_join").trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+    got = sorted((r["tx_id"], r["country"]) for r in spark.table("large_join").collect())
+    assert got == [(1, "b"), (2, None)]

@@ -30,7 +30,7 @@ def event(sender, amount, **change):
             "RECEIVER_ACCOUNT_ID": 2,
             "TX_TYPE": "TRANSFER",
             "TX_AMOUNT": amount,
-            "TIMESTAMP": 1708001234,
+            "TIMESTAMP": 1717171717,
             **change,
         }
     )
