@@ -276,6 +276,20 @@ GROUP BY p.tx_id, p.score, t.is_fraud, t.tx_amount""",
   round({LN1P.format(x='init_balance')}, 6) AS init_balance_log FROM joined""",
         "behavioral": _BEHAVIOUR
         + f"SELECT tx_id, time_since_last_tx, cnt_last_24h, {cnt_columns} FROM behaviour",
+        "batch_incremental": _with(TX, ACCOUNTS)
+        + """, days AS (SELECT *, strftime(make_timestamp(ts * 1000000), '%Y-%m-%d') AS dt FROM tx),
+seen AS (
+  SELECT *, lag(ts) OVER (PARTITION BY sender_account_id ORDER BY ts, tx_id) AS prev,
+    count(*) OVER (PARTITION BY sender_account_id ORDER BY ts
+                   RANGE BETWEEN 86400 PRECEDING AND CURRENT ROW) AS cnt_last_24h,
+    avg(tx_amount) OVER (PARTITION BY sender_account_id ORDER BY dt
+                         RANGE UNBOUNDED PRECEDING) AS mean
+  FROM days)
+SELECT tx_id, dt, coalesce(ts - prev, 999999) AS time_since_last_tx, cnt_last_24h,
+  round(mean, 8) AS sender_avg_amount
+FROM seen JOIN accounts ON sender_account_id = account_id
+WHERE init_balance > -1
+  AND CAST(dt AS DATE) >= (SELECT CAST(max(dt) AS DATE) - 6 FROM days)""",
         "lag_gap": _BEHAVIOUR + "SELECT tx_id, prev_ts, time_since_last_tx FROM behaviour",
         "cnt_24h": _BEHAVIOUR + "SELECT tx_id, cnt_last_24h FROM behaviour",
         "sender_stats": _BEHAVIOUR + f"SELECT tx_id, {cnt_columns} FROM behaviour",

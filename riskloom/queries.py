@@ -8,6 +8,7 @@ fall exactly between two roundings.
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,8 +25,8 @@ from riskloom.operators import (
     validate,
     windows,
 )
-from riskloom.plans import training
-from riskloom.schemas import GAM_CATEGORICAL, SCORED_TX
+from riskloom.plans import jobs, training
+from riskloom.schemas import ACCOUNT_CSV, GAM_CATEGORICAL, SCORED_TX
 from riskloom.session import scratch_dir
 from riskloom.streaming import speed
 
@@ -55,15 +56,8 @@ def accounts_import(spark, d):
     a = fx.accounts(spark, d)
     raw = a.select(
         *[
-            F.col(c).cast("string").alias(c.upper())
-            for c in [
-                "account_id",
-                "customer_id",
-                "init_balance",
-                "country",
-                "account_type",
-                "tx_behavior_id",
-            ]
+            F.col(c.lower()).cast("string").alias(c)
+            for c in ACCOUNT_CSV.fieldNames()
         ]
     )
     return facts.import_accounts(raw)
@@ -189,6 +183,18 @@ def behavioral(spark, d):
     return rounded(out, "sender_avg_amount", "sender_std_amount", digits=8)
 
 
+@query
+def batch_incremental(spark, d):
+    """The features of the last week of days, by a run that leaves earlier days alone."""
+    day = F.date_format(F.timestamp_seconds("ts"), "yyyy-MM-dd")
+    flat = fx.scored(spark, d).withColumn("dt", day)
+    last = flat.agg(F.max("dt")).first()[0]
+    since = str(date.fromisoformat(last) - timedelta(days=6)) if last else ""
+    usable, _ = jobs.batch_features(flat, fx.accounts(spark, d), since=since)
+    out = usable.select("tx_id", "dt", *windows.FEATURES[1:4])
+    return rounded(out, "sender_avg_amount", digits=8)
+
+
 @query
 def lag_gap(spark, d):
     out = windows.add_behavioral_features(fx.transactions(spark, d))
