@@ -6,14 +6,17 @@ each bin keeps its least value; bins still empty after ``SIZE`` rounds get a rou
 their own, so every coordinate is filled, and two sketches agree in a coordinate with
 the probability of the sets' Jaccard similarity, with the concentration of independent
 coordinates. 48 bands of 6 coordinates find a pair of similarity 0.8 but for a
-probability below 1e-6; every candidate is then decided on the full sets.
+probability below 1e-6; all coordinates, four bits of each, then tell candidates that
+agree in five standard deviations fewer than such a pair would (below 1e-6 again); every
+other candidate is decided on the full sets.
 
 Groups of copies never become pairs. Documents with equal sets are one class, folded
-before the shuffle. In each bucket all classes are compared with one hub, the class with
-the most bucket mates; links are joined to components, and only classes of one bucket
-that are still in different components are looked at again, with new hubs, until the
-pairs left are fewer than ``REST`` times the classes; those are all compared. So no pair
-of a shared bucket is left undecided unless its ends are in one component already.
+before the shuffle. In each bucket all classes are compared with one hub only, the class
+with the most bucket mates, first where they share most buckets; links are joined to
+components. What is left are the classes outside the largest component of a bucket: they
+are compared with the bucket's classes of other components, by coordinates inside the
+join, which puts out a pair once, in the first bucket that it shares. So no pair of a
+shared bucket is left undecided unless its ends are in one component already.
 
 Classes are named by a 128-bit digest of their set. NULL and empty texts, and texts
 without words, have the empty set; they and rows with a NULL id are linked with nothing
@@ -28,7 +31,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.llm.common import land, session
@@ -36,8 +39,10 @@ from riskloom.llm.common import land, session
 SHINGLE = 5
 PERCENT = 80
 BANDS, ROWS = 48, 6
-SIZE = BANDS * ROWS
-REST = 4
+SIZE = 2 * BANDS * ROWS  # coordinates; the bands take the first half
+PLANES = 4  # bits of a coordinate that are kept to compare
+WIDTH = SIZE // 64  # longs of a plane
+SIGMAS = 5
 # hash evaluations done at once
 BLOCK = 4096
 
@@ -96,25 +101,53 @@ def sketch(shingles: np.ndarray) -> np.ndarray:
         value = (rounds[:, None] << shift) | (r & low)
         np.minimum.at(bins, place.ravel().astype(np.int64), value.ravel())
         at += step
-    for b in np.flatnonzero(bins == _M64):  # only sets of few shingles
-        r = mix(shingles ^ ROUND_SEEDS[SIZE + b])
-        bins[b] = (np.uint64(SIZE + b) << shift) | (r & low).min()
+    empty = np.flatnonzero(bins == _M64)  # only for sets of few shingles
+    if len(empty):
+        r = mix(shingles[None, :] ^ ROUND_SEEDS[SIZE + empty][:, None])
+        bins[empty] = ((SIZE + empty).astype(np.uint64) << shift) | (r & low).min(axis=1)
     return bins
 
 
 def band_keys(bins: np.ndarray) -> np.ndarray:
     """One 64-bit key a band, as int64."""
-    rows = (mix(bins.reshape(BANDS, ROWS)) * BAND_SEEDS).sum(axis=1, dtype=np.uint64)
+    rows = (mix(bins[: BANDS * ROWS].reshape(BANDS, ROWS)) * BAND_SEEDS).sum(axis=1, dtype=np.uint64)
     return mix(rows + np.arange(BANDS, dtype=np.uint64) * np.uint64(_GOLD)).view(np.int64)
 
 
+def bit_planes(bins: np.ndarray) -> np.ndarray:
+    """``PLANES`` bits of every coordinate, plane by plane, as int64."""
+    low = mix(bins)[None, :] >> np.arange(PLANES, dtype=np.uint64)[:, None]
+    return np.packbits((low & np.uint64(1)).astype(bool), axis=1).view("<i8").ravel()
+
+
+def agreeing(a: Column, b: Column) -> Column:
+    """Coordinates whose kept bits are equal, of two ``planes`` columns."""
+    total = None
+    for w in range(WIDTH):
+        places = [F.lit(p * WIDTH + w) for p in range(PLANES)]
+        differ = None
+        for i in places:
+            x = F.get(a, i).bitwiseXOR(F.get(b, i))
+            differ = x if differ is None else differ.bitwiseOR(x)
+        same = F.bit_count(F.bitwise_not(differ))
+        total = same if total is None else total + same
+    return total
+
+
+def least_agreement(percent: int) -> int:
+    """``SIGMAS`` standard deviations below the mean of a pair that just links."""
+    j = percent / 100
+    p = j + (1 - j) / 2**PLANES
+    return int(SIZE * p - SIGMAS * (SIZE * p * (1 - p)) ** 0.5)
+
+
 def linked(a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> bool:
     common = len(np.intersect1d(a, b, assume_unique=True))
     return 100 * common >= percent * (len(a) + len(b) - common)
 
 
 def sketched(docs: DataFrame, shingle: int) -> DataFrame:
-    """doc_id, text_hash, n_shingles, digest, bands; the last two NULL for empty sets."""
+    """doc_id, text_hash, n_shingles, digest, bands, planes; the last three NULL for no words."""
     schema = pa.schema(
         [
             ("doc_id", pa.int64()),
@@ -122,30 +155,35 @@ def sketched(docs: DataFrame, shingle: int) -> DataFrame:
             ("n_shingles", pa.int64()),
             ("digest", pa.binary()),
             ("bands", pa.list_(pa.int64())),
+            ("planes", pa.list_(pa.int64())),
         ]
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, digests, bands = [], [], []
-            seen: dict[bytes, np.ndarray] = {}
+            sizes, digests, bands, planes = [], [], [], []
+            seen: dict[bytes | None, tuple] = {None: (None, None)}
             for text in batch.column(2).to_pylist():
                 found = shingle_set(text, shingle)
                 sizes.append(len(found))
                 digest = set_digest(found) if len(found) else None
                 if digest and digest not in seen:
-                    seen[digest] = band_keys(sketch(found))
+                    bins = sketch(found)
+                    seen[digest] = band_keys(bins), bit_planes(bins)
                 digests.append(digest)
-                bands.append(seen.get(digest))
+                bands.append(seen[digest][0])
+                planes.append(seen[digest][1])
             columns = [batch.column(0), batch.column(1)]
-            for values, field in zip((sizes, digests, bands), list(schema)[2:]):
+            for values, field in zip((sizes, digests, bands, planes), list(schema)[2:]):
                 columns.append(pa.array(values, field.type))
             yield pa.RecordBatch.from_arrays(columns, schema=schema)
 
     return docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text"
     ).mapInArrow(
-        run, "doc_id long, text_hash long, n_shingles long, digest binary, bands array<long>"
+        run,
+        "doc_id long, text_hash long, n_shingles long, digest binary, bands array<long>, "
+        "planes array<long>",
     )
 
 
@@ -159,7 +197,7 @@ def verified(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) ->
 
         def of(name: bytes, text: str) -> np.ndarray:
             if name not in kept:
-                if len(kept) >= 16:
+                if len(kept) >= 64:
                     kept.pop(next(iter(kept)))
                 kept[name] = shingle_set(text, shingle)
             return kept[name]
@@ -167,8 +205,7 @@ def verified(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) ->
         for batch in batches:
             a, b, ta, tb = (batch.column(k).to_pylist() for k in range(4))
             found = [
-                linked(shingle_set(x, shingle), of(hub, y), percent)
-                for x, hub, y in zip(ta, b, tb)
+                linked(of(x, s), of(y, t), percent) for x, y, s, t in zip(a, b, ta, tb)
             ]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(a, pa.binary()), pa.array(b, pa.binary()), pa.array(found, pa.bool_())],
@@ -224,88 +261,88 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def class_links(
-    members: DataFrame, texts: DataFrame, shingle: int, percent: int
+    classes: DataFrame, members: DataFrame, texts: DataFrame, shingle: int, percent: int
 ) -> DataFrame | None:
-    """node, root of the classes that are linked; ``members``: bucket, digest, n."""
-    n_classes = texts.count()
-    if not n_classes:
+    """node, root of the classes that are linked.
+
+    ``classes``: digest, n, bands, planes; ``members``: bucket, digest, n, of the buckets
+    of several classes; ``texts``: digest, text of their classes.
+    """
+    if members.isEmpty():
         return None
-    tried = found = roots = None
-
-    def compatible(n: str, m: str):
-        low, high = F.least(n, m), F.greatest(n, m)
-        return 100 * low >= percent * high
-
-    def decide(pairs: DataFrame, label: str) -> None:
-        nonlocal tried, found, roots
-        fresh = pairs.select("a", "b").distinct()
-        if tried is not None:
-            fresh = fresh.join(tried, ["a", "b"], "left_anti")
-            fresh = fresh.join(tried.select(F.col("b").alias("a"), F.col("a").alias("b")), ["a", "b"], "left_anti")
-        result = land(verified(fresh, texts, shingle, percent), label)
+    enough = least_agreement(percent)
+    sizes_fit = lambda n, m: 100 * F.least(n, m) >= percent * F.greatest(n, m)
+    planes = classes.select("digest", "planes")
+    tried: list[DataFrame] = []
+    roots: DataFrame | None = None
+
+    def decide(pairs: DataFrame) -> None:
+        """Verify new pairs (a, b), and join the links found to the components."""
+        nonlocal roots
+        for old in tried:
+            pairs = pairs.join(old, ["a", "b"], "left_anti")
+        result = land(verified(pairs, texts, shingle, percent), "verified")
         new = result.filter("link").select("a", "b")
-        tried = result.select("a", "b") if tried is None else tried.union(result.select("a", "b"))
-        stars = new if roots is None else roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(new)
-        if roots is None or not new.isEmpty():
-            roots = land(components(stars), "roots")
-        found = new
-
-    def with_roots(rows: DataFrame) -> DataFrame:
-        named = rows.join(roots.withColumnRenamed("node", "digest"), "digest", "left")
-        return named.withColumn("root", F.coalesce("root", "digest"))
-
-    sizes = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("mates"))
-    degree = members.join(sizes, "bucket").groupBy("digest").agg(F.sum("mates").alias("degree"))
-    rows = land(members.join(degree, "digest"), "members")
-
-    def hub_pairs(rows: DataFrame) -> DataFrame:
-        """Each row beside the hub of its bucket: bucket, digest, n, hub, hub_n."""
-        hubs = rows.groupBy("bucket").agg(
-            F.max(F.struct("degree", "digest", "n")).alias("h")
-        ).select("bucket", F.col("h.digest").alias("hub"), F.col("h.n").alias("hub_n"))
-        return rows.join(hubs, "bucket")
-
-    # first each class with the hub that it shares most buckets with
-    beside = land(hub_pairs(rows), "hubs")
-    usable = beside.filter((F.col("digest") != F.col("hub")) & compatible("n", "hub_n"))
-    shared = usable.groupBy("digest", "hub").agg(F.count(F.lit(1)).alias("times"))
-    best = shared.groupBy("digest").agg(F.max_by("hub", F.struct("times", "hub")).alias("hub"))
-    decide(best.select(F.col("digest").alias("a"), F.col("hub").alias("b")), "verified")
-
-    rest = beside
-    while True:
-        # the other hubs, where they would join two components
-        open_pairs = with_roots(
-            rest.filter((F.col("digest") != F.col("hub")) & compatible("n", "hub_n"))
-            .select("digest", "hub").distinct()
-        ).withColumnRenamed("root", "r1")
-        other = roots.select(F.col("node").alias("hub"), F.col("root").alias("r2"))
-        open_pairs = open_pairs.join(other, "hub", "left").filter(
-            F.col("r1") != F.coalesce("r2", "hub")
-        )
-        decide(open_pairs.select(F.col("digest").alias("a"), F.col("hub").alias("b")), "verified")
-        # hubs are done with their buckets; so are buckets within one component
-        left = with_roots(rest.filter(F.col("digest") != F.col("hub")).drop("hub", "hub_n"))
-        several = left.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
-        left = land(left.join(several.filter("lo != hi").select("bucket"), "bucket", "left_semi"), "rest")
-        each = left.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("k"))
-        pairs = each.groupBy("bucket").agg(
-            ((F.sum("k") * F.sum("k") - F.sum(F.col("k") * F.col("k"))) / 2).alias("p")
-        )
-        undecided = pairs.agg(F.sum("p")).first()[0] or 0
-        if undecided <= REST * n_classes:
-            break
-        rest = land(hub_pairs(left.drop("root")), "hubs")
-    if undecided:
-        x, y = left.alias("x"), left.alias("y")
-        crossing = x.join(y, F.col("x.bucket") == F.col("y.bucket")).filter(
-            (F.col("x.digest") < F.col("y.digest"))
-            & (F.col("x.root") != F.col("y.root"))
-            & compatible("x.n", "y.n")
-        )
-        decide(
-            crossing.select(F.col("x.digest").alias("a"), F.col("y.digest").alias("b")), "verified"
-        )
+        tried.append(result.select("a", "b").union(result.select("b", "a")))
+        if roots is None:
+            roots = land(components(new), "roots")
+        elif not new.isEmpty():
+            stars = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
+            roots = land(components(stars.union(new)), "roots")
+
+    def likely(pairs: DataFrame) -> DataFrame:
+        left = planes.select(F.col("digest").alias("a"), F.col("planes").alias("pa"))
+        right = planes.select(F.col("digest").alias("b"), F.col("planes").alias("pb"))
+        both = pairs.join(left, "a").join(right, "b")
+        return both.filter(agreeing(F.col("pa"), F.col("pb")) >= enough).select("a", "b")
+
+    def root_of(rows: DataFrame, name: str, out: str) -> DataFrame:
+        named = roots.select(F.col("node").alias(name), F.col("root").alias(out))
+        return rows.join(named, name, "left").withColumn(out, F.coalesce(out, name))
+
+    mates = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("mates"))
+    degrees = members.join(mates, "bucket").groupBy("digest").agg(F.sum("mates").alias("degree"))
+    rows = land(members.join(degrees, "digest"), "members")
+    hubs = (
+        rows.groupBy("bucket")
+        .agg(F.max(F.struct("degree", "digest", "n")).alias("h"))
+        .select("bucket", F.col("h.digest").alias("hub"), F.col("h.n").alias("hub_n"))
+    )
+    shared = (
+        rows.join(hubs, "bucket")
+        .filter((F.col("digest") != F.col("hub")) & sizes_fit("n", "hub_n"))
+        .groupBy(F.col("digest").alias("a"), F.col("hub").alias("b"))
+        .agg(F.count(F.lit(1)).alias("times"))
+    )
+    beside = land(shared, "hub-pairs")
+    # each class with the hub that it shares most buckets with, then with the others
+    best = beside.groupBy("a").agg(F.max_by("b", F.struct("times", "b")).alias("b"))
+    decide(likely(best))
+    others = root_of(root_of(beside.select("a", "b"), "a", "ra"), "b", "rb")
+    decide(likely(others.filter("ra != rb").select("a", "b")))
+
+    # classes outside the largest component of their bucket
+    rooted = root_of(rows.select("bucket", "digest", "n"), "digest", "root")
+    parts = rooted.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("k"))
+    main = parts.groupBy("bucket").agg(
+        F.max_by("root", F.struct("k", "root")).alias("main"), F.count(F.lit(1)).alias("parts")
+    )
+    several = main.filter("parts > 1").drop("parts")
+    kept = classes.select("digest", "bands", "planes")
+    left = land(rooted.join(several, "bucket").join(kept, "digest"), "left")
+    outside = left.filter("root != main").alias("x")
+    inside = left.alias("y")
+    before = lambda side: F.filter(f"{side}.bands", lambda k: k < F.col("x.bucket"))
+    crossing = outside.join(
+        inside,
+        (F.col("x.bucket") == F.col("y.bucket"))
+        & (F.col("x.root") != F.col("y.root"))
+        & ((F.col("y.root") == F.col("y.main")) | (F.col("x.digest") < F.col("y.digest")))
+        & sizes_fit("x.n", "y.n")
+        & (agreeing(F.col("x.planes"), F.col("y.planes")) >= enough)
+        & ~F.arrays_overlap(before("x"), before("y")),
+    )
+    decide(crossing.select(F.col("x.digest").alias("a"), F.col("y.digest").alias("b")).distinct())
     return roots
 
 
@@ -322,6 +359,7 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
             F.min("doc_id").alias("first_id"),
             F.min("n_shingles").alias("n"),
             F.any_value("bands").alias("bands"),
+            F.any_value("planes").alias("planes"),
             F.count(F.lit(1)).alias("copies"),
         ),
         "classes",
@@ -336,7 +374,7 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     members = land(banded.join(shared, "bucket", "left_semi"), "buckets")
     wanted = members.select("digest").distinct().join(classes.select("digest", "first_id"), "digest")
     texts = land(_class_texts(docs, wanted, shingle), "texts")
-    roots = class_links(members, texts, shingle, percent)
+    roots = class_links(classes, members, texts, shingle, percent)
     copies = classes.filter("copies > 1").select("digest", "first_id")
     if roots is None:
         groups = copies.select("digest", F.col("first_id").alias("component_id"))
@@ -352,7 +390,7 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
             "digest", F.col("first_id").alias("component_id")
         )
         groups = in_links.union(alone)
-    joined = rows.drop("bands").join(groups, "digest", "left")
+    joined = rows.drop("bands", "planes").join(groups, "digest", "left")
     member = F.col("doc_id").isNotNull() & F.col("component_id").isNotNull()
     return joined.select(
         "doc_id",
