@@ -204,6 +204,22 @@ usable_joined AS (
 )
 
 
+_MATCHED = """, predictions AS (
+  SELECT * REPLACE (tx_amount + CASE WHEN tx_id % 11 = 0 THEN 1e-3
+                                     WHEN tx_id % 2 = 0 THEN 4e-7 ELSE 0.0 END AS tx_amount)
+  FROM scored),
+labelled AS (
+  SELECT tx.* FROM tx, range(3) r(i) WHERE i = 0 OR tx_id % 97 = 0),
+matched AS (
+  SELECT p.tx_id, p.score, any_value(p.sender_account_id) AS sender_account_id,
+    t.is_fraud AS tx_is_fraud, count(*) AS n_matches
+  FROM predictions p JOIN labelled t
+    ON p.sender_account_id = t.sender_account_id AND p.receiver_account_id = t.receiver_account_id
+   AND p.tx_type = t.tx_type AND p.ts = t.ts AND abs(p.tx_amount - t.tx_amount) < 1e-6
+  GROUP BY p.tx_id, p.score, t.is_fraud, t.tx_amount)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     cnt_columns = "round(sender_avg_amount, 8) AS sender_avg_amount, round(sender_std_amount, 8) AS sender_std_amount"
     enriched = "tx.*, init_balance, country, account_type"
@@ -258,17 +274,28 @@ FROM scored LEFT JOIN accounts ON sender_account_id = account_id""",
         + """SELECT tx_id, sender_account_id FROM tx
 WHERE sender_account_id NOT IN (SELECT account_id FROM accounts)""",
         "match_label": _with(TX, SCORED)
-        + """, predictions AS (
-  SELECT * REPLACE (tx_amount + CASE WHEN tx_id % 11 = 0 THEN 1e-3
-                                     WHEN tx_id % 2 = 0 THEN 4e-7 ELSE 0.0 END AS tx_amount)
-  FROM scored),
-labelled AS (
-  SELECT tx.* FROM tx, range(3) r(i) WHERE i = 0 OR tx_id % 97 = 0)
-SELECT p.tx_id, round(score, 6) AS score, t.is_fraud AS tx_is_fraud, count(*) AS n_matches
-FROM predictions p JOIN labelled t
-  ON p.sender_account_id = t.sender_account_id AND p.receiver_account_id = t.receiver_account_id
- AND p.tx_type = t.tx_type AND p.ts = t.ts AND abs(p.tx_amount - t.tx_amount) < 1e-6
-GROUP BY p.tx_id, p.score, t.is_fraud, t.tx_amount""",
+        + _MATCHED
+        + """SELECT tx_id, round(score, 6) AS score, tx_is_fraud, n_matches FROM matched""",
+        "gam_fit": _with(TX, ACCOUNTS)
+        + f""", parts AS (
+  SELECT CAST(tx.is_fraud AS INT) AS label, {FRACTION.format(seed=42)} / 4294967296.0 < 0.8 AS train
+  FROM tx JOIN accounts ON sender_account_id = account_id WHERE init_balance > -1)
+SELECT count(*) FILTER (NOT train AND label = 1) AS positives,
+  count(*) FILTER (NOT train AND label = 0) AS negatives,
+  count(*) FILTER (train) AS n_train,
+  round(sum(10 * label) FILTER (train) / sum(CASE label WHEN 1 THEN 10 ELSE 1 END) FILTER (train), 9)
+    AS train_share, true AS calibrated
+FROM parts""",
+        "gbt_fit": _with(TX, ACCOUNTS, SCORED)
+        + _MATCHED
+        + f""", parts AS (
+  SELECT tx_is_fraud AS y, {FRACTION.format(seed=1212)} / 4294967296.0 AS r
+  FROM matched JOIN accounts ON sender_account_id = account_id WHERE init_balance > -1)
+SELECT count(*) FILTER (r >= 0.95 AND y) AS positives,
+  count(*) FILTER (r >= 0.95 AND NOT y) AS negatives,
+  count(*) FILTER (r < 0.9) AS n_train, count(*) FILTER (r >= 0.9 AND r < 0.95) AS n_dev,
+  count(*) FILTER (r >= 0.95) AS n_test, true AS ranks
+FROM parts""",
         "time_features": _with(TX)
         + f"""SELECT tx_id, {SIN} AS tx_time_sin, {COS} AS tx_time_cos FROM tx""",
         "log_features": _with(TX, ACCOUNTS, JOINED)

@@ -532,21 +532,55 @@ def oversample(spark, d):
     return out.select("tx_id", "label", "synthetic")
 
 
+def _class_counts(report):
+    """How many rows of each class a report judged, whatever it decided."""
+    hits, others = F.col("tp") + F.col("fn"), F.col("fp") + F.col("tn")
+    return report.select(hits.alias("positives"), others.alias("negatives"))
+
+
 @query
 def gam_fit(spark, d):
-    return training.train_gam(
-        spark, fx.transactions(spark, d), fx.accounts(spark, d), scratch_dir(spark, "gam")
+    """The fit at full rounds, by what any right fit must give.
+
+    With an unpenalised intercept the weighted mean of the fitted probabilities is the
+    weighted share of positives.
+    """
+    folder = scratch_dir(spark, "gam")
+    report = training.train_gam(spark, fx.transactions(spark, d), fx.accounts(spark, d), folder)
+    train = spark.read.parquet(f"{folder}/train")
+    fitted = score.score_model(train, training.load_pipeline(f"{folder}/model"))
+    w = F.sum("weight")
+    fit, share, n = fitted.agg(
+        F.sum(F.col("weight") * F.col("score")) / w,
+        F.sum(F.col("weight") * F.col("label")) / w,
+        F.count(F.lit(1)),
+    ).first()
+    return _class_counts(report).select(
+        "*",
+        F.lit(n).alias("n_train"),
+        F.lit(round(share, 9)).alias("train_share"),
+        F.lit(abs(fit - share) < 1e-3).alias("calibrated"),
     )
 
 
 @query
 def gbt_fit(spark, d):
+    """Fewer rounds than the job's default, by part sizes and a floor for the ranking."""
     usable, _ = training.tree_rows(
         fx.predictions(spark, d).drop("label"),
         fx.labelled_with_copies(spark, d),
         fx.accounts(spark, d),
     )
-    return training.train_trees(spark, usable, scratch_dir(spark, "trees"), rounds=10, depth=5)
+    folder = scratch_dir(spark, "trees")
+    report = training.train_trees(spark, usable, folder, rounds=10, depth=5)
+    parts = spark.read.parquet(f"{folder}/rows").groupBy("split").count()
+    sizes = {r["split"]: r["count"] for r in parts.collect()}  # three rows
+    test = spark.read.parquet(f"{folder}/scored/test")
+    return _class_counts(report).select(
+        "*",
+        *[F.lit(sizes.get(k, 0)).cast("long").alias(f"n_{k}") for k in ("train", "dev", "test")],
+        F.lit(training.rank_auc(test) > 0.6).alias("ranks"),
+    )
 
 
 @query
