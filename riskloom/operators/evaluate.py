@@ -80,17 +80,22 @@ def evaluation_report(
 
 
 def cumulative_counts(
-    df: DataFrame, score: str = "score", label: str = "label", buckets: int = SCORE_BUCKETS
+    df: DataFrame, score: str = "score", label: str = "label", buckets: int | None = None
 ) -> DataFrame:
     """``threshold, tp, fp, positives`` at every distinct score, decision ``>=``.
 
     A running total over all scores would sort everything in one task. Scores are
     first made distinct with counts, then cut into quantile buckets, which stay even
     however the scores are distributed; each bucket sums on its own and the bucket
-    totals, at most ``buckets`` rows, supply what lies above it. Finding the bucket
+    totals, one row per bucket, supply what lies above it. By default there are eight
+    buckets a shuffle partition, so that they grow with the partitions that the data were
+    given, and ``SCORE_BUCKETS`` at least. Finding the bucket
     edges runs a job here. A positive without a score is never reached, but counts among
     the positives.
     """
+    if buckets is None:
+        partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        buckets = max(SCORE_BUCKETS, 8 * partitions)
     every_row = df.select(
         F.col(score).cast("double").alias("threshold"),
         F.when(F.col(label) == 1, 1).otherwise(0).alias("_p"),

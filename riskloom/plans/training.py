@@ -111,6 +111,8 @@ def train_gam(
 
     prepared = gam_pipeline(weighted).fit(weighted)
     writers.write_features(prepared.transform(weighted), f"{out}/features")
+    # the values that the model knows, for whoever encodes rows elsewhere
+    encode.category_index(weighted).write.mode("overwrite").parquet(f"{out}/categories")
     regression = LogisticRegression(
         weightCol="weight", maxIter=iterations, regParam=REG_PARAM
     )
@@ -156,18 +158,27 @@ def _plain(df: DataFrame) -> DataFrame:
     return df.withColumn("features", array_to_vector(vector_to_array("features")))
 
 
-def booster(rounds: int, depth: int, step: float = TREE_STEP) -> GBTClassifier:
+def booster(
+    rounds: int, depth: int, step: float = TREE_STEP, params: dict | None = None
+) -> GBTClassifier:
+    """Boosted trees that stop early on dev; ``params`` (of a search) go before the rest."""
+    settings = {"maxDepth": depth, "stepSize": step} | (params or {})
     return GBTClassifier(
         weightCol="weight",
         maxIter=rounds,
-        maxDepth=depth,
-        stepSize=step,
         seed=sampling.TREE_SEED,
         validationIndicatorCol="is_dev",
         validationTol=0.0,
+        **settings,
     )
 
 
+def best_params(results: DataFrame, grid: dict[str, list] = SEARCH_GRID) -> dict:
+    """The winning grid point of a search, for :func:`train_trees`."""
+    first = results.orderBy(F.desc("f1"), *grid).first()
+    return {name: first[name] for name in grid}
+
+
 def train_trees(
     spark: SparkSession,
     rows: DataFrame,
@@ -175,10 +186,12 @@ def train_trees(
     rounds: int = TREE_ROUNDS,
     depth: int = TREE_DEPTH,
     resample: bool = True,
+    params: dict | None = None,
 ) -> DataFrame:
     """Fit with early stopping on dev, choose the F1 threshold on dev, report on test.
 
-    Without ``resample`` the positives are weighted instead.
+    Without ``resample`` the positives are weighted instead. ``params`` is the grid point
+    of a search (:func:`best_params`).
     """
     copies = F.col("n_matches") if "n_matches" in rows.columns else F.lit(1)
     weighted = rows.withColumn("weight", copies.cast("double"))
@@ -200,7 +213,7 @@ def train_trees(
         dev.select(*columns, F.lit(True).alias("is_dev"))
     )
     fitting.write.mode("overwrite").parquet(f"{out}/fitting")
-    model = booster(rounds, depth).fit(spark.read.parquet(f"{out}/fitting"))
+    model = booster(rounds, depth, params=params).fit(spark.read.parquet(f"{out}/fitting"))
     save_model(PipelineModel([*prepared.stages, model]), f"{out}/model")
 
     for name in ("dev", "test"):

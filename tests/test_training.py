@@ -22,6 +22,8 @@ def test_gam_is_better_than_chance(spark, gam):
     assert training.rank_auc(spark.read.parquet(f"{out}/scored")) > 0.6
     assert report["tp"] + report["fn"] > 0
     assert training.load_threshold(spark, f"{out}/threshold") == report["threshold"]
+    known = spark.read.parquet(f"{out}/categories")
+    assert {"country", "tx_type"} <= {r["feature"] for r in known.select("feature").collect()}
 
 
 def test_saved_gam_scores_alike_and_takes_unseen_categories(spark, sf_dir, gam):
@@ -98,6 +100,13 @@ def test_search_draws_and_reuses_its_result(spark, sf_dir, tmp_path):
     again = training.search(features, 2, 2, grid=grid, save_to=str(tmp_path)).collect()
     assert first == again and len(first) == 2
     assert first[0]["f1"] >= first[1]["f1"]
+    # the winner goes into the final fit
+    best = training.best_params(spark.createDataFrame(first), grid)
+    assert best == {name: first[0][name] for name in grid}
+    out = f"{tmp_path}/final"
+    training.train_trees(spark, rows, out, rounds=2, resample=False, params=best)
+    trees = training.load_pipeline(f"{out}/model").stages[-1]
+    assert trees.getStepSize() == best["stepSize"] and trees.getMaxDepth() == 2
 
 
 def test_external_model_in_arrow_batches(spark):
