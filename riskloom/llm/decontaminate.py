@@ -56,7 +56,10 @@ def item_windows(benchmark: DataFrame, window: int = WINDOW, shingle: int = SHIN
     )
     last = F.greatest(F.size("_w") - (window - 1), F.lit(1))
     cut = worded.select(
-        "item_id", F.explode(F.transform(F.sequence(F.lit(1), last), lambda i: F.slice("_w", i, window))).alias("words")
+        "item_id",
+        F.explode(
+            F.transform(F.sequence(F.lit(1), last), lambda i: F.slice("_w", i, window))
+        ).alias("words"),
     ).distinct()
     grams = F.lit(None)
     for k in range(1, shingle + 1):

@@ -24,7 +24,7 @@ from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import UPPER, LOWER, land, session
+from riskloom.llm.common import LOWER, UPPER, land, session
 
 MIN_SUPPORT = 0.002  # of the labelled pages
 MIN_ROWS = 20  # a rule rests on so many bad pages at least
@@ -88,13 +88,14 @@ def url_tokens(url: str = "url") -> Column:
     query = F.regexp_extract(u, r"\?([^#]*)", 1)
     keys = F.filter(F.split(query, "&"), lambda x: x != "")
     prefixed = lambda tag, a: F.transform(a, lambda x: F.concat(F.lit(tag), x))
-    scheme = F.when(F.instr(u, "://") > 0, F.array(F.concat(F.lit("s:"), F.lower(F.substring_index(u, "://", 1)))))
+    scheme = F.concat(F.lit("s:"), F.lower(F.substring_index(u, "://", 1)))
+    schemes = F.when(F.instr(u, "://") > 0, F.array(scheme))
     return F.array_distinct(
         F.concat(
             prefixed("h:", labels),
             prefixed("p:", plain),
             prefixed("q:", F.transform(keys, lambda x: F.substring_index(x, "=", 1))),
-            F.coalesce(scheme, F.array().cast("array<string>")),
+            F.coalesce(schemes, F.array().cast("array<string>")),
         )
     )
 
@@ -216,8 +217,16 @@ def match_rules(pages: DataFrame, rules: DataFrame, limit: int = BROADCAST_RULES
         sets.join(needs, "_key")
         .filter(F.size(F.array_except("_need", "tokens")) == 0)
         .groupBy("tokens")
-        .agg(F.min(F.struct((-F.col("confidence")).alias("c"), F.array_join("_need", " ").alias("t"))).alias("_b"))
-        .select("tokens", F.col("_b.t").alias("mined_rule"), (-F.col("_b.c")).alias("mined_confidence"))
+        .agg(
+            F.min(
+                F.struct((-F.col("confidence")).alias("c"), F.array_join("_need", " ").alias("t"))
+            ).alias("_b")
+        )
+        .select(
+            "tokens",
+            F.col("_b.t").alias("mined_rule"),
+            (-F.col("_b.c")).alias("mined_confidence"),
+        )
     )
     return pages.join(best, "tokens", "left")
 
