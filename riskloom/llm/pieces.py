@@ -40,11 +40,10 @@ DROPOUT = 0.1
 SEED = 17
 VARIANTS = 2
 # words remembered in one Python worker, all variants together
-MEMORY = 800_000
+MEMORY = 1_200_000
 # words up to this length keep their agenda in a list
 SHORT = 40
 NEVER = float("inf")
-WORD64 = (1 << 64) - 1
 # stands for a mark that the text itself holds; spelled as bytes
 LITERAL = "▁literal"
 # a word: its space marks, then what follows up to the next mark
@@ -83,14 +82,20 @@ class Vocabulary:
 
 
 def coin_key(seed: int, variant: int, word: str) -> int:
-    return xxhash.xxh64_intdigest(f"{seed}:{variant}:{word}".encode("utf-8", "surrogatepass"))
+    return xxhash.xxh32_intdigest(f"{seed}:{variant}:{word}".encode("utf-8", "surrogatepass"))
+
+
+def _place(role: int, at: int) -> int:
+    return xxhash.xxh32_intdigest(f"{role}:{at}")
+
+
+# random numbers of the places of a short word, by role: tabulation hashing
+LEFT, RIGHT, END = ([_place(k, at) for at in range(SHORT + 1)] for k in range(3))
 
 
 def skipped(key: int, limit: int, left: int, right: int, end: int) -> bool:
     """The keyed coin of a candidate merge of the spans [left, right) and [right, end)."""
-    x = (key ^ (left * 0x9E3779B97F4A7C15 + right * 0xC2B2AE3D27D4EB4F + end)) & WORD64
-    x = ((x ^ (x >> 29)) * 0xBF58476D1CE4E5B9) & WORD64
-    return (x ^ (x >> 32)) & 0xFFFFFFFF < limit
+    return key ^ _place(0, left) ^ _place(1, right) ^ _place(2, end) < limit
 
 
 def encode_word(word: str, vocabulary: Vocabulary, key: int = 0, limit: int = 0) -> tuple[int, ...]:
@@ -126,7 +131,9 @@ def _merge_short(word: str, vocabulary: Vocabulary, key: int, limit: int) -> lis
         if best == never:
             break
         i = agenda.index(best)
-        if limit and skipped(key, limit, starts[i], starts[i + 1], starts[i + 2]):
+        # the coin of ``skipped``, by its tables
+        coin = key ^ LEFT[starts[i]] ^ RIGHT[starts[i + 1]] ^ END[starts[i + 2]]
+        if coin < limit:
             agenda[i] = never
             continue
         parts[i] += parts[i + 1]
