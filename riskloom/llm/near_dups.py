@@ -27,6 +27,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -39,7 +40,7 @@ from riskloom.llm.common import land, session
 SHINGLE = 5
 PERCENT = 80
 BANDS, ROWS = 48, 6
-SIZE = 2 * BANDS * ROWS  # coordinates; the bands take the first half
+SIZE = 4 * BANDS * ROWS  # coordinates; the bands take the first quarter
 PLANES = 4  # bits of a coordinate that are kept to compare
 WIDTH = SIZE // 64  # longs of a plane
 SIGMAS = 5
@@ -279,8 +280,8 @@ def class_links(
     def decide(pairs: DataFrame) -> None:
         """Verify new pairs (a, b), and join the links found to the components."""
         nonlocal roots
-        for old in tried:
-            pairs = pairs.join(old, ["a", "b"], "left_anti")
+        if tried:
+            pairs = pairs.join(reduce(DataFrame.union, tried), ["a", "b"], "left_anti")
         result = land(verified(pairs, texts, shingle, percent), "verified")
         new = result.filter("link").select("a", "b")
         tried.append(result.select("a", "b").union(result.select("b", "a")))
