@@ -126,7 +126,12 @@ def write_archives(
 
 
 def parse_records(chunks: Iterator[bytes]) -> Iterator[tuple[dict[str, str], bytes]]:
-    """Headers and block of each record of a byte stream of whole archives."""
+    """Headers and block of each record of a byte stream of whole archives.
+
+    Line ends before a record are passed over. Spark's reader leaves them: where the last
+    payload of a part ends in a line end, it finds the separator one line end early and
+    gives the rest as a line of its own.
+    """
     buffer, at = bytearray(), 0
     chunks = iter(chunks)
 
@@ -141,6 +146,8 @@ def parse_records(chunks: Iterator[bytes]) -> Iterator[tuple[dict[str, str], byt
         return True
 
     while True:
+        while need(at + len(END)) and buffer.startswith(END.encode(), at):
+            at += len(END)
         while (cut := buffer.find(BREAK, at)) < 0:
             got = next(chunks, None)
             if got is None:

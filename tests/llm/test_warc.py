@@ -84,3 +84,15 @@ def test_damaged_archives_are_errors():
     for raw in (b"junk\r\n\r\n", b"WARC/1.1\r\nContent-Length: 9\r\n\r\nabc", b"WARC/1.1\r\nConte"):
         with pytest.raises(ValueError):
             list(warc.parse_records(iter([raw])))
+
+
+@pytest.mark.parametrize("end", ["\r\n", "\r", "\n", "\r\n\r", "\r\n\r\n", "\r\n\r\n\r\n"])
+def test_parts_whose_last_payload_ends_in_line_ends(spark, tmp_path, end):
+    rows = [(i, f"http://a.example/{i}", f"page {i}{end}", None) for i in range(4)]
+    path = str(tmp_path / "warc")
+    # one page a part, all parts in one task
+    warc.write_archives(spark.createDataFrame(rows, PAGES).repartition(4, "page_id"), path)
+    found = warc.read_archives(spark, path).coalesce(1).collect()
+    assert sorted((r["page_id"], r["payload_bytes"]) for r in found) == [
+        (i, len(html)) for i, _, html, _ in rows
+    ]
