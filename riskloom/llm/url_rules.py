@@ -1,8 +1,11 @@
 """URL verdicts from fixed host rules and mined token rules.
 
 Labelled pages become transactions: the tokens of a URL and, for bad pages, a label
-token. Spark's FP-growth mines frequent combinations; those that lead to the label with
-enough support and confidence, and that no shorter rule already implies, are kept. A
+token. Spark's FP-growth mines frequent combinations of all their tokens; those that lead
+to the label with enough support and confidence, and that no shorter rule already implies,
+are kept. Two reductions change no kept rule: tokens on too few bad pages for any rule are
+left out, and tokens that always stand together are mined as one, as a rule with two of
+them is implied by the one with either; afterwards each takes the other's place. A
 page is matched through an inverted index: each rule hangs under its rarest token, and
 only the rules under a page's own tokens are looked at. Fixed rules on host and path go
 first; the longest that fits decides.
@@ -16,8 +19,10 @@ allowed. Repeated pages are judged alike; conflicting labels of an id count as b
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from itertools import product
 
 import pandas as pd
 from pyspark.ml.fpm import FPGrowth
@@ -30,8 +35,6 @@ MIN_SUPPORT = 0.002  # of the labelled pages
 MIN_ROWS = 20  # a rule rests on so many bad pages at least
 MIN_CONFIDENCE = 0.6
 BROADCAST_RULES = 20_000
-# for mining only: combinations grow as 2^tokens; matching uses every token of a URL
-MINED_TOKENS = 12
 BAD = "label:bad"
 
 
@@ -114,6 +117,35 @@ def labelled(pages: DataFrame, labels: DataFrame) -> DataFrame:
     return tokens.join(each, F.col("page_id") == F.col("_id")).select("tokens", "bad")
 
 
+def token_classes(rows: DataFrame, least: int) -> dict[str, tuple[int, list[str]]]:
+    """Tokens on at least ``least`` bad pages, with the number of all their pages, by the
+    least of those on the same pages.
+
+    Their number is bounded by ``least``, so that they may come to the driver.
+    """
+    sets = rows.groupBy("tokens").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if("bad").alias("bad")
+    )
+    each = sets.select(
+        F.explode("tokens").alias("token"),
+        "n",
+        "bad",
+        F.xxhash64("tokens").alias("h1"),
+        F.xxhash64("tokens", F.lit(1)).alias("h2"),
+    )
+    # 128 bits over the sets that hold a token tell which pages have it
+    found = each.groupBy("token").agg(
+        F.sum("n").alias("n"),
+        F.sum("bad").alias("bad"),
+        F.bit_xor("h1").alias("h1"),
+        F.bit_xor("h2").alias("h2"),
+    )
+    classes: dict[tuple, list[str]] = {}
+    for r in sorted(found.filter(F.col("bad") >= least).collect()):
+        classes.setdefault((r["n"], r["bad"], r["h1"], r["h2"]), []).append(r["token"])
+    return {members[0]: (pages[0], members) for pages, members in classes.items()}
+
+
 def mine_rules(
     rows: DataFrame,
     min_support: float = MIN_SUPPORT,
@@ -125,18 +157,38 @@ def mine_rules(
     ``rows`` has ``tokens`` and ``bad``. Runs FP-growth over all rows, in Spark.
     """
     spark = rows.sparkSession
-    items = F.slice("tokens", 1, MINED_TOKENS)
-    tagged = land(
-        rows.select(
-            F.when(F.col("bad"), F.concat(items, F.array(F.lit(BAD)))).otherwise(items).alias("items")
-        ),
-        "url-items",
-    )
     none = "tokens array<string>, key string, confidence double, support double"
-    n = tagged.count()
+    rows = land(rows.select("tokens", "bad"), "url-tokens")
+    n = rows.count()
     support = max(min_support, min_rows / max(n, 1))
     if support > 1:
         return spark.createDataFrame([], none)
+    classes = token_classes(rows, math.ceil(support * n))
+    first = {t: name for name, (_, members) in classes.items() for t in members}
+    shared = spark.sparkContext.broadcast((first, classes))
+
+    @F.pandas_udf("array<string>")
+    def mined(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        first, _ = shared.value
+        for tokens in batches:
+            yield tokens.map(lambda a: list({first[t]: 0 for t in a if t in first}))
+
+    @F.udf("array<struct<tokens: array<string>, key: string>>")
+    def spelled(tokens):
+        """The rules of a mined one, with any token of each class, and their rarest tokens."""
+        first, classes = shared.value
+        found = product(*[classes[t][1] for t in tokens])
+        return [(sorted(c), min(c, key=lambda t: (classes[first[t]][0], t))) for c in found]
+
+    items = mined("tokens")
+    tagged = land(
+        rows.select(items.alias("items"), "bad").select(
+            F.when(F.col("bad"), F.concat("items", F.array(F.lit(BAD))))
+            .otherwise(F.col("items"))
+            .alias("items")
+        ),
+        "url-items",
+    )
     model = FPGrowth(minSupport=support, minConfidence=min_confidence, itemsCol="items").fit(
         tagged
     )
@@ -144,9 +196,6 @@ def mine_rules(
         (F.size("consequent") == 1) & (F.col("consequent")[0] == BAD)
     ).select(F.sort_array("antecedent").alias("tokens"), "confidence", "support")
     landed = land(rules, "url-rules")
-    single = model.freqItemsets.filter(F.size("items") == 1).select(
-        F.col("items")[0].alias("key"), "freq"
-    )
     # a rule is implied by a shorter one that is at least as sure
     long, short = landed.alias("l"), landed.alias("s")
     implied = (
@@ -162,13 +211,8 @@ def mine_rules(
         .distinct()
     )
     kept = landed.join(implied, "tokens", "left_anti")
-    rare = (
-        kept.select("tokens", F.explode("tokens").alias("key"))
-        .join(single, "key")
-        .groupBy("tokens")
-        .agg(F.min_by("key", F.struct("freq", "key")).alias("key"))
-    )
-    return land(kept.join(rare, "tokens").select("tokens", "key", "confidence", "support"), "url-kept")
+    whole = kept.select(F.explode(spelled("tokens")).alias("_r"), "confidence", "support")
+    return land(whole.select("_r.tokens", "_r.key", "confidence", "support"), "url-kept")
 
 
 Index = dict[str, list[tuple[frozenset, str, float]]]

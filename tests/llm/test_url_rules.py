@@ -84,3 +84,22 @@ def test_mined_rule_blocks(spark):
 def test_empty_tables(spark):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert u.judge_urls(pages(spark, []), none).count() == 0
+
+
+def test_tokens_far_back_are_mined_and_counted(spark):
+    deep = [f"p{i}" for i in range(20)]
+    # "z" is bad; "y" would seem so if the good pages that hold it late were cut
+    sets = [[*deep, "z"]] * 30 + [["y"]] * 20 + [[*deep, "y"]] * 60 + [[*deep, "x"]] * 30
+    bad = [True] * 50 + [False] * 90
+    rows = spark.createDataFrame(list(zip(sets, bad)), "tokens array<string>, bad boolean")
+    rules = u.mine_rules(rows, 0.05, 0.6, min_rows=2)
+    found = {tuple(r["tokens"]): (r["key"], r["confidence"]) for r in rules.collect()}
+    assert found == {("z",): ("z", 1.0)}
+
+
+def test_tokens_that_stand_together_take_each_others_place(spark):
+    sets = [["a", "b", "c", "d"]] * 10 + [["a", "b"]] * 10 + [["c", "d"]] * 10
+    bad = [True] * 10 + [False] * 20
+    rows = spark.createDataFrame(list(zip(sets, bad)), "tokens array<string>, bad boolean")
+    found = {tuple(r["tokens"]) for r in u.mine_rules(rows, 0.05, 0.6, min_rows=2).collect()}
+    assert found == {(x, y) for x in "ab" for y in "cd"}
