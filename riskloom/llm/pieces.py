@@ -2,18 +2,19 @@
 
 A text becomes characters, white space marked, and an agenda of candidate merges ordered
 by piece score and place. A candidate taken from the agenda is skipped where a keyed hash
-of (seed, variant, word, the two places and the piece) falls below the dropout rate, so
-the segmentation varies by seed and variant, and is the same on every run and machine.
-Without dropout the pieces are those of the library.
+of (seed, document, number of the word in it, the places) falls below the dropout rate, so
+every candidate of every occurrence has a coin of its own, and the segmentation is the
+same on every run and machine. Without dropout the pieces are those of the library.
 
 No piece holds a space mark after another character (checked when the model is read), so
-merges never cross the start of a word: the agenda runs on one word at a time, and words
-already segmented are remembered. Each occurrence of a word takes one of ``VARIANTS``
-variants by its document and its number in it.
+merges never cross the start of a word: the agenda runs on one word at a time. What is
+remembered of a word is its tree of agendas, not a drawn segmentation: the candidates that
+come up until one is skipped, and for each of them the agenda that goes on from there.
+An occurrence throws its coins down that tree.
 
 Characters without a piece, and a literal space mark in the text, are spelled as bytes,
 so decoding gives back every text exactly. NULL and empty texts have no pieces; repeated
-rows get equal pieces. The model has a fixed size and is broadcast by content.
+rows get equal pieces. Documents without id are told apart by their text. The model has a fixed size and is broadcast by content.
 """
 
 from __future__ import annotations
@@ -38,9 +39,10 @@ from riskloom.llm.common import schema_with, session
 MARK = "▁"
 DROPOUT = 0.1
 SEED = 17
-VARIANTS = 2
-# words remembered in one Python worker, all variants together
-MEMORY = 1_200_000
+# agendas remembered in one Python worker
+MEMORY = 600_000
+# characters encoded at a time, in whole texts
+CHUNK = 300_000
 # words up to this length keep their agenda in a list
 SHORT = 40
 NEVER = float("inf")
@@ -81,21 +83,44 @@ class Vocabulary:
         return text[1:] if ids else text
 
 
-def coin_key(seed: int, variant: int, word: str) -> int:
-    return xxhash.xxh32_intdigest(f"{seed}:{variant}:{word}".encode("utf-8", "surrogatepass"))
+def coin_key(seed: int, document: int, word: str = "") -> int:
+    return xxhash.xxh64_intdigest(f"{seed}:{document}:{word}".encode("utf-8", "surrogatepass"))
 
 
 def _place(role: int, at: int) -> int:
-    return xxhash.xxh32_intdigest(f"{role}:{at}")
+    return xxhash.xxh64_intdigest(f"{role}:{at}")
 
 
 # random numbers of the places of a short word, by role: tabulation hashing
 LEFT, RIGHT, END = ([_place(k, at) for at in range(SHORT + 1)] for k in range(3))
+# the multipliers of splitmix64
+STEP, MIX_1, MIX_2 = 0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB
+LOW_64 = (1 << 64) - 1
+
+
+def coin(mixed: int) -> int:
+    """32 bits of a key combined with the places of a candidate."""
+    mixed = (mixed ^ (mixed >> 30)) * MIX_1 & LOW_64
+    return ((mixed ^ (mixed >> 27)) * MIX_2 & LOW_64) >> 32
+
+
+def coins(mixed: np.ndarray) -> np.ndarray:
+    """The same for an array of unsigned 64-bit numbers."""
+    mixed = (mixed ^ (mixed >> np.uint64(30))) * np.uint64(MIX_1)
+    return ((mixed ^ (mixed >> np.uint64(27))) * np.uint64(MIX_2)) >> np.uint64(32)
+
+
+def word_keys(key: int, n: int) -> np.ndarray:
+    """Keys of the first ``n`` words of a document."""
+    mixed = np.uint64(key) + np.arange(1, n + 1, dtype=np.uint64) * np.uint64(STEP)
+    mixed = (mixed ^ (mixed >> np.uint64(30))) * np.uint64(MIX_1)
+    mixed = (mixed ^ (mixed >> np.uint64(27))) * np.uint64(MIX_2)
+    return mixed ^ (mixed >> np.uint64(31))
 
 
 def skipped(key: int, limit: int, left: int, right: int, end: int) -> bool:
     """The keyed coin of a candidate merge of the spans [left, right) and [right, end)."""
-    return key ^ _place(0, left) ^ _place(1, right) ^ _place(2, end) < limit
+    return coin(key ^ _place(0, left) ^ _place(1, right) ^ _place(2, end)) < limit
 
 
 def encode_word(word: str, vocabulary: Vocabulary, key: int = 0, limit: int = 0) -> tuple[int, ...]:
@@ -108,6 +133,10 @@ def encode_word(word: str, vocabulary: Vocabulary, key: int = 0, limit: int = 0)
         parts = _merge_long(word, vocabulary, key, limit)
     else:
         parts = _merge_short(word, vocabulary, key, limit)
+    return _ids(parts, vocabulary)
+
+
+def _ids(parts: list[str], vocabulary: Vocabulary) -> tuple[int, ...]:
     out: list[int] = []
     for part in parts:
         found = vocabulary.ids.get(part)
@@ -132,8 +161,8 @@ def _merge_short(word: str, vocabulary: Vocabulary, key: int, limit: int) -> lis
             break
         i = agenda.index(best)
         # the coin of ``skipped``, by its tables
-        coin = key ^ LEFT[starts[i]] ^ RIGHT[starts[i + 1]] ^ END[starts[i + 2]]
-        if coin < limit:
+        places = LEFT[starts[i]] ^ RIGHT[starts[i + 1]] ^ END[starts[i + 2]]
+        if limit and coin(key ^ places) < limit:
             agenda[i] = never
             continue
         parts[i] += parts[i + 1]
@@ -145,6 +174,32 @@ def _merge_short(word: str, vocabulary: Vocabulary, key: int, limit: int) -> lis
     return parts
 
 
+def _merge_traced(word: str, vocabulary: Vocabulary, skips: tuple) -> tuple[list[str], list[int]]:
+    """``_merge_short`` where the candidates numbered ``skips`` are skipped and no others;
+    also the combined places of every candidate that came up."""
+    rank, never, n = vocabulary.ranks.get, NEVER, len(word)
+    parts = list(word.replace(" ", MARK))
+    starts = list(range(n + 1))
+    agenda = [rank(a + b, never) for a, b in zip(parts, parts[1:])]
+    places: list[int] = []
+    while agenda:
+        best = min(agenda)
+        if best == never:
+            break
+        i = agenda.index(best)
+        places.append(LEFT[starts[i]] ^ RIGHT[starts[i + 1]] ^ END[starts[i + 2]])
+        if len(places) - 1 in skips:
+            agenda[i] = never
+            continue
+        parts[i] += parts[i + 1]
+        del parts[i + 1], starts[i + 1], agenda[i]
+        if i < len(agenda):
+            agenda[i] = rank(parts[i] + parts[i + 1], never)
+        if i:
+            agenda[i - 1] = rank(parts[i - 1] + parts[i], never)
+    return parts, places
+
+
 def _merge_long(word: str, vocabulary: Vocabulary, key: int, limit: int) -> list[str]:
     """The same with a heap, for words of any length and with literal marks.
 
@@ -206,27 +261,137 @@ class Known(dict):
         return found
 
 
+class Agenda:
+    """A word after some skips: its pieces if no other candidate is skipped, the places of
+    the candidates still to come, and the agendas where one of those is the next skip."""
+
+    __slots__ = ("word", "skips", "first", "ids", "places", "n", "after")
+
+    def __init__(self, word: str, skips: tuple, vocabulary: Vocabulary):
+        parts, places = _merge_traced(word, vocabulary, skips)
+        self.word, self.skips = word, skips
+        self.first = skips[-1] + 1 if skips else 0
+        self.ids = _ids(parts, vocabulary)
+        self.n = len(places) - self.first
+        self.places = array("Q", places[self.first :]).tobytes()
+        self.after: dict[int, Agenda | None] | None = None
+
+
+class Agendas(dict):
+    """Agendas by word; None for one that is to be run: of a word that is long, or when it
+    comes up for the first time, as most never come up again."""
+
+    def __init__(self, vocabulary: Vocabulary, size: int):
+        super().__init__()
+        self.vocabulary, self.size, self.n = vocabulary, size, 0
+        self.seen: set[str] = set()
+
+    def __missing__(self, word: str) -> Agenda | None:
+        if len(word) > SHORT or MARK in word:
+            return None
+        if word not in self.seen:
+            if len(self.seen) >= self.size:
+                self.seen.clear()
+            self.seen.add(word)
+            return None
+        self._grow()
+        found = self[word] = Agenda(word, (), self.vocabulary)
+        return found
+
+    def _grow(self) -> None:
+        if self.n >= self.size:
+            self.clear()
+            self.n = 0
+        self.n += 1
+
+    def after(self, agenda: Agenda, place: int) -> Agenda | None:
+        if agenda.after is None:
+            agenda.after = {}
+        found = agenda.after.get(place)
+        if found is None:
+            if place not in agenda.after:
+                agenda.after[place] = None
+                return None
+            self._grow()
+            skips = (*agenda.skips, agenda.first + place)
+            found = agenda.after[place] = Agenda(agenda.word, skips, self.vocabulary)
+        return found
+
+
 class Encoder:
     """Encodes texts; one lives in each Python worker."""
 
-    def __init__(self, model: bytes, seed: int, rate: float, variants: int):
+    def __init__(self, model: bytes, seed: int, rate: float, size: int = MEMORY):
         self.vocabulary = Vocabulary(model)
         self.seed = seed
-        limit = int(rate * 2**32)
-        n = variants if limit else 1
-        self.known = [Known(self.vocabulary, seed, v, limit, MEMORY // n) for v in range(n)]
+        self.limit = int(rate * 2**32)
+        self.known = Known(self.vocabulary, seed, 0, 0, size)
+        self.agendas = Agendas(self.vocabulary, size)
 
     def encode(self, text: str, key: int) -> array:
         """Piece ids of a text; ``key`` tells documents apart."""
-        if not text:
-            return array("i")
-        n = len(self.known)
-        shift = xxhash.xxh64_intdigest(f"{self.seed}:{key}")
-        words = WORD.findall(" " + text)
+        return self.encode_all([text], [key])[0]
+
+    def encode_all(self, texts: Sequence[str], keys: Sequence[int]) -> list[array]:
+        """Piece ids of several texts."""
+        words = [WORD.findall(" " + text) if text else [] for text in texts]
+        flat = list(chain.from_iterable(words))
+        if self.limit:
+            coded = zip(keys, words)
+            found = self._drop(
+                flat, np.concatenate([word_keys(coin_key(self.seed, k), len(w)) for k, w in coded])
+            )
+        else:
+            found = list(map(self.known.__getitem__, flat))
+        out, at = [], 0
+        for w in words:
+            out.append(array("i", chain.from_iterable(found[at : at + len(w)])))
+            at += len(w)
+        return out
+
+    def _drop(self, words: list[str], keys: np.ndarray) -> list[tuple[int, ...]]:
+        """Piece ids of words, each with the coins of its own key."""
+        limit, after = self.limit, self.agendas.after
+        agendas = list(map(self.agendas.__getitem__, words))
         found: list = [None] * len(words)
-        for v in range(n):
-            found[v::n] = map(self.known[(shift + v) % n].__getitem__, words[v::n])
-        return array("i", chain.from_iterable(found))
+
+        def settle(open_: np.ndarray, agendas: list) -> tuple[np.ndarray, list]:
+            """Note the pieces so far; leaves those with an agenda to throw coins for."""
+            left = []
+            for i, a in zip(open_.tolist(), agendas):
+                if a is None:
+                    found[i] = encode_word(words[i], self.vocabulary, int(keys[i]), limit)
+                else:
+                    found[i] = a.ids
+                    if a.n:
+                        left.append((i, a))
+            return np.array([i for i, _ in left], np.int64), [a for _, a in left]
+
+        open_, agendas = settle(np.arange(len(words)), agendas)
+        while agendas:
+            lengths = np.fromiter([a.n for a in agendas], np.int64, len(agendas))
+            owner = np.repeat(np.arange(len(agendas)), lengths)
+            places = np.frombuffer(b"".join([a.places for a in agendas]), np.uint64)
+            hits = np.flatnonzero(coins(keys[open_][owner] ^ places) < limit)
+            owner = owner[hits]
+            # the first skip of each word
+            first = np.ones(len(owner), bool)
+            first[1:] = owner[1:] != owner[:-1]
+            owner, hits = owner[first], hits[first]
+            at = hits - (np.cumsum(lengths) - lengths)[owner]
+            agendas = [after(agendas[o], k) for o, k in zip(owner.tolist(), at.tolist())]
+            open_, agendas = settle(open_[owner], agendas)
+        return found
+
+
+def _chunks(texts: Sequence[str]) -> Iterator[slice]:
+    """Runs of texts of about ``CHUNK`` characters."""
+    start, size = 0, 0
+    for i, text in enumerate(texts):
+        size += len(text)
+        if size >= CHUNK or i + 1 == len(texts):
+            yield slice(start, i + 1)
+            start, size = i + 1, 0
 
 
 _ENCODERS: dict[tuple, Encoder] = {}
@@ -244,7 +409,6 @@ def encode(
     model: str,
     rate: float = DROPOUT,
     seed: int = SEED,
-    variants: int = VARIANTS,
     ids: bool = True,
 ) -> DataFrame:
     """Add ``n_pieces``, ``n_byte_pieces`` (long), ``pieces_crc32`` (of the ids as little-endian
@@ -256,7 +420,7 @@ def encode(
     with open(model, "rb") as file:
         content = file.read()
     shared = spark.sparkContext.broadcast(content)
-    key = (hashlib.sha256(content).hexdigest(), seed, rate, variants)
+    key = (hashlib.sha256(content).hexdigest(), seed, rate)
     added = "n_pieces long, n_byte_pieces long, pieces_crc32 long, lossless boolean"
     names = ["n_pieces", "n_byte_pieces", "pieces_crc32", "lossless", "pieces"]
     kept = docs.drop(*names)
@@ -268,17 +432,23 @@ def encode(
         is_byte = np.zeros(len(vocabulary.pieces), bool)
         is_byte[list(vocabulary.bytes)] = True
         for batch in batches:
-            keys = batch.column("doc_id").to_pylist()
+            texts = [text or "" for text in batch.column("text").to_pylist()]
+            keys = [
+                xxhash.xxh64_intdigest(text.encode()) if doc is None else doc
+                for doc, text in zip(batch.column("doc_id").to_pylist(), texts)
+            ]
+            coded = chain.from_iterable(
+                encoder.encode_all(texts[part], keys[part]) for part in _chunks(texts)
+            )
             rows = []
-            for doc, text in zip(keys, batch.column("text").to_pylist()):
-                found = encoder.encode(text or "", doc or 0)
+            for text, found in zip(texts, coded):
                 numbers = np.frombuffer(found, np.int32) if found else np.empty(0, np.int32)
                 rows.append(
                     (
                         len(found),
                         int(is_byte[numbers].sum()),
                         zlib.crc32(numbers.astype("<i4").tobytes()),
-                        vocabulary.decode(found) == (text or ""),
+                        vocabulary.decode(found) == text,
                         numbers,
                     )
                 )
@@ -296,7 +466,7 @@ def decode(df: DataFrame, model: str, pieces: str = "pieces", out: str = "text")
     with open(model, "rb") as file:
         content = file.read()
     shared = spark.sparkContext.broadcast(content)
-    key = (hashlib.sha256(content).hexdigest(), 0, 0.0, 1)
+    key = (hashlib.sha256(content).hexdigest(), 0, 0.0)
     kept = df.select(*[F.col(c) for c in df.columns if c != out])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -87,3 +87,28 @@ def test_memory_is_bounded(model):
     for word in (" a", " b", " c", " d"):
         assert known[word] == p.encode_word(word, v)
     assert len(known) <= 2
+
+
+def test_every_occurrence_has_its_own_coins(model):
+    encoder = p.Encoder(model, 1, 0.1)
+    word, n = " considerations", 4000
+    plain = encoder.known[word]
+    found = [tuple(encoder.encode("x" + word, k))[1:] for k in range(n)]
+    assert len(set(found)) > 8
+    assert 0.9 ** encoder.agendas[word].n - 0.04 < found.count(plain) / n < 0.8
+    one_text = tuple(encoder.encode("x" + word * n, 7))
+    assert one_text[1 : 1 + n * len(plain)] != plain * n
+    # a word of one merge is dropped at the rate in one document as over many
+    short = " a"
+    split = len(encoder.encode(short[1:] + short * (n - 1), 3)) - n
+    assert abs(split / n - 0.1) < 0.03
+
+
+def test_remembered_agendas_give_what_a_run_gives(model):
+    encoder = p.Encoder(model, 5, 0.3, 50)
+    text = "the understanding of international considerations\n was " * 30 + "y" * 60 + " ▁z"
+    words = p.WORD.findall(" " + text)
+    keys = p.word_keys(p.coin_key(5, 11), len(words))
+    runs = [p.encode_word(w, encoder.vocabulary, int(k), encoder.limit) for w, k in zip(words, keys)]
+    assert encoder.encode(text, 11).tolist() == [i for run in runs for i in run]
+    assert encoder.agendas.n <= 50
