@@ -33,8 +33,10 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 RATIO = 0.7
 NEIGHBOURS = 5
 CELL_ROWS = 1024
-# bounds the tree and the boxes shipped to the tasks, not the data
-MAX_LEVELS = 14
+# sampled vectors a cell, from which its bounds are taken
+SAMPLE_PER_CELL = 16
+# an axis serves for a split if the smaller side gets this share, or as much as any gives
+BALANCE = 0.25
 # searches of one cell, and synthetic rows of one vector, handled by one task
 VISITS_PER_TASK = 50_000
 ROWS_PER_TASK = 100_000
@@ -123,16 +125,16 @@ def _interpolate(bases: DataFrame, k: int, seed: int) -> DataFrame:
 def nearest(points: DataFrame, k: int, folder: str, cell_rows: int = CELL_ROWS) -> DataFrame:
     """``pid, x, m, near``: the ``k`` nearest other vectors of each, nearest first."""
     spark = points.sparkSession
-    axes, values = _tree(points, cell_rows)
-    levels = int(math.log2(len(axes) + 1))
+    axes, values, children = _tree(points, cell_rows)
 
     @F.pandas_udf("int")
     def cell_of(x: pd.Series) -> pd.Series:
         matrix, node = np.stack(x.to_numpy()), np.zeros(len(x), dtype="int64")
-        for _ in range(levels):
-            right = matrix[np.arange(len(node)), axes[node]] > values[node]
-            node = 2 * node + 1 + right
-        return pd.Series(node - len(axes)).astype("int32")
+        while (inner := np.flatnonzero(axes[node] >= 0)).size:
+            at = node[inner]
+            right = matrix[inner, axes[at]] > values[at]
+            node[inner] = children[at, right.astype("int64")]
+        return pd.Series(node).astype("int32")
 
     points.withColumn("cell", cell_of("x")).write.parquet(f"{folder}/cells")
     cells = spark.read.parquet(f"{folder}/cells")
@@ -147,7 +149,7 @@ def nearest(points: DataFrame, k: int, folder: str, cell_rows: int = CELL_ROWS)
     )
     cells_to_search.write.parquet(f"{folder}/visits")
     visits = spark.read.parquet(f"{folder}/visits")
-    # a much-visited cell is searched by several tasks; at most 2**MAX_LEVELS rows
+    # a much-visited cell is searched by several tasks; one row a cell
     tasks = visits.groupBy("cell").agg(
         F.ceil(F.count(F.lit(1)) / VISITS_PER_TASK).alias("tasks")
     )
@@ -168,36 +170,59 @@ def nearest(points: DataFrame, k: int, folder: str, cell_rows: int = CELL_ROWS)
     return points.join(best, "pid")
 
 
-def _tree(points: DataFrame, cell_rows: int) -> tuple[np.ndarray, np.ndarray]:
-    """Split axes and values in heap order, medians of a bounded hash sample.
+def _split(group: np.ndarray) -> tuple[int, float] | None:
+    """Axis and value (``<=`` goes left) that part a group; None if all are equal.
 
-    Only the cell bounds come from the sample, as in range partitioning.
+    The widest axis whose values can be parted well is taken: one that stands at its
+    maximum for most of the rows does not part them.
+    """
+    best, share = None, 0.0
+    for axis in np.argsort(-np.ptp(group, axis=0), kind="stable"):
+        column = np.sort(group[:, axis])
+        cuts = np.flatnonzero(column[1:] > column[:-1]) + 1
+        if not len(cuts):
+            break  # the axes left are no wider
+        cut = cuts[np.argmin(np.abs(cuts - len(column) / 2))]
+        smaller = min(cut, len(column) - cut) / len(column)
+        if smaller > share:
+            best, share = (int(axis), float(column[cut - 1])), smaller
+        if share >= BALANCE:
+            break
+    return best
+
+
+def _tree(points: DataFrame, cell_rows: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Split axes (-1 at a cell), values and children of the nodes, from a hash sample.
+
+    The sample holds ``SAMPLE_PER_CELL`` vectors a cell, and a node is split until it has
+    no more than that. Only the cell bounds come from it, as in range partitioning.
     """
     n = points.count()
-    levels = min(MAX_LEVELS, max(0, math.ceil(math.log2(max(n, 1) / cell_rows))))
-    nodes = (1 << levels) - 1
-    axes, values = np.zeros(nodes, dtype="int64"), np.zeros(nodes)
-    if nodes:
-        size = max(20_000, 16 << levels)
+    axes, values, children = [-1], [0.0], [(0, 0)]
+    if n > cell_rows:
+        size = max(20_000, math.ceil(SAMPLE_PER_CELL * n / cell_rows))
         share = int(min(1.0, size / n) * (1 << 32))
         draw = F.conv(F.substring("pid", 1, 8), 16, 10).cast("long")
         sample = points.filter(draw < share).select("x").toPandas()
-        groups = [np.stack(sample["x"].to_numpy())]
-        for level in range(levels):
-            halves = []
-            for i, group in enumerate(groups):
-                node = (1 << level) - 1 + i
-                if len(group):
-                    axes[node] = np.argmax(np.ptp(group, axis=0))
-                    values[node] = np.median(group[:, axes[node]])
-                right = group[:, axes[node]] > values[node]
-                halves += [group[~right], group[right]]
-            groups = halves
-    return axes, values
+        most = max(1.0, cell_rows * len(sample) / n)
+        todo = [(0, np.stack(sample["x"].to_numpy()))] if len(sample) else []
+        while todo:
+            node, group = todo.pop()
+            found = _split(group) if len(group) > most else None
+            if found is None:
+                continue
+            axes[node], values[node] = found
+            children[node] = len(axes), len(axes) + 1
+            axes += [-1, -1]
+            values += [0.0, 0.0]
+            children += [(0, 0)] * 2
+            right = group[:, found[0]] > found[1]
+            todo += [(children[node][0], group[~right]), (children[node][1], group[right])]
+    return np.array(axes), np.array(values), np.array(children)
 
 
 def _boxes(cells: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Cell numbers and their corner points: at most ``2**MAX_LEVELS`` rows."""
+    """Cell numbers and their corner points: one row a cell."""
     size = len(cells.select("x").first()["x"])
     ends = cells.groupBy("cell").agg(
         F.array(*[F.min(F.col("x")[i]) for i in range(size)]).alias("low"),

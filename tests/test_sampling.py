@@ -116,3 +116,14 @@ def test_oversample_leaves_balanced_data_alone(unbalanced):
 def test_oversample_needs_more_rows_than_neighbours(unbalanced):
     with pytest.raises(ValueError):
         smote.oversample(unbalanced.filter("label = 0 OR tx_id < 4"))
+
+
+def test_cells_stay_small_where_most_stand_at_the_maximum(spark, tmp_path):
+    rng = np.random.default_rng(3)
+    x = np.column_stack([np.where(rng.random(2000) < 0.7, 999999.0, 5.0), rng.random(2000)])
+    rows = spark.createDataFrame([(v.tolist(), 1) for v in x], "x array<double>, m long")
+    points = rows.withColumn("pid", smote._pid("x"))
+    smote.nearest(points, 5, str(tmp_path), 64)
+    cells = spark.read.parquet(str(tmp_path / "cells")).groupBy("cell").count().collect()
+    assert sum(r["count"] for r in cells) == 2000
+    assert max(r["count"] for r in cells) <= 64
