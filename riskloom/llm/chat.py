@@ -4,7 +4,8 @@ A log that stores a conversation anew after every exchange holds all its prefixe
 turn gets two 64-bit hashes of its number, role and text; XOR of the turns so far is a
 rolling prefix hash that needs no order of summation, so a conversation with very many
 turns is summed in blocks of ``BLOCK`` turn numbers, block totals first, and no task sees
-more than a block. A conversation whose last prefix hash is an inner prefix hash of
+more than a block; rows without a number, or under one, are of one block, however many
+they are. A conversation whose last prefix hash is an inner prefix hash of
 another is absorbed by it (an anti-join); of equal conversations the least id stays.
 
 The 128 bits of both hashes, the turn number and the count of turns make up the key.
