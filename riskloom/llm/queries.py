@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from riskloom.llm import (
     chat,
+    clustering,
     decontaminate,
     near_dups,
     pieces,
@@ -128,6 +129,11 @@ def op10_rule_ensemble(spark, d):
     return scored.select("doc_id", held.alias("held_out"), "score", "predicted")
 
 
+@query
+def op12_centroid_clusters(spark, d):
+    return clustering.with_inertia(clustering.cluster(table(spark, d, "embeddings")))
+
+
 QUERIES["pipeline"] = corpus_pipeline.run
 if corpus_pipeline.ORACLE_SQL:
     SQL["pipeline"] = corpus_pipeline.ORACLE_SQL

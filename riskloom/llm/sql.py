@@ -146,3 +146,51 @@ SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY block) - 1 AS s
        CAST(strlen(s) AS BIGINT) AS n_bytes, sha256(s) AS text_sha256
 FROM b
 """
+
+
+def _clusters_sql(k: int = 16, rounds: int = 3) -> str:
+    """Rounds of assigning and moving, one pair of CTEs a round; c0 are the first centroids."""
+
+    def assigned(n: int) -> str:
+        # the nearest centroid, ties by number; the distance is exact in integers
+        return f"""a{n} AS (
+  SELECT r, min_by(c, (d, c)) AS c, min(d) AS d FROM (
+    SELECT x.r, y.c, CAST(sum((x.e - y.e) * (x.e - y.e)) AS BIGINT) AS d
+    FROM x JOIN c{n} y USING (j) GROUP BY ALL) GROUP BY r
+)"""
+
+    def moved(n: int) -> str:
+        # floor of an exact quotient: the remainder is made non-negative first
+        return f"""m{n} AS (
+  SELECT a{n}.c, j, CAST(sum(e) AS BIGINT) AS s, count(*) AS n
+  FROM x JOIN a{n} USING (r) GROUP BY ALL
+), c{n + 1} AS (
+  SELECT o.c, o.j, coalesce((s - ((s % n) + n) % n) // n, o.e) AS e
+  FROM c{n} o LEFT JOIN m{n} USING (c, j)
+)"""
+
+    steps = ", ".join(f"{assigned(n)}, {moved(n)}" for n in range(rounds))
+    return f"""
+WITH v AS (
+  SELECT row_number() OVER () AS r, vec_id, embedding FROM embeddings
+  WHERE len(embedding) = 64
+    AND len(list_filter(embedding, lambda z: z IS NOT NULL AND isfinite(z))) = 64
+), x AS (
+  SELECT r, j, CAST(floor(64 * CAST(embedding[j] AS DOUBLE)) AS BIGINT) AS e
+  FROM v, (SELECT unnest(range(1, 65)) AS j)
+), f AS (
+  SELECT r, row_number() OVER (ORDER BY sha256('1:' || vec_id)) - 1 AS c
+  FROM v WHERE vec_id IS NOT NULL ORDER BY c LIMIT {k}
+), c0 AS (
+  SELECT c, j, e FROM x JOIN f USING (r)
+), {steps}, {assigned(rounds)}, h AS (
+  SELECT c, sha256(string_agg(e, ',' ORDER BY j)) AS h FROM c{rounds} GROUP BY c
+)
+SELECT vec_id, CAST(c AS INTEGER) AS cluster, d AS distance,
+       CAST(sum(d) OVER (PARTITION BY c) AS BIGINT) AS cluster_inertia,
+       CAST(sum(d) OVER () AS BIGINT) AS inertia, h AS centroid_sha256
+FROM v JOIN a{rounds} USING (r) JOIN h USING (c)
+"""
+
+
+SQL["op12_centroid_clusters"] = _clusters_sql()
