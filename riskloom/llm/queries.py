@@ -13,6 +13,7 @@ from riskloom.llm import (
     chat,
     clustering,
     decontaminate,
+    languages,
     near_dups,
     pieces,
     quality_rules,
@@ -129,6 +130,15 @@ def op10_rule_ensemble(spark, d):
     return scored.select("doc_id", held.alias("held_out"), "score", "predicted")
 
 
+@query
+def op11_languages(spark, d):
+    docs = table(spark, d, "documents").select("doc_id", "text", "lang")
+    model = languages.fit(docs, public_tokenizers.path("piece_bpe_32k.model"))
+    named = languages.identify(docs.select("doc_id", "text"), model)
+    held = languages.held_out(F.col("doc_id"))
+    return named.select("doc_id", held.alias("held_out"), "lang_pred", "score")
+
+
 @query
 def op12_centroid_clusters(spark, d):
     return clustering.with_inertia(clustering.cluster(table(spark, d, "embeddings")))
