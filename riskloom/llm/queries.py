@@ -17,6 +17,7 @@ from riskloom.llm import (
     near_dups,
     pieces,
     quality_rules,
+    repair,
     rule_ensemble,
     sharding,
     token_counts,
@@ -144,6 +145,12 @@ def op12_centroid_clusters(spark, d):
     return clustering.with_inertia(clustering.cluster(table(spark, d, "embeddings")))
 
 
+@query
+def op13_conversation_repair(spark, d):
+    conversations = table(spark, d, "conversations")
+    return repair.repair(repair.damage(conversations), conversations.select("conv_id"))
+
+
 QUERIES["pipeline"] = corpus_pipeline.run
 if corpus_pipeline.ORACLE_SQL:
     SQL["pipeline"] = corpus_pipeline.ORACLE_SQL

@@ -194,3 +194,100 @@ FROM v JOIN a{rounds} USING (r) JOIN h USING (c)
 
 
 SQL["op12_centroid_clusters"] = _clusters_sql()
+
+
+def _repair_sql() -> str:
+    """Labels are eight digits of cost and the audit, so that text order is label order.
+
+    l0 to l3 are the best labels with nothing kept, a system, a user and an assistant turn
+    kept last; NULL where there is none, which least() passes over.
+    """
+
+    def plus(label: str, cost: str, edit: str) -> str:
+        return f"lpad(CAST(CAST({label}[1:8] AS BIGINT) + {cost} AS VARCHAR), 8, '0') || {label}[9:] || '{edit}'"
+
+    # inserts: user after nothing, system or assistant; then assistant after user
+    closed = f"""
+    SELECT g, i, l0, l1, l2, least(l3, {plus("l2", "5", "I")}) AS l3 FROM (
+      SELECT g, i, l0, l1, l3, least(l2, {plus("l0", "5", "I")}, {plus("l1", "5", "I")},
+        {plus("l3", "5", "I")}) AS l2 FROM"""
+    before_user = ["l0", "l1", "l3"]
+    to_user = ", ".join(
+        f"CASE WHEN NOT gone THEN {plus(x, 'stay + 1', 'R')} END, "
+        f"CASE WHEN NOT gone AND r = 'u' THEN {plus(x, 'stay', 'K')} END"
+        for x in before_user
+    )
+    return f"""
+WITH RECURSIVE crc AS (
+  SELECT list_transform(range(256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+    lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t
+), o AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    xor(list_reduce(list_prepend(4294967295, list_transform(string_split(
+        coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '), ''),
+      lambda c: CAST(ascii(c) AS BIGINT))),
+      lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1])), 4294967295) % 20 AS hit
+  FROM conversations, crc
+), ids AS (
+  SELECT conv_id, row_number() OVER () AS g FROM (SELECT DISTINCT conv_id FROM conversations)
+), dam AS (
+  SELECT conv_id, turn, CASE WHEN hit = 4 THEN 'user' ELSE role END AS role,
+    CASE hit WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(CASE WHEN hit = 3 THEN [1, 2] ELSE [1] END) AS copy
+  FROM o WHERE hit <> 0
+), n AS (
+  SELECT g, turn, role, text, role[1:1] AS r,
+    row_number() OVER (PARTITION BY g ORDER BY turn NULLS FIRST, role, text, copy) AS i,
+    row_number() OVER (PARTITION BY g, role, text ORDER BY turn NULLS FIRST, copy) AS nth
+  FROM dam JOIN ids ON dam.conv_id IS NOT DISTINCT FROM ids.conv_id
+), f AS (
+  SELECT *, CASE WHEN NOT regexp_matches(text, '[^\\x20\\x09-\\x0D]') THEN 'blank'
+    WHEN nth > 1 THEN 'duplicate'
+    WHEN NOT regexp_matches(text, '[.!?][\\x20\\x09-\\x0D]*$') THEN 'truncated' END AS fault
+  FROM n
+), h AS (
+  SELECT g, i, r, role, text, turn, fault, coalesce(fault IN ('blank', 'duplicate'), false) AS gone,
+    CASE WHEN fault = 'truncated' THEN 5 ELSE 0 END AS stay, lag(r) OVER (PARTITION BY g ORDER BY i) AS p
+  FROM f
+), c AS (
+  SELECT g, CAST(coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS BIGINT) AS gaps,
+    count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+    count(*) FILTER (fault = 'truncated') AS truncated,
+    count(*) FILTER (p IS NOT NULL AND p || r NOT IN ('su', 'ua', 'au')) AS illegal, count(*) AS n
+  FROM h GROUP BY g
+), dp AS ({closed} (
+      SELECT g, CAST(0 AS BIGINT) AS i, '00000000' AS l0, CAST(NULL AS VARCHAR) AS l1,
+             CAST(NULL AS VARCHAR) AS l2, CAST(NULL AS VARCHAR) AS l3 FROM c))
+  UNION ALL {closed} (
+      SELECT dp.g, h.i, {plus("l0", "2", "D")} AS l0,
+        least({plus("l1", "2", "D")},
+              CASE WHEN NOT gone AND r = 's' THEN {plus("l0", "stay", "K")} END) AS l1,
+        least({plus("l2", "2", "D")}, {to_user}) AS l2,
+        least({plus("l3", "2", "D")}, CASE WHEN NOT gone THEN {plus("l2", "stay + 1", "R")} END,
+              CASE WHEN NOT gone AND r = 'a' THEN {plus("l2", "stay", "K")} END) AS l3
+      FROM dp JOIN h ON h.g = dp.g AND h.i = dp.i + 1))
+), b AS (
+  SELECT g, CAST(l[1:8] AS BIGINT) AS cost, l[9:] AS audit
+  FROM (SELECT dp.g, least(l0, l3) AS l FROM dp JOIN c ON c.g = dp.g AND c.n = dp.i)
+), e AS (
+  SELECT g, k, e, sum(CAST(e <> 'I' AS INTEGER)) OVER w AS i, sum(CAST(e <> 'D' AS INTEGER)) OVER w AS m
+  FROM (SELECT g, unnest(range(1, length(audit) + 1)) AS k, audit[k:k] AS e FROM b)
+  WINDOW w AS (PARTITION BY g ORDER BY k)
+), q AS (
+  SELECT e.g, e.k, e.e, e.m, h.role, CASE WHEN e.e <> 'I' THEN h.text ELSE '' END AS text,
+    max(CAST(e.m = 1 AND e.e = 'K' AND h.r = 's' AS INTEGER)) OVER (PARTITION BY e.g) AS sys
+  FROM e LEFT JOIN h ON h.g = e.g AND h.i = e.i WHERE e.e <> 'D'
+), z AS (
+  SELECT g, string_agg(CASE WHEN e = 'K' THEN role WHEN (m - sys) % 2 = 1 THEN 'user' ELSE 'assistant' END
+                       || ':' || text, chr(10) ORDER BY k) AS s
+  FROM q GROUP BY g
+)
+SELECT conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank,
+  coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+  coalesce(illegal, 0) AS illegal, coalesce(cost, 0) AS cost, coalesce(audit, '') AS audit,
+  sha256(coalesce(s, '')) AS repaired_sha256
+FROM ids LEFT JOIN c USING (g) LEFT JOIN b USING (g) LEFT JOIN z USING (g)
+"""
+
+
+SQL["op13_conversation_repair"] = _repair_sql()
