@@ -294,8 +294,28 @@ FROM parts""",
 SELECT count(*) FILTER (r >= 0.95 AND y) AS positives,
   count(*) FILTER (r >= 0.95 AND NOT y) AS negatives,
   count(*) FILTER (r < 0.9) AS n_train, count(*) FILTER (r >= 0.9 AND r < 0.95) AS n_dev,
-  count(*) FILTER (r >= 0.95) AS n_test, true AS ranks
+  count(*) FILTER (r >= 0.95) AS n_test, true AS ranks, true AS patient, true AS best_kept
 FROM parts""",
+        "hpo": _with(TX, ACCOUNTS)
+        + f""", train AS (
+  SELECT tx_id, row_number() OVER (ORDER BY {FRACTION.format(seed=1212)}, tx_id) AS nth
+  FROM tx JOIN accounts ON sender_account_id = account_id
+  WHERE init_balance > -1 AND {FRACTION.format(seed=1212)} / 4294967296.0 < 0.9),
+folds AS (
+  SELECT count(*) FILTER (k = 0) AS fold_0, count(*) FILTER (k = 1) AS fold_1,
+    count(*) FILTER (k = 2) AS fold_2
+  FROM (SELECT floor({FRACTION.format(seed=1213)} / 4294967296.0 * 3) AS k
+        FROM train WHERE nth <= 10000)),
+drawn AS (
+  SELECT a.i AS a, b.i AS b, c.i AS c, d.i AS d, e.i AS e
+  FROM range(1, 5) a(i), range(1, 5) b(i), range(1, 5) c(i), range(1, 5) d(i), range(1, 5) e(i)
+  ORDER BY md5('1212:' || concat_ws(',', a.i - 1, b.i - 1, c.i - 1, d.i - 1, e.i - 1)) LIMIT 40)
+SELECT ([0.01, 0.1, 0.5, 1.0]::DOUBLE[])[a] AS stepSize, ([5, 10, 15, 20]::BIGINT[])[b] AS maxDepth,
+  ([0.0, 0.1, 0.5, 1.0]::DOUBLE[])[c] AS minInfoGain,
+  ([0.25, 0.5, 0.75, 1.0]::DOUBLE[])[d] AS subsamplingRate,
+  ([1, 10, 100, 1000]::BIGINT[])[e] AS minInstancesPerNode, fold_0, fold_1, fold_2,
+  150::BIGINT AS n_trees, true AS in_range, true AS not_above_best, true AS beats_flagging_all
+FROM drawn, folds""",
         "time_features": _with(TX)
         + f"""SELECT tx_id, {SIN} AS tx_time_sin, {COS} AS tx_time_cos FROM tx""",
         "log_features": _with(TX, ACCOUNTS, JOINED)

@@ -2,29 +2,27 @@
 
 Everything a model needs at scoring time is a stage of one ``PipelineModel``; the
 decision threshold is a one-row table beside it. Encoders are fitted on the training
-part only, resampling touches the training part only, and thresholds are chosen on
-rows the final metrics do not use.
+part only and resampling touches the training part only. The trees choose their threshold
+on dev rows and report on test rows; the spline model does both on its validation rows.
 """
 
 from __future__ import annotations
 
-import random
-
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression
-from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier, LogisticRegression
+from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.functions import hash_fraction, spline_basis_sql, spline_position_sql
+from riskloom.functions import spline_basis_sql, spline_position_sql
 from riskloom.operators import encode, evaluate, sampling
 from riskloom.operators.enrich import join_accounts, match_label
 from riskloom.operators.score import add_model_features, decide_ge, decide_gt, require, score_model
 from riskloom.operators.smote import oversample
 from riskloom.plans.jobs import batch_features
+from riskloom.plans.search import DRAWS, ROUNDS, SEARCH_GRID, SEARCH_ROWS, draw_params, run_trials
 from riskloom.schemas import GAM_CATEGORICAL, GAM_NUMERIC
 from riskloom.session import scratch_dir
 from riskloom.sinks import writers
@@ -36,16 +34,8 @@ TREE_ROUNDS = 500
 TREE_STEP = 0.5
 # trees of depth 20 hold up to a million nodes each; boosting needs far less
 TREE_DEPTH = 8
-FOLDS = 3
-DRAWS = 40
-# fixed values of the search grid, as far as Spark's trees have the parameter
-SEARCH_GRID = {
-    "stepSize": [0.01, 0.1, 0.5, 1.0],
-    "maxDepth": [5, 10, 15, 20],
-    "minInfoGain": [0.0, 0.1, 0.5, 1.0],
-    "subsamplingRate": [0.25, 0.5, 0.75, 1.0],
-    "minInstancesPerNode": [1, 10, 100, 1000],
-}
+# boosting ends when so many rounds bring nothing better on dev
+PATIENCE = 30
 
 
 # --- spline model --------------------------------------------------------
@@ -161,16 +151,57 @@ def _plain(df: DataFrame) -> DataFrame:
 def booster(
     rounds: int, depth: int, step: float = TREE_STEP, params: dict | None = None
 ) -> GBTClassifier:
-    """Boosted trees that stop early on dev; ``params`` (of a search) go before the rest."""
+    """Boosted trees; ``params`` (of a search) go before the rest."""
     settings = {"maxDepth": depth, "stepSize": step} | (params or {})
-    return GBTClassifier(
-        weightCol="weight",
-        maxIter=rounds,
-        seed=sampling.TREE_SEED,
-        validationIndicatorCol="is_dev",
-        validationTol=0.0,
-        **settings,
+    return GBTClassifier(weightCol="weight", maxIter=rounds, seed=sampling.TREE_SEED, **settings)
+
+
+def rounds_to_keep(losses: list[float], patience: int) -> tuple[int, bool]:
+    """``(rounds up to the best one, whether patience ran out)`` for losses by round.
+
+    A round is better only if its loss is less; rounds after patience ran out do not count.
+    """
+    best = 0
+    for i, loss in enumerate(losses):
+        if loss < losses[best]:
+            best = i
+        elif i - best >= patience:
+            return best + 1, True
+    return best + 1, False
+
+
+def first_trees(model: GBTClassificationModel, n: int) -> GBTClassificationModel:
+    """The model of the first ``n`` rounds."""
+    java, gateway = model._java_obj, SparkSession.active().sparkContext._gateway
+    ml = gateway.jvm.org.apache.spark.ml
+    trees = gateway.new_array(ml.regression.DecisionTreeRegressionModel, n)
+    weights = gateway.new_array(gateway.jvm.double, n)
+    for i in range(n):
+        trees[i], weights[i] = java.trees()[i], java.treeWeights()[i]
+    cut = ml.classification.GBTClassificationModel(
+        java.uid(), trees, weights, java.numFeatures(), java.numClasses()
     )
+    return GBTClassificationModel(java.copyValues(cut, java.extractParamMap()))
+
+
+def fit_with_patience(
+    train: DataFrame, dev: DataFrame, rounds: int, depth: int, params: dict | None = None,
+    patience: int = PATIENCE,
+) -> tuple[GBTClassificationModel, list[float]]:
+    """The rounds up to the best one on ``dev``, and the dev losses that were looked at.
+
+    Boosting goes on while one of the last ``patience`` rounds was the best so far, at most
+    for ``rounds``. Spark cannot resume a fit, so it is repeated with twice the rounds as
+    long as patience lasts; equal seeds make equal trees, so the losses only grow longer.
+    """
+    n = min(rounds, 2 * patience)
+    while True:
+        model = booster(n, depth, params=params).fit(train)
+        losses = list(model.evaluateEachIteration(dev))
+        kept, ended = rounds_to_keep(losses, patience)
+        if ended or n == rounds:
+            return first_trees(model, kept), losses
+        n = min(rounds, 2 * n)
 
 
 def best_params(results: DataFrame, grid: dict[str, list] = SEARCH_GRID) -> dict:
@@ -188,10 +219,11 @@ def train_trees(
     resample: bool = True,
     params: dict | None = None,
 ) -> DataFrame:
-    """Fit with early stopping on dev, choose the F1 threshold on dev, report on test.
+    """Fit with patience on dev, choose the F1 threshold on dev, report on test.
 
     Without ``resample`` the positives are weighted instead. ``params`` is the grid point
-    of a search (:func:`best_params`).
+    of a search (:func:`best_params`). Without dev rows all rounds are kept. The dev loss
+    of every round is stored beside the model.
     """
     copies = F.col("n_matches") if "n_matches" in rows.columns else F.lit(1)
     weighted = rows.withColumn("weight", copies.cast("double"))
@@ -209,11 +241,17 @@ def train_trees(
     if resample:
         train = oversample(train, weight="weight")
     columns = ["features", "label", "weight"]
-    fitting = train.select(*columns, F.lit(False).alias("is_dev")).unionByName(
-        dev.select(*columns, F.lit(True).alias("is_dev"))
-    )
-    fitting.write.mode("overwrite").parquet(f"{out}/fitting")
-    model = booster(rounds, depth, params=params).fit(spark.read.parquet(f"{out}/fitting"))
+    for name, part in (("train", train), ("dev", dev)):
+        part.select(*columns).write.mode("overwrite").parquet(f"{out}/fitting/{name}")
+    fitting, judging = (spark.read.parquet(f"{out}/fitting/{n}") for n in ("train", "dev"))
+    if judging.isEmpty():
+        model, losses = booster(rounds, depth, params=params).fit(fitting), []
+    else:
+        model, losses = fit_with_patience(fitting, judging, rounds, depth, params)
+    # one row a round
+    spark.createDataFrame(
+        list(enumerate(losses, 1)), "round int, loss double"
+    ).write.mode("overwrite").parquet(f"{out}/dev_losses")
     save_model(PipelineModel([*prepared.stages, model]), f"{out}/model")
 
     for name in ("dev", "test"):
@@ -237,34 +275,21 @@ def rank_auc(scored: DataFrame, score: str = "score", label: str = "label") -> f
 # --- hyper-parameters ----------------------------------------------------
 
 
-def draw_params(draws: int, seed: int, grid: dict[str, list] = SEARCH_GRID) -> list[dict]:
-    """Distinct random points of the grid."""
-    total = 1
-    for values in grid.values():
-        total *= len(values)
-    drawn = []
-    for code in random.Random(seed).sample(range(total), min(draws, total)):
-        point = {}
-        for name, values in grid.items():
-            code, i = divmod(code, len(values))
-            point[name] = values[i]
-        drawn.append(point)
-    return drawn
-
-
 def search(
     rows: DataFrame,
     draws: int = DRAWS,
-    rounds: int = 50,
+    rounds: int = ROUNDS,
     seed: int = sampling.TREE_SEED,
     grid: dict[str, list] = SEARCH_GRID,
-    parallelism: int = 4,
     key: str = "tx_id",
     save_to: str | None = None,
+    max_rows: int = SEARCH_ROWS,
 ) -> DataFrame:
     """Random search by 3-fold F1; one row per draw, best first.
 
-    Folds come from the row's hash. A stored result in ``save_to`` is reused.
+    Trials see a hash sample of at most ``max_rows`` rows (``features``, ``label``); folds
+    come from the row's hash. A stored result in ``save_to`` is reused; beside it the
+    winner is stored, fitted on all rows.
     """
     spark = rows.sparkSession
     if save_to is not None:
@@ -273,26 +298,20 @@ def search(
         except Exception as absent:
             if "PATH_NOT_FOUND" not in str(absent):
                 raise
-    fold = F.floor(hash_fraction(key, seed) * FOLDS).cast("int")
-    folded = rows.select("features", "label", fold.alias("fold"))
-    trees = GBTClassifier(maxIter=rounds, seed=seed)
     points = draw_params(draws, seed, grid)
-    maps = [{trees.getParam(n): v for n, v in point.items()} for point in points]
-    f1 = MulticlassClassificationEvaluator(metricName="fMeasureByLabel", metricLabel=1.0)
-    validator = CrossValidator(
-        estimator=trees,
-        estimatorParamMaps=maps,
-        evaluator=f1,
-        numFolds=FOLDS,
-        foldCol="fold",
-        parallelism=parallelism,
+    trials = run_trials(rows, points, rounds, seed, max_rows, key)
+    by_draw = trials.groupBy("draw").agg(
+        F.avg("f1").alias("f1"),
+        F.sum("n_trees").alias("n_trees"),
+        F.array_sort(F.collect_list(F.struct("fold", "n_rows")))["n_rows"].alias("fold_rows"),
     )
-    fitted = validator.fit(folded)
-    table = [{**p, "f1": float(m)} for p, m in zip(points, fitted.avgMetrics)]
-    results = spark.createDataFrame(table)
+    listed = spark.createDataFrame([{"draw": i, **p} for i, p in enumerate(points)])
+    results = listed.join(by_draw, "draw").drop("draw")
     if save_to is not None:
-        save_model(fitted.bestModel, f"{save_to}/best")
         results.write.mode("overwrite").parquet(f"{save_to}/results")
+        results = spark.read.parquet(f"{save_to}/results")
+        trees = GBTClassifier(maxIter=rounds, seed=seed, **best_params(results, grid))
+        save_model(trees.fit(rows.select("features", "label")), f"{save_to}/best")
     return results.orderBy(F.desc("f1"), *grid)
 
 

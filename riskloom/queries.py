@@ -25,7 +25,7 @@ from riskloom.operators import (
     validate,
     windows,
 )
-from riskloom.plans import jobs, training
+from riskloom.plans import jobs, search, training
 from riskloom.schemas import ACCOUNT_CSV, GAM_CATEGORICAL, SCORED_TX
 from riskloom.session import scratch_dir
 from riskloom.streaming import speed
@@ -521,7 +521,7 @@ def stream_score(spark, d):
     return rounded(out.select("tx_id", "score", "is_fraud"), "score")
 
 
-# --- models: fitted on the whole tables; only rounds and draws are kept low ---
+# --- models, fitted on the whole tables by the jobs' own defaults ---
 
 
 @query
@@ -565,29 +565,56 @@ def gam_fit(spark, d):
 
 @query
 def gbt_fit(spark, d):
-    """Fewer rounds than the job's default, by part sizes and a floor for the ranking."""
+    """The job at its defaults, by part sizes, a floor for the ranking and its early stop.
+
+    ``patient``: dev was looked at for as long as patience asks, or for all rounds;
+    ``best_kept``: no round that was looked at has a lower dev loss than the last kept.
+    """
     usable, _ = training.tree_rows(
         fx.predictions(spark, d).drop("label"),
         fx.labelled_with_copies(spark, d),
         fx.accounts(spark, d),
     )
     folder = scratch_dir(spark, "trees")
-    report = training.train_trees(spark, usable, folder, rounds=10, depth=5)
+    report = training.train_trees(spark, usable, folder)
     parts = spark.read.parquet(f"{folder}/rows").groupBy("split").count()
     sizes = {r["split"]: r["count"] for r in parts.collect()}  # three rows
     test = spark.read.parquet(f"{folder}/scored/test")
+    kept = training.load_pipeline(f"{folder}/model").stages[-1].getNumTrees
+    looked = spark.read.parquet(f"{folder}/dev_losses").agg(
+        F.max("round"), F.min("loss"), F.max_by("loss", F.col("round") == kept)
+    )
+    rounds, least, last = looked.first()
+    patient = rounds >= min(training.TREE_ROUNDS, kept + training.PATIENCE)
     return _class_counts(report).select(
         "*",
         *[F.lit(sizes.get(k, 0)).cast("long").alias(f"n_{k}") for k in ("train", "dev", "test")],
         F.lit(training.rank_auc(test) > 0.6).alias("ranks"),
+        F.lit(patient).alias("patient"),
+        F.lit(last == least).alias("best_kept"),
     )
 
 
 @query
 def hpo(spark, d):
-    rows = fx.model_rows(spark, d)
-    assembled = encode.tree_pipeline().fit(rows).transform(rows)
+    """All draws, folds and rounds of the job on its sample of the training part.
+
+    Beside the points and the fold sizes: whether each F1 is one, is none above the best,
+    and whether the best beats flagging everything.
+    """
+    rows = sampling.split_90_5_5(fx.model_rows(spark, d)).filter("split = 'train'")
     folder = scratch_dir(spark, "search")
-    assembled.select("tx_id", "features", "label").write.parquet(folder)
-    grid = {**training.SEARCH_GRID, "maxDepth": [3, 5]}
-    return training.search(spark.read.parquet(folder), draws=3, rounds=5, grid=grid)
+    rows.write.parquet(f"{folder}/rows")
+    rows = spark.read.parquet(f"{folder}/rows")
+    assembled = encode.tree_pipeline().fit(rows).transform(rows)
+    found = training.search(assembled.select("tx_id", "features", "label"), save_to=folder)
+    best = found.agg(F.max("f1")).first()[0]
+    share = rows.agg(F.avg("label")).first()[0] or 0.0
+    return found.select(
+        *search.SEARCH_GRID,
+        *[F.get("fold_rows", F.lit(k)).alias(f"fold_{k}") for k in range(search.FOLDS)],
+        "n_trees",
+        F.col("f1").between(0, 1).alias("in_range"),
+        (F.col("f1") <= best).alias("not_above_best"),
+        F.lit(best > 2 * share / (1 + share)).alias("beats_flagging_all"),
+    )

@@ -2,11 +2,13 @@
 
 import numpy as np
 import pytest
+from pyspark.ml.classification import GBTClassifier
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from riskloom import fixtures as fx
 from riskloom.operators import score
-from riskloom.plans import training
+from riskloom.plans import search, training
 
 
 @pytest.fixture(scope="module")
@@ -89,17 +91,22 @@ def test_weights_move_the_model_towards_the_positives(spark):
 
 
 def test_search_draws_and_reuses_its_result(spark, sf_dir, tmp_path):
-    assert len(training.draw_params(40, 1)) == 40
-    assert training.draw_params(5, 1) == training.draw_params(5, 1) != training.draw_params(5, 2)
+    assert len(search.draw_params(40, 1)) == 40
+    assert search.draw_params(5, 1) == search.draw_params(5, 1) != search.draw_params(5, 2)
+    assert search.draw_params(3, 1) == search.draw_params(9, 1)[:3]
     rows = fx.model_rows(spark, sf_dir)
     from riskloom.operators.encode import tree_pipeline
 
     features = tree_pipeline().fit(rows).transform(rows).select("tx_id", "features", "label")
-    grid = {"stepSize": [0.5, 1.0], "maxDepth": [2]}
+    grid = {**{k: v[-1:] for k, v in search.SEARCH_GRID.items()}, "stepSize": [0.5, 1.0], "maxDepth": [2]}
+    grid["minInstancesPerNode"], grid["minInfoGain"] = [1], [0.0]
     first = training.search(features, 2, 2, grid=grid, save_to=str(tmp_path)).collect()
     again = training.search(features, 2, 2, grid=grid, save_to=str(tmp_path)).collect()
     assert first == again and len(first) == 2
     assert first[0]["f1"] >= first[1]["f1"]
+    assert all(r["n_trees"] == 6 and sum(r["fold_rows"]) == features.count() for r in first)
+    stored = training.GBTClassificationModel.load(f"{tmp_path}/best")
+    assert stored.getMaxDepth() == 2 and stored.getStepSize() == first[0]["stepSize"]
     # the winner goes into the final fit
     best = training.best_params(spark.createDataFrame(first), grid)
     assert best == {name: first[0][name] for name in grid}
@@ -109,6 +116,72 @@ def test_search_draws_and_reuses_its_result(spark, sf_dir, tmp_path):
     assert trees.getStepSize() == best["stepSize"] and trees.getMaxDepth() == 2
 
 
+@pytest.mark.parametrize(
+    "params",
+    [
+        {"stepSize": 0.5, "maxDepth": 3, "minInfoGain": 0.0, "minInstancesPerNode": 1},
+        {"stepSize": 0.1, "maxDepth": 6, "minInfoGain": 0.05, "minInstancesPerNode": 10},
+    ],
+)
+def test_trials_grow_the_trees_that_spark_grows(spark, params):
+    """On few distinct values, where both cut between the same ones."""
+    draw = np.random.default_rng(5)
+    codes = draw.integers(0, 9, (600, 4))
+    z = codes[:, 0] * 0.5 - codes[:, 1] * 0.3 + (codes[:, 2] > 4) * codes[:, 3] * 0.4
+    label = (z - 1.5 + draw.normal(0, 1, 600) > 0).astype(int)
+    data = [(i, [float(v) for v in c], int(y)) for i, (c, y) in enumerate(zip(codes, label))]
+    rows = spark.createDataFrame(data, "tx_id long, a array<double>, label int")
+    rows = rows.select("tx_id", array_to_vector("a").alias("features"), "label").coalesce(1)
+    model = GBTClassifier(maxIter=6, seed=1, **params).fit(rows)
+    theirs = model.transform(rows).orderBy("tx_id").select("rawPrediction").collect()
+    mine = search.boost(codes, label, 6, {**params, "subsamplingRate": 1.0}, 1)
+    assert np.allclose(search.margins(mine, codes), [r[0][1] for r in theirs], atol=1e-9)
+
+
+def test_shared_matrix(spark):
+    data = [(i, [float(i % 7), float(i)], i % 2) for i in range(500)]
+    rows = spark.createDataFrame(data, "tx_id long, a array<double>, label int")
+    rows = rows.select("tx_id", array_to_vector("a").alias("features"), "label")
+    got = search.binned(rows, 300, 3).orderBy("tx_id").collect()
+    assert len(got) == 300 and {r["fold"] for r in got} == {0, 1, 2}
+    assert all(r["codes"][0] == r["tx_id"] % 7 for r in got)
+    codes = [r["codes"][1] for r in got]
+    assert codes == sorted(codes) and 25 <= max(codes) < search.BINS
+    assert search.binned(rows.limit(0), 300, 3).count() == 0
+    none = search.run_trials(rows.limit(0), search.draw_params(2, 1), 3, 1).collect()
+    assert len(none) == 6 and all(r["f1"] == 0 and r["n_trees"] == 0 for r in none)
+
+
+def test_patience_outlasts_a_dip():
+    keep = training.rounds_to_keep
+    # worse for two rounds, then better than before
+    assert keep([5, 4, 4.5, 4.2, 3, 3.5, 3.2], 3) == (5, False)
+    assert keep([5, 4, 4.5, 4.2, 3, 3.5, 3.2], 2) == (2, True)
+    assert keep([5, 4, 4, 4, 3.9], 2) == (2, True)
+    assert keep([5, 4, 4, 4, 3.9], 3) == (5, False)
+    assert keep([1.0], 30) == (1, False)
+
+
+def test_fit_with_patience_keeps_the_best_rounds(spark):
+    draw = np.random.default_rng(8)
+    x = draw.normal(size=(600, 3))
+    label = ((x[:, 0] + 0.8 * draw.normal(size=600)) > 0).astype(int)
+    data = [(v.tolist(), int(y), 1.0, i % 3 == 0) for i, (v, y) in enumerate(zip(x, label))]
+    rows = spark.createDataFrame(data, "a array<double>, label int, weight double, dev boolean")
+    rows = rows.select(array_to_vector("a").alias("features"), "label", "weight", "dev")
+    train, dev = rows.filter("NOT dev"), rows.filter("dev")
+    model, losses = training.fit_with_patience(train, dev, 40, 3, {"stepSize": 0.5}, patience=4)
+    kept, ended = training.rounds_to_keep(losses, 4)
+    assert ended and model.getNumTrees == kept < len(losses)
+    # the rounds kept are the first of the longer fit, and score like them
+    whole = training.booster(len(losses), 3, params={"stepSize": 0.5}).fit(train)
+    assert list(model.evaluateEachIteration(dev)) == pytest.approx(losses[:kept])
+    assert list(whole.evaluateEachIteration(dev)) == pytest.approx(losses)
+    assert model.transform(dev).filter("probability IS NULL").count() == 0
+    short, _ = training.fit_with_patience(train, dev, 3, 3, patience=4)
+    assert short.getNumTrees <= 3
+
+
 def test_external_model_in_arrow_batches(spark):
     df = spark.createDataFrame([(i, float(i), 1.0) for i in range(10)], "tx_id long, a double, b double")
     out = score.score_external(df, lambda m: 1 / (1 + np.exp(-(m[:, 0] - m[:, 1]))), ["a", "b"])
