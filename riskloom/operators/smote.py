@@ -1,19 +1,20 @@
 """Synthetic minority oversampling with exact nearest neighbours.
 
 The minority is reduced to distinct vectors with a count, so copies cost nothing,
-and cut into small cells by a median-split tree. Neighbours are searched in three
-steps, none of which forms all pairs:
+and cut into small cells by a kd-tree whose levels are Spark aggregates. Neighbours are
+searched in three steps, none of which forms all pairs:
 
 1. within each cell, which gives every vector an upper bound on its k-th distance;
-2. in the other cells whose bounding box comes closer than that bound;
+2. in the other cells whose bounding box comes closer than that bound, found by descending
+   a hierarchy of boxes;
 3. the k best of both.
 
-A cell outside the bound cannot hold a nearer vector, so the result is exact.
+A cell outside the bound cannot hold a nearer vector, so the result is exact. Neither
+vectors nor cells come to the driver: of each level it learns whether there is another.
 """
 
 from __future__ import annotations
 
-import math
 import sys
 from collections.abc import Iterator
 
@@ -33,10 +34,12 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 RATIO = 0.7
 NEIGHBOURS = 5
 CELL_ROWS = 1024
-# sampled vectors a cell, from which its bounds are taken
-SAMPLE_PER_CELL = 16
-# an axis serves for a split if the smaller side gets this share, or as much as any gives
-BALANCE = 0.25
+# of a node's quartiles; a coarse one only makes cells less even
+ACCURACY = 200
+# levels of the box hierarchy that one join descends, so at most 2^4 boxes a visit
+STRIDE = 4
+# boxes of the first levels, 2^(STRIDE * level) at most, are broadcast up to this number
+BROADCAST_BOXES = 1 << (3 * STRIDE)
 # searches of one cell, and synthetic rows of one vector, handled by one task
 VISITS_PER_TASK = 50_000
 ROWS_PER_TASK = 100_000
@@ -54,16 +57,23 @@ def oversample(
     key: str = "tx_id",
     weight: str | None = None,
     cell_rows: int = CELL_ROWS,
+    trace: bool = False,
 ) -> DataFrame:
     """Originals plus synthetic positives until they are ``ratio`` of the negatives.
 
     Each synthetic vector lies between a positive and one of its ``k`` nearest
     neighbours. Returns ``key, features, label, synthetic`` and ``weight`` if named;
-    synthetic rows have no key and weight 1. Runs jobs: the neighbour search goes
+    synthetic rows have no key and weight 1. With ``trace`` also ``base``, the least key
+    of the positives with the vector that a synthetic one starts from, and ``reach``, the
+    distance from there to the ``k``-th neighbour. Runs jobs: the neighbour search goes
     through written tables in the shared scratch folder.
     """
     weights = [weight] if weight else []
-    originals = df.select(key, features, label, *weights, F.lit(False).alias("synthetic"))
+    kind = df.schema[key].dataType
+    untraced = [F.lit(None).cast(kind).alias("base"), F.lit(None).cast("double").alias("reach")]
+    originals = df.select(
+        key, features, label, *weights, F.lit(False).alias("synthetic"), *(untraced if trace else [])
+    )
     sizes = {r[label]: r["n"] for r in df.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()}
     n_min, n_maj = sizes.get(1, 0), sizes.get(0, 0)
     wanted = int(ratio * n_maj) - n_min
@@ -76,22 +86,25 @@ def oversample(
     folder = scratch_dir(spark, "smote")
     vector = vector_to_array(features).alias("x")
     rows = df.filter(F.col(label) == 1).select(key, vector).withColumn("pid", _pid("x"))
-    rows.groupBy("pid", "x").agg(F.count(F.lit(1)).alias("m")).write.parquet(f"{folder}/points")
+    rows.groupBy("pid", "x").agg(
+        F.count(F.lit(1)).alias("m"), F.min(key).alias("base")
+    ).write.parquet(f"{folder}/points")
     points = spark.read.parquet(f"{folder}/points")
 
     # synthetic rows per original: the whole part for all, one more for an exact rest
     each, rest = divmod(wanted, n_min)
     extra = take_by_hash(rows.select(key, "pid"), rest, key, seed)
     extra = extra.groupBy("pid").agg(F.count(F.lit(1)).alias("extra"))
-    near = nearest(points, k, folder, cell_rows)
+    near = nearest(points, k, folder, cell_rows).withColumn("reach", _reach(k))
     share = F.col("m") * each + F.coalesce("extra", F.lit(0))
     bases = near.join(extra, "pid", "left").withColumn("n", share).filter(F.col("n") > 0)
     synthetic = _interpolate(bases, k, seed).select(
-        F.lit(None).cast(df.schema[key].dataType).alias(key),
+        F.lit(None).cast(kind).alias(key),
         array_to_vector("x").alias(features),
         F.lit(1).cast(df.schema[label].dataType).alias(label),
         *[F.lit(1.0).alias(w) for w in weights],
         F.lit(True).alias("synthetic"),
+        *(["base", "reach"] if trace else []),
     )
     return originals.unionByName(synthetic)
 
@@ -100,60 +113,62 @@ def _pid(x: str):
     return F.md5(F.to_json(F.array(F.col(x))))
 
 
-def _interpolate(bases: DataFrame, k: int, seed: int) -> DataFrame:
-    """``n`` points between each vector and its neighbours; a copy is a neighbour too."""
-    copies = F.array_repeat(F.col("x"), F.least(F.col("m") - 1, F.lit(k)).cast("int"))
+def _slots(k: int):
+    """The first ``k`` neighbours of a vector; a copy is a neighbour too."""
+    own = F.struct(F.lit(0.0).alias("d"), F.col("x").alias("x"), F.lit(0).cast("long").alias("m"))
+    copies = F.array_repeat(own, F.least(F.col("m") - 1, F.lit(k)).cast("int"))
     others = F.flatten(
-        F.transform("near", lambda o: F.array_repeat(o["x"], F.least(o["m"], F.lit(k)).cast("int")))
+        F.transform("near", lambda o: F.array_repeat(o, F.least(o["m"], F.lit(k)).cast("int")))
     )
-    slots = F.slice(F.concat(copies, others), 1, k)
+    return F.slice(F.concat(copies, others), 1, k)
+
+
+def _reach(k: int):
+    return F.element_at(_slots(k), -1)["d"]
+
+
+def _interpolate(bases: DataFrame, k: int, seed: int) -> DataFrame:
+    """``n`` points between each vector and its neighbours."""
     # a vector with very many synthetic rows is spread over several tasks first
     parts = F.floor((F.col("n") - 1) / ROWS_PER_TASK)
     spread = bases.select(
-        "pid", "x", "n", slots.alias("slots"), F.explode(F.sequence(F.lit(0), parts)).alias("part")
+        "pid",
+        "base",
+        "reach",
+        "x",
+        "n",
+        _slots(k)["x"].alias("slots"),
+        F.explode(F.sequence(F.lit(0), parts)).alias("part"),
     ).repartition("pid", "part")
     first = F.col("part") * ROWS_PER_TASK
     last = F.least(F.col("n"), first + ROWS_PER_TASK) - 1
-    drawn = spread.select("pid", "x", "slots", F.explode(F.sequence(first, last)).alias("i"))
+    drawn = spread.select("*", F.explode(F.sequence(first, last)).alias("i"))
     which = F.pmod(F.xxhash64(F.lit(seed), "pid", "i"), F.lit(k)).cast("int")
     gap = F.pmod(F.xxhash64(F.lit(seed + 1), "pid", "i"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    chosen = drawn.select("x", F.element_at("slots", which + 1).alias("o"), gap.alias("g"))
+    chosen = drawn.select(
+        "base", "reach", "x", F.element_at("slots", which + 1).alias("o"), gap.alias("g")
+    )
     # the gap is a column outside the lambda
-    return chosen.select(F.expr("zip_with(x, o, (a, b) -> a + g * (b - a))").alias("x"))
+    between = F.expr("zip_with(x, o, (a, b) -> a + g * (b - a))")
+    return chosen.select("base", "reach", between.alias("x"))
 
 
 def nearest(points: DataFrame, k: int, folder: str, cell_rows: int = CELL_ROWS) -> DataFrame:
-    """``pid, x, m, near``: the ``k`` nearest other vectors of each, nearest first."""
+    """The points with ``near``: the ``k`` nearest other vectors of each, nearest first."""
     spark = points.sparkSession
-    axes, values, children = _tree(points, cell_rows)
-
-    @F.pandas_udf("int")
-    def cell_of(x: pd.Series) -> pd.Series:
-        matrix, node = np.stack(x.to_numpy()), np.zeros(len(x), dtype="int64")
-        while (inner := np.flatnonzero(axes[node] >= 0)).size:
-            at = node[inner]
-            right = matrix[inner, axes[at]] > values[at]
-            node[inner] = children[at, right.astype("int64")]
-        return pd.Series(node).astype("int32")
+    if not _size(points):
+        return points.withColumn("near", F.array().cast(_NEAR))
+    cells = split_cells(points.select("pid", "x", "m"), folder, cell_rows)
 
-    points.withColumn("cell", cell_of("x")).write.parquet(f"{folder}/cells")
-    cells = spark.read.parquet(f"{folder}/cells")
-
-    schema = f"pid string, x array<double>, m bigint, cell int, radius double, near {_NEAR}"
+    schema = f"pid string, x array<double>, m bigint, cell string, radius double, near {_NEAR}"
     cells.groupBy("cell").applyInPandas(_within(k), schema).write.parquet(f"{folder}/local")
     local = spark.read.parquet(f"{folder}/local")
-
-    cells_to_search = local.mapInPandas(
-        _visits(spark.sparkContext.broadcast(_boxes(cells))),
-        "cell int, pid string, x array<double>, radius double",
-    )
-    cells_to_search.write.parquet(f"{folder}/visits")
+    _visits(local, cells).write.parquet(f"{folder}/visits")
     visits = spark.read.parquet(f"{folder}/visits")
-    # a much-visited cell is searched by several tasks; one row a cell
+    # a much-visited cell is searched by several tasks
     tasks = visits.groupBy("cell").agg(
         F.ceil(F.count(F.lit(1)) / VISITS_PER_TASK).alias("tasks")
     )
-    tasks = F.broadcast(tasks)
     salt = F.pmod(F.xxhash64("pid"), F.col("tasks"))
     every_salt = F.explode(F.sequence(F.lit(0).cast("long"), F.col("tasks") - 1))
     asking = visits.join(tasks, "cell").select("cell", salt.alias("salt"), "pid", "x")
@@ -170,67 +185,136 @@ def nearest(points: DataFrame, k: int, folder: str, cell_rows: int = CELL_ROWS)
     return points.join(best, "pid")
 
 
-def _split(group: np.ndarray) -> tuple[int, float] | None:
-    """Axis and value (``<=`` goes left) that part a group; None if all are equal.
+# --- the tree ------------------------------------------------------------
+
+
+def _size(points: DataFrame) -> int:
+    """Components of a vector; 0 without vectors."""
+    first = points.select(F.size("x").alias("n")).first()
+    return first["n"] if first else 0
 
-    The widest axis whose values can be parted well is taken: one that stands at its
-    maximum for most of the rows does not part them.
+
+def _axis(i: int):
+    return F.get("x", F.lit(i))
+
+
+def _cuts(open_points: DataFrame, size: int, cell_rows: int) -> DataFrame:
+    """``cell, axis, cut`` (``<=`` goes left) of the nodes above ``cell_rows``.
+
+    The widest axis is taken that leaves a quarter or more on either side, which its
+    quartiles tell: the median is a cut if the upper quartile lies above it, the lower
+    quartile if it lies below. Where no axis has such a cut, most rows stand at one value of
+    each, and the widest axis is cut at that value, or at its mean if that value is the
+    greatest; both leave rows on either side.
     """
-    best, share = None, 0.0
-    for axis in np.argsort(-np.ptp(group, axis=0), kind="stable"):
-        column = np.sort(group[:, axis])
-        cuts = np.flatnonzero(column[1:] > column[:-1]) + 1
-        if not len(cuts):
-            break  # the axes left are no wider
-        cut = cuts[np.argmin(np.abs(cuts - len(column) / 2))]
-        smaller = min(cut, len(column) - cut) / len(column)
-        if smaller > share:
-            best, share = (int(axis), float(column[cut - 1])), smaller
-        if share >= BALANCE:
-            break
-    return best
+    sums = []
+    for i in range(size):
+        x = _axis(i)
+        sums += [F.min(x).alias(f"l{i}"), F.max(x).alias(f"h{i}"), F.avg(x).alias(f"a{i}")]
+        sums.append(F.percentile_approx(x, [0.25, 0.5, 0.75], ACCURACY).alias(f"q{i}"))
+    nodes = open_points.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), *sums)
+    options = []
+    for i in range(size):
+        low, middle, high = (F.get(f"q{i}", F.lit(j)) for j in range(3))
+        even = (high > middle) | (low < middle)
+        cut = (
+            F.when(high > middle, middle)
+            .when(low < middle, low)
+            .when(middle < F.col(f"h{i}"), middle)
+            .otherwise(F.col(f"a{i}"))
+        )
+        wide = F.col(f"h{i}") - F.col(f"l{i}")
+        option = F.struct(
+            even.cast("int").alias("even"),
+            wide.alias("wide"),
+            F.lit(-i).alias("order"),
+            # rounding must not lift a mean to the greatest value
+            F.when(cut < F.col(f"h{i}"), cut).otherwise(F.col(f"l{i}")).alias("cut"),
+        )
+        options.append(F.when(wide > 0, option))
+    best = F.array_max(F.array(*options))
+    return (
+        nodes.filter(F.col("n") > cell_rows)
+        .select("cell", best.alias("b"))
+        .filter("b IS NOT NULL")
+        .select("cell", (-F.col("b.order")).alias("axis"), F.col("b.cut").alias("cut"))
+    )
 
 
-def _tree(points: DataFrame, cell_rows: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Split axes (-1 at a cell), values and children of the nodes, from a hash sample.
+def split_cells(points: DataFrame, folder: str, cell_rows: int) -> DataFrame:
+    """The points with ``cell``: the path of left and right turns to their leaf.
 
-    The sample holds ``SAMPLE_PER_CELL`` vectors a cell, and a node is split until it has
-    no more than that. Only the cell bounds come from it, as in range partitioning.
+    Every level takes one aggregation per node and one rewrite of the points whose nodes
+    are still too large. The driver learns whether a level has cuts, nothing else.
     """
-    n = points.count()
-    axes, values, children = [-1], [0.0], [(0, 0)]
-    if n > cell_rows:
-        size = max(20_000, math.ceil(SAMPLE_PER_CELL * n / cell_rows))
-        share = int(min(1.0, size / n) * (1 << 32))
-        draw = F.conv(F.substring("pid", 1, 8), 16, 10).cast("long")
-        sample = points.filter(draw < share).select("x").toPandas()
-        most = max(1.0, cell_rows * len(sample) / n)
-        todo = [(0, np.stack(sample["x"].to_numpy()))] if len(sample) else []
-        while todo:
-            node, group = todo.pop()
-            found = _split(group) if len(group) > most else None
-            if found is None:
-                continue
-            axes[node], values[node] = found
-            children[node] = len(axes), len(axes) + 1
-            axes += [-1, -1]
-            values += [0.0, 0.0]
-            children += [(0, 0)] * 2
-            right = group[:, found[0]] > found[1]
-            todo += [(children[node][0], group[~right]), (children[node][1], group[right])]
-    return np.array(axes), np.array(values), np.array(children)
-
-
-def _boxes(cells: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Cell numbers and their corner points: one row a cell."""
-    size = len(cells.select("x").first()["x"])
-    ends = cells.groupBy("cell").agg(
-        F.array(*[F.min(F.col("x")[i]) for i in range(size)]).alias("low"),
-        F.array(*[F.max(F.col("x")[i]) for i in range(size)]).alias("high"),
+    spark = points.sparkSession
+    size, level = _size(points), 0
+    now = points.withColumn("cell", F.lit(""))
+    leaves = []
+    while size:
+        _cuts(now, size, cell_rows).write.parquet(f"{folder}/cuts/{level}")
+        cuts = spark.read.parquet(f"{folder}/cuts/{level}")
+        if cuts.isEmpty():
+            break
+        value = F.get("x", F.col("axis"))
+        turn = F.when(value > F.col("cut"), "1").otherwise("0")
+        moved = now.join(cuts, "cell", "left").select(
+            "pid",
+            "x",
+            "m",
+            F.when(F.col("axis").isNull(), F.col("cell"))
+            .otherwise(F.concat("cell", turn))
+            .alias("cell"),
+            F.col("axis").isNotNull().alias("open"),
+        )
+        # the level's leaves are read no more; the path of a folder holds the flag
+        moved.write.partitionBy("open").parquet(f"{folder}/tree/{level}")
+        schema = now.schema.add("open", "boolean")
+        rows = spark.read.schema(schema).parquet(f"{folder}/tree/{level}")
+        leaves.append(rows.filter("NOT open").drop("open"))
+        now, level = rows.filter("open").drop("open"), level + 1
+    for part in leaves:
+        now = now.unionByName(part)
+    now.write.parquet(f"{folder}/cells")
+    return spark.read.parquet(f"{folder}/cells")
+
+
+# --- the search ----------------------------------------------------------
+
+
+def _visits(local: DataFrame, cells: DataFrame) -> DataFrame:
+    """``cell, pid, x, radius``: every vector with the other cells that its ball meets.
+
+    Boxes are nested by the prefixes of the cells' paths. Vectors descend from the root,
+    ``STRIDE`` levels a join, into the boxes nearer than their radius.
+    """
+    size = _size(cells)
+    ends = [f(_axis(i)).alias(f"{n}{i}") for i in range(size) for n, f in (("l", F.min), ("h", F.max))]
+    boxes = cells.groupBy("cell").agg(*ends)
+    depth = boxes.agg(F.max(F.length("cell"))).first()[0] or 0
+    merged = [
+        f(f"{n}{i}").alias(f"{n}{i}") for i in range(size) for n, f in (("l", F.min), ("h", F.max))
+    ]
+    out = sum(
+        (
+            F.pow(F.greatest(F.col(f"l{i}") - _axis(i), _axis(i) - F.col(f"h{i}"), F.lit(0.0)), 2)
+            for i in range(size)
+        ),
+        F.lit(0.0),
     )
-    frame = ends.toPandas()
-    stack = lambda c: np.stack(frame[c].to_numpy())
-    return frame["cell"].to_numpy(), stack("low"), stack("high")
+    here = local.select("pid", "x", "radius", F.col("cell").alias("own"), F.lit("").alias("at"))
+    for level in range(STRIDE, depth + STRIDE, STRIDE):
+        node = F.substring("cell", 1, level)
+        nested = boxes.groupBy(node.alias("cell")).agg(*merged)
+        nested = nested.withColumn("at", F.substring("cell", 1, level - STRIDE))
+        if 1 << level <= BROADCAST_BOXES:
+            nested = F.broadcast(nested)
+        here = (
+            here.join(nested, "at")
+            .filter(F.sqrt(out) < F.col("radius"))
+            .select("pid", "x", "radius", "own", F.col("cell").alias("at"))
+        )
+    return here.filter("own <> at").select(F.col("at").alias("cell"), "pid", "x", "radius")
 
 
 def _search(queries: np.ndarray, x: np.ndarray, m: np.ndarray, k: int, own: bool) -> list[list]:
@@ -260,30 +344,6 @@ def _within(k: int):
     return run
 
 
-def _visits(boxes):
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        numbers, low, high = boxes.value
-        for frame in frames:
-            for start in range(0, len(frame), _BLOCK):
-                part = frame.iloc[start : start + _BLOCK]
-                x = np.stack(part["x"].to_numpy())[:, None, :]
-                outside = np.maximum(np.maximum(low - x, x - high), 0.0)
-                reach = np.sqrt((outside**2).sum(axis=2)) < part["radius"].to_numpy()[:, None]
-                reach &= numbers[None, :] != part["cell"].to_numpy()[:, None]
-                who, where = np.nonzero(reach)
-                chosen = part.iloc[who]
-                yield pd.DataFrame(
-                    {
-                        "cell": numbers[where].astype("int32"),
-                        "pid": chosen["pid"].to_numpy(),
-                        "x": chosen["x"].to_numpy(),
-                        "radius": chosen["radius"].to_numpy(),
-                    }
-                )
-
-    return run
-
-
 def _across(k: int):
     def run(visits: pd.DataFrame, cell: pd.DataFrame) -> pd.DataFrame:
         if visits.empty or cell.empty:

@@ -380,16 +380,38 @@ JOIN categories c ON l.feature = c.feature AND l.value = c.value""",
   round(sender_avg_amount, 8) AS f7, f_tx_type.idx AS f8, f_account_type.idx AS f9,
   f_country.idx AS f10 FROM usable_joined u """
         + " ".join(idx(n, "u") for n in features),
-        "oversample": _with(TX, ACCOUNTS, SCORED)
-        + """, usable AS (
-  SELECT tx_id, label FROM scored JOIN accounts ON sender_account_id = account_id
-  WHERE init_balance > -1),
+        "oversample": _with(
+            TX,
+            ACCOUNTS,
+            SCORED,
+            WINDOWS.format(source="decided"),
+            _USABLE,
+            FREQ.format(source="usable_joined"),
+        )
+        + f""", slots AS (
+  SELECT tx_id, label, [ln(1 + tx_amount), ln(1 + init_balance), sin((ts % 86400) * (2*pi()/86400)),
+    cos((ts % 86400) * (2*pi()/86400)), score, time_since_last_tx, cnt_last_24h, sender_avg_amount,
+    f_tx_type.idx, f_account_type.idx, f_country.idx]::DOUBLE[11] AS v
+  FROM usable_joined u {" ".join(idx(n, "u") for n in features)}),
+pos AS (
+  SELECT tx_id, v, row_number() OVER (ORDER BY {FRACTION.format(seed=1212)}, tx_id) AS nth
+  FROM slots WHERE label = 1),
 wanted AS (
   SELECT CAST(floor(0.7::DOUBLE * count(*) FILTER (label = 0)) AS BIGINT)
-         - count(*) FILTER (label = 1) AS n FROM usable)
-SELECT tx_id, label, FALSE AS synthetic FROM usable
+         - count(*) FILTER (label = 1) AS n, count(*) FILTER (label = 1) AS p FROM slots),
+ranked AS (
+  SELECT a.tx_id, array_distance(a.v, b.v) AS d,
+    row_number() OVER (PARTITION BY a.tx_id ORDER BY array_distance(a.v, b.v)) AS k
+  FROM pos a JOIN pos b ON a.tx_id <> b.tx_id),
+groups AS (
+  SELECT min(tx_id) OVER (PARTITION BY v) AS base,
+    n // p + CASE WHEN nth <= n % p THEN 1 ELSE 0 END AS times
+  FROM pos, wanted WHERE n > 0)
+SELECT tx_id, label, FALSE AS synthetic, CAST(NULL AS BIGINT) AS base,
+  CAST(NULL AS DOUBLE) AS reach, CAST(NULL AS BOOLEAN) AS between FROM slots
 UNION ALL
-SELECT NULL, 1, TRUE FROM range((SELECT max(event_id) + 1 FROM events)) r(i), wanted WHERE i < n""",
+SELECT NULL, 1, TRUE, base, round(d, 4), TRUE FROM
+  (SELECT base, d, unnest(range(CAST(times AS BIGINT))) FROM groups JOIN ranked ON tx_id = base AND k = 5)""",
         "label_counts": _with(TX)
         + "SELECT CAST(is_fraud AS INT) AS label, count(*) AS n FROM tx GROUP BY 1",
         "fraud_rate": _with(TX)

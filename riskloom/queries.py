@@ -526,10 +526,33 @@ def stream_score(spark, d):
 
 @query
 def oversample(spark, d):
+    """Originals and synthetic rows; these by the positive whose vector they start from.
+
+    ``reach`` is the distance from there to the fifth neighbour, and ``between`` says that
+    the row lies no farther away than that.
+    """
+    from pyspark.ml.functions import vector_to_array
+
     rows = fx.model_rows(spark, d)
-    assembled = encode.tree_pipeline().fit(rows).transform(rows)
-    out = smote.oversample(assembled.select("tx_id", "features", "label"))
-    return out.select("tx_id", "label", "synthetic")
+    folder = scratch_dir(spark, "assembled")
+    encode.tree_pipeline().fit(rows).transform(rows).select(
+        "tx_id", "features", "label"
+    ).write.parquet(folder)
+    assembled = spark.read.parquet(folder)
+    out = smote.oversample(assembled, trace=True)
+    start = assembled.select(
+        F.col("tx_id").alias("base"), vector_to_array("features").alias("_from")
+    )
+    square = F.zip_with(vector_to_array("features"), "_from", lambda a, b: (a - b) * (a - b))
+    gone = F.sqrt(F.aggregate(square, F.lit(0.0), lambda s, v: s + v))
+    return out.join(start, "base", "left").select(
+        "tx_id",
+        "label",
+        "synthetic",
+        "base",
+        F.round("reach", 4).alias("reach"),
+        (gone <= F.col("reach") * (1 + 1e-9)).alias("between"),
+    )
 
 
 def _class_counts(report):

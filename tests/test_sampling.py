@@ -118,12 +118,65 @@ def test_oversample_needs_more_rows_than_neighbours(unbalanced):
         smote.oversample(unbalanced.filter("label = 0 OR tx_id < 4"))
 
 
+def tree(spark, x, folder, cell_rows):
+    rows = spark.createDataFrame([(v.tolist(), 1) for v in x], "x array<double>, m long")
+    points = rows.withColumn("pid", smote._pid("x"))
+    return points, smote.split_cells(points, folder, cell_rows)
+
+
 def test_cells_stay_small_where_most_stand_at_the_maximum(spark, tmp_path):
     rng = np.random.default_rng(3)
     x = np.column_stack([np.where(rng.random(2000) < 0.7, 999999.0, 5.0), rng.random(2000)])
+    _, cells = tree(spark, x, str(tmp_path), 64)
+    sizes = [r["count"] for r in cells.groupBy("cell").count().collect()]
+    assert sum(sizes) == 2000 and max(sizes) <= 64
+
+
+def test_cells_stay_small_where_every_axis_has_one_common_value(spark, tmp_path):
+    x, n = np.full((30, 3), 7.0), np.arange(30)
+    x[n, n % 3] = n // 3 + np.where(n % 2, 8, -8.5)
+    points, cells = tree(spark, np.unique(x, axis=0), str(tmp_path / "a"), 12)
+    assert max(r["count"] for r in cells.groupBy("cell").count().collect()) <= 12
+    got = smote.nearest(points, 3, str(tmp_path / "b"), 12).toPandas()
+    expected = distances(np.stack(got["x"].to_numpy()))[:, :3]
+    assert np.array([[n["d"] for n in near] for near in got["near"]]) == pytest.approx(expected)
+
+
+def test_the_driver_gets_few_rows_however_many_vectors(spark, tmp_path, monkeypatch):
+    """A level brings one row, and the descent two more: none of them a vector or a box."""
+    rng = np.random.default_rng(4)
+    brought = []
+    frame = type(spark.range(1))
+    for name in ("collect", "toPandas", "first", "head", "take", "isEmpty"):
+        real = getattr(frame, name)
+
+        def counted(self, *args, real=real, **named):
+            out = real(self, *args, **named)
+            brought.append(len(out) if isinstance(out, (list,)) or hasattr(out, "columns") else 1)
+            return out
+
+        monkeypatch.setattr(frame, name, counted)
+    x = rng.random((600, 2))
     rows = spark.createDataFrame([(v.tolist(), 1) for v in x], "x array<double>, m long")
     points = rows.withColumn("pid", smote._pid("x"))
-    smote.nearest(points, 5, str(tmp_path), 64)
-    cells = spark.read.parquet(str(tmp_path / "cells")).groupBy("cell").count().collect()
-    assert sum(r["count"] for r in cells) == 2000
-    assert max(r["count"] for r in cells) <= 64
+    smote.nearest(points, 5, str(tmp_path), 32)
+    assert spark.read.parquet(f"{tmp_path}/cells").select("cell").distinct().count() > 18
+    # calls nest, so each row may be counted several times
+    assert sum(brought) < 100 and max(brought) <= 2
+
+
+def test_no_vectors(spark, tmp_path):
+    points, cells = tree(spark, np.empty((0, 2)), str(tmp_path / "a"), 8)
+    assert cells.count() == 0 and smote.nearest(points, 2, str(tmp_path / "b"), 8).count() == 0
+
+
+def test_trace_names_the_base_and_its_reach(unbalanced):
+    out = smote.oversample(unbalanced, cell_rows=64, trace=True)
+    assert out.filter("NOT synthetic AND (base IS NOT NULL OR reach IS NOT NULL)").count() == 0
+    x = minority()
+    d = np.sqrt(((x[:, None] - x[None]) ** 2).sum(axis=2))
+    np.fill_diagonal(d, np.inf)
+    made = out.filter("synthetic").select("base", "reach", vector_to_array("features").alias("v"))
+    for r in made.collect():
+        assert r["reach"] == pytest.approx(np.sort(d[r["base"]])[4])
+        assert np.sqrt(((x[r["base"]] - r["v"]) ** 2).sum()) <= r["reach"] * (1 + 1e-12)
