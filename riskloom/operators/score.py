@@ -37,9 +37,9 @@ def add_model_features(df: DataFrame) -> DataFrame:
 def require(df: DataFrame, columns: list[str], on_missing: str = "quarantine"):
     """``(usable, rejected)`` under one policy for absent model inputs.
 
-    ``quarantine`` sets rows with a NULL input aside, ``impute`` replaces NULL
-    numbers with 0 and NULL text with an unseen category, ``error`` fails the job
-    at the first such row.
+    ``quarantine`` sets rows with a NULL input aside, with all its NULL inputs in an
+    array ``reasons``; ``impute`` replaces NULL numbers with 0 and NULL text with an unseen
+    category, ``error`` fails the job at the first such row.
     """
     if on_missing == "impute":
         text = {f.name for f in df.schema.fields if f.dataType.typeName() == "string"}
@@ -58,7 +58,9 @@ def require(df: DataFrame, columns: list[str], on_missing: str = "quarantine"):
         return df.filter(checked), df.limit(0)
     if on_missing != "quarantine":
         raise ValueError(f"unknown policy {on_missing!r}")
-    return df.filter(complete), df.filter(~complete)
+    absent = F.array(*[F.when(F.col(c).isNull(), F.lit(c)) for c in columns])
+    rejected = df.filter(~complete).withColumn("reasons", F.array_compact(absent))
+    return df.filter(complete), rejected
 
 
 def score_linear(

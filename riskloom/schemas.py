@@ -143,6 +143,16 @@ BATCH_TABLES = {
     "transactions_by_receiver": _fact_table("receiver_account_id", _SPEED_REF),
 }
 LAYERS = {"speed_layer": SPEED_TABLES, "batch_layer": BATCH_TABLES}
+# the folders below a layer's tables; accounts have none
+PARTITIONS = {"speed_layer": "batch_id", "batch_layer": "dt"}
+
+
+def stored_schema(layer: str, table: str) -> StructType:
+    """The columns of a stored table, its partition column last."""
+    fields = list(LAYERS[layer][table].fields)
+    if table != "accounts":
+        fields.append(StructField(PARTITIONS[layer], StringType(), True))
+    return StructType(fields)
 
 # partition key, then clustering columns: the sort order of each table's files
 CLUSTERING = {

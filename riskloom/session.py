@@ -57,3 +57,23 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         shared = tempfile.mkdtemp(prefix="riskloom-")
     return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def _path(spark: SparkSession, path: str):
+    """``(file system, path)`` of whatever store the path names."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+def listed(spark: SparkSession, path: str) -> list[str]:
+    """The names in a folder; none if it is not there."""
+    store, where = _path(spark, path)
+    if not store.exists(where):
+        return []
+    return [s.getPath().getName() for s in store.listStatus(where)]
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder that a job made for itself, if it is there."""
+    store, where = _path(spark, path)
+    store.delete(where, True)

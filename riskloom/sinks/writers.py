@@ -11,26 +11,48 @@ from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.operators import facts
-from riskloom.schemas import CLUSTERING, LAYERS
+from riskloom.schemas import CLUSTERING, LAYERS, PARTITIONS, stored_schema
+from riskloom.session import listed, remove
 
 BATCH_FILE_ROWS = 1_000_000
+FACTS = ["transactions", "transactions_by_sender", "transactions_by_receiver", "alerts"]
+STARTED, DONE = "started", "done"
+RUN = "run string, state string, at timestamp, days array<string>, whole boolean"
 
 
 def create_tables(spark: SparkSession, warehouse: str, layers: dict = LAYERS) -> list[str]:
-    """Declare every serving table of both layers as external Parquet tables."""
+    """Declare every serving table of both layers as external Parquet tables.
+
+    Fact tables are declared with the folders they are written in: micro-batches of the
+    speed layer, days of the batch layer. Folders that are there are known at once, those
+    of later writes after :func:`recover_tables`.
+    """
     made = []
     for layer, tables in layers.items():
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer}")
         for name, schema in tables.items():
-            columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema.fields)
+            columns = ", ".join(
+                f"{f.name} {f.dataType.simpleString()}" for f in stored_schema(layer, name).fields
+            )
+            folders = "" if name == "accounts" else f"PARTITIONED BY ({PARTITIONS[layer]}) "
             spark.sql(
-                f"CREATE TABLE IF NOT EXISTS {layer}.{name} ({columns}) USING parquet "
+                f"CREATE TABLE IF NOT EXISTS {layer}.{name} ({columns}) USING parquet {folders}"
                 f"LOCATION '{warehouse}/{layer}/{name}'"
             )
             made.append(f"{layer}.{name}")
+    recover_tables(spark, warehouse, layers)
     return made
 
 
+def recover_tables(spark: SparkSession, warehouse: str, layers: dict = LAYERS) -> None:
+    """Let declared tables know the folders that were written since."""
+    for layer, tables in layers.items():
+        for name in tables:
+            if name != "accounts" and listed(spark, f"{warehouse}/{layer}/{name}"):
+                spark.sql(f"ALTER TABLE {layer}.{name} RECOVER PARTITIONS")
+            spark.catalog.refreshTable(f"{layer}.{name}")
+
+
 def clustered(df: DataFrame, table: str) -> DataFrame:
     """Order rows by the table's key and clustering columns.
 
@@ -46,18 +68,24 @@ def clustered(df: DataFrame, table: str) -> DataFrame:
 
 
 def write_table(
-    df: DataFrame, path: str, table: str, mode: str = "append", format: str = "parquet"
+    df: DataFrame,
+    path: str,
+    table: str,
+    mode: str = "append",
+    format: str = "parquet",
+    whole: bool = False,
 ) -> None:
     """Rows with a day go to its ``dt=`` folder; ``overwrite`` then replaces only the
-    folders of the days that are written."""
-    by_day(clustered(df, table), mode).format(format).save(path)
+    folders of the days that are written, or, with ``whole``, the table."""
+    by_day(clustered(df, table), mode, whole).format(format).save(path)
 
 
-def by_day(df: DataFrame, mode: str) -> DataFrameWriter:
+def by_day(df: DataFrame, mode: str, whole: bool = False) -> DataFrameWriter:
     writer = df.write.mode(mode)
     if facts.DAY not in df.columns:
         return writer
-    return writer.option("partitionOverwriteMode", "dynamic").partitionBy(facts.DAY)
+    replaced = "static" if whole else "dynamic"
+    return writer.option("partitionOverwriteMode", replaced).partitionBy(facts.DAY)
 
 
 def write_accounts(accounts: DataFrame, warehouse: str, mode: str = "overwrite") -> dict[str, int]:
@@ -83,7 +111,12 @@ def side_by_side(spark: SparkSession, writes: list[Callable[[], None]]) -> None:
 
 
 def fan_out(
-    staged: DataFrame, warehouse: str, layer: str, mode: str = "append", suffix: str = ""
+    staged: DataFrame,
+    warehouse: str,
+    layer: str,
+    mode: str = "append",
+    suffix: str = "",
+    whole: bool = False,
 ) -> list[Callable[[], None]]:
     """The writes of a layer's three transaction tables and its alerts.
 
@@ -99,7 +132,7 @@ def fan_out(
         "alerts": facts.alerts(staged),
     }
     return [
-        partial(write_table, rows, f"{root}/{table}{suffix}", table, mode)
+        partial(write_table, rows, f"{root}/{table}{suffix}", table, mode, whole=whole)
         for table, rows in outputs.items()
     ]
 
@@ -123,10 +156,59 @@ def write_scored_json(payload: DataFrame, path: str, mode: str = "append") -> No
 
 
 def write_batch_json(
-    results: DataFrame, path: str, rows_per_file: int = BATCH_FILE_ROWS, mode: str = "append"
+    results: DataFrame,
+    path: str,
+    rows_per_file: int = BATCH_FILE_ROWS,
+    mode: str = "append",
+    whole: bool = False,
 ) -> None:
     """Batch results, at most ``rows_per_file`` to a file."""
-    by_day(results, mode).option("maxRecordsPerFile", rows_per_file).json(path)
+    by_day(results, mode, whole).option("maxRecordsPerFile", rows_per_file).json(path)
+
+
+# --- runs of the batch layer ----------------------------------------------
+
+
+def refuse_flat(spark: SparkSession, warehouse: str, tables: list[str] = FACTS) -> None:
+    """Fail where a batch table has files beside its ``dt=`` folders: Spark would not read
+    them any more, or, without folders, would read them without a day."""
+    for table in tables:
+        path = f"{warehouse}/batch_layer/{table}"
+        flat = [n for n in listed(spark, path) if not n.startswith((f"{facts.DAY}=", "_", "."))]
+        if flat:
+            raise ValueError(
+                f"{path} has files outside its {facts.DAY}= folders, such as {flat[0]}: move them"
+            )
+
+
+def note_run(
+    spark: SparkSession, warehouse: str, run: str, state: str, days: list[str], whole: bool
+) -> None:
+    """One row more in the manifest of runs."""
+    row = spark.createDataFrame([(run, state, None, days, whole)], RUN)
+    row.withColumn("at", F.current_timestamp()).coalesce(1).write.mode("append").parquet(
+        f"{warehouse}/batch_layer/_runs"
+    )
+
+
+def unfinished_runs(spark: SparkSession, warehouse: str) -> list:
+    """Runs whose rows are staged but whose tables may not all be replaced, oldest first."""
+    path = f"{warehouse}/batch_layer/_runs"
+    if not listed(spark, path):
+        return []
+    notes = spark.read.schema(RUN).parquet(path)
+    done = notes.filter(F.col("state") == DONE).select("run")
+    return notes.filter(F.col("state") == STARTED).join(done, "run", "left_anti").orderBy("at").collect()
+
+
+def drop_days(
+    spark: SparkSession, rows: DataFrame, path: str, days: list[str]
+) -> None:
+    """Remove the folders of days that a run scored without a row for this table."""
+    found = {r[0] for r in rows.select(F.col(facts.DAY).cast("string")).distinct().collect()}
+    for day in days:
+        if day not in found:
+            remove(spark, f"{path}/{facts.DAY}={day}")
 
 
 def write_predictions_csv(payload: DataFrame, path: str, mode: str = "append") -> None:

@@ -13,6 +13,7 @@ from riskloom.operators import facts
 from riskloom.operators.score import score_linear
 from riskloom.plans import jobs
 from riskloom.queries import _decided
+from riskloom.session import listed
 from riskloom.sinks import writers
 from riskloom.sources import readers
 
@@ -78,7 +79,10 @@ def test_tables_are_declared_for_both_layers(spark, tmp_path):
     try:
         assert len(made) == 10
         batch = spark.table("batch_layer.transactions")
-        assert batch.schema == schemas.BATCH_TABLES["transactions"]
+        assert batch.schema == schemas.stored_schema("batch_layer", "transactions")
+        assert batch.columns[-1] == "dt"
+        assert spark.table("speed_layer.alerts").columns[-1] == "batch_id"
+        assert spark.table("batch_layer.accounts").schema == schemas.ACCOUNTS
         assert "speed_layer_treshold" in batch.columns
         assert "speed_layer_treshold" not in spark.table("speed_layer.transactions").columns
     finally:
@@ -194,7 +198,7 @@ def test_batch_job_on_the_speed_layers_output(spark, sf_dir, tmp_path):
         str(tmp_path),
     )
     out = spark.read.parquet(f"{tmp_path}/batch_layer/transactions")
-    assert set(out.columns) == set(schemas.BATCH_TABLES["transactions"].fieldNames())
+    assert set(out.columns) == set(schemas.stored_schema("batch_layer", "transactions").fieldNames())
     rejected = spark.read.parquet(f"{tmp_path}/batch_layer/quarantine")
     # every transaction is either scored or set aside
     assert out.count() + rejected.count() == 1000 and rejected.count() > 0
@@ -214,38 +218,125 @@ def test_batch_job_on_the_speed_layers_output(spark, sf_dir, tmp_path):
     assert again.count() == n_rows
 
 
-def test_daily_runs_equal_one_run_and_keep_earlier_days(spark, sf_dir, tmp_path):
-    scored = _decided(spark, sf_dir)
-    days = ["2024-02-01", "2024-02-02", "2024-02-03"]
-    low, high = scored.agg(F.min("ts"), F.max("ts")).first()
-    third = F.floor((F.col("ts") - low) * 3 / (high + 1 - low))
+DAYS = ["2024-02-01", "2024-02-02", "2024-02-03"]
+STORED = ("transactions", "transactions_by_sender", "alerts", "quarantine")
 
-    def add(k, path):
-        part = scored.filter(third == k)
-        writers.write_scored_json(facts.scored_payload(part, F.lit(days[k]).cast("timestamp")), path)
 
-    for k in range(3):
-        add(k, f"{tmp_path}/all")
-    accounts = fx.accounts(spark, sf_dir)
+def _lets_through(df):
+    """Scores, and keeps two window features, to compare them too."""
+    kept = F.round(F.col("sender_avg_amount") + F.col("cnt_last_24h"), 6)
+    return fx.batch_score(df).withColumn("speed_layer", kept).withColumn("tx_amount", kept)
+
+
+class Batches:
+    """Days of scored records, and the tables that batch runs make of them."""
+
+    def __init__(self, spark, sf_dir, base, day_of=None):
+        self.spark, self.base = spark, base
+        self.accounts = fx.accounts(spark, sf_dir)
+        self.scored = _decided(spark, sf_dir)
+        low, high = self.scored.agg(F.min("ts"), F.max("ts")).first()
+        third = F.floor((F.col("ts") - low) * 3 / (high + 1 - low))
+        self.day_of = third if day_of is None else day_of(third)
 
-    def stored(out, table="transactions"):
-        df = spark.read.parquet(f"{out}/batch_layer/{table}")
+    def add(self, k, name):
+        part = self.scored.filter(self.day_of == k)
+        moment = F.lit(DAYS[k]).cast("timestamp")
+        writers.write_scored_json(facts.scored_payload(part, moment), f"{self.base}/{name}")
+
+    def run(self, name, out, **options):
+        args = (self.spark, f"{self.base}/{name}", self.accounts, _lets_through, f"{self.base}/{out}")
+        jobs.batch_scoring(*args, **options)
+
+    def stored(self, out, table="transactions"):
+        df = self.spark.read.parquet(f"{self.base}/{out}/batch_layer/{table}")
         return rows(df.drop("tx_timestamp", "alert_timestamp"), "tx_id")
 
-    def scorer(df):
-        """Lets the features through, to compare them too."""
-        kept = F.round(F.col("sender_avg_amount") + F.col("cnt_last_24h"), 6)
-        return fx.batch_score(df).withColumn("speed_layer", kept).withColumn("tx_amount", kept)
 
-    whole, daily = f"{tmp_path}/whole", f"{tmp_path}/daily"
-    jobs.batch_scoring(spark, f"{tmp_path}/all", accounts, scorer, whole, since="2024-02-01")
-    source = f"{tmp_path}/growing"
+def test_full_daily_and_repeated_runs_equal_one_run(spark, sf_dir, tmp_path):
+    made = Batches(spark, sf_dir, tmp_path)
+    for k in range(3):
+        made.add(k, "all")
+    made.run("all", "whole", as_of_day=True)
+    for k in range(3):
+        made.add(k, "growing")
+        if k == 0:
+            made.run("growing", "daily", as_of_day=True)  # everything there is
+        else:
+            made.run("growing", "daily", since=DAYS[k])
+    made.run("growing", "daily", since=DAYS[2])  # a day again
+    for table in STORED:
+        assert made.stored("daily", table) == made.stored("whole", table)
+    assert len({r["dt"] for r in made.stored("daily")}) == 3
+    assert all(r["reasons"] for r in made.stored("daily", "quarantine"))
+    # declared tables read what was written, under the schema they were declared with
+    names = writers.create_tables(spark, f"{tmp_path}/daily")
+    try:
+        table = spark.table("batch_layer.transactions")
+        assert table.schema == schemas.stored_schema("batch_layer", "transactions")
+        assert table.count() == len(made.stored("whole"))
+        made.run("growing", "daily", since=DAYS[2], threshold=2.0)
+        writers.recover_tables(spark, f"{tmp_path}/daily")
+        assert spark.table("batch_layer.transactions").schema == table.schema
+        assert spark.table("batch_layer.transactions").count() == len(made.stored("whole"))
+        assert spark.table("batch_layer.alerts").filter(f"dt = '{DAYS[2]}'").count() == 0
+    finally:
+        for name in names:
+            spark.sql(f"DROP TABLE {name}")
+        spark.sql("DROP DATABASE speed_layer")
+        spark.sql("DROP DATABASE batch_layer")
+    # nothing is left staged
+    assert listed(spark, f"{tmp_path}/daily/batch_layer/staged") == []
+
+
+def test_late_events_are_scored_with_the_days_they_change(spark, sf_dir, tmp_path):
+    # some events of the first day arrive with the third
+    late = F.col("tx_id").cast("long") % 40 == 3
+    made = Batches(spark, sf_dir, tmp_path, lambda third: F.when((third == 0) & late, 2).otherwise(third))
     for k in range(3):
-        add(k, source)
-        jobs.batch_scoring(spark, source, accounts, scorer, daily, since=days[k])
-    for table in ("transactions", "transactions_by_sender", "alerts", "quarantine"):
-        assert stored(daily, table) == stored(whole, table)
-    assert len({r["dt"] for r in stored(daily)}) == 3
+        made.add(k, "all")
+    made.run("all", "whole", as_of_day=True)
+    made.add(0, "growing")
+    made.add(1, "growing")
+    made.run("growing", "daily", as_of_day=True)
+    made.add(2, "growing")
+    with pytest.raises(ValueError, match="late events change rows from 2024-02-01"):
+        made.run("growing", "daily", since=DAYS[2], late="error")
+    made.run("growing", "daily", since=DAYS[2])
+    for table in STORED:
+        assert made.stored("daily", table) == made.stored("whole", table)
+
+
+def test_interrupted_runs_are_finished_and_empty_days_vanish(spark, sf_dir, tmp_path, monkeypatch):
+    made = Batches(spark, sf_dir, tmp_path)
+    made.add(0, "in")
+    made.add(1, "in")
+    made.run("in", "out", as_of_day=True)
+    before = made.stored("out")
+
+    def lost(*args, **named):
+        raise RuntimeError("lost")
+
+    # the run is cut off after some tables were replaced
+    monkeypatch.setattr(writers, "write_batch_json", lost)
+    with pytest.raises(RuntimeError):
+        made.run("in", "out", since=DAYS[1], threshold=2.0)
+    monkeypatch.undo()
+    assert len(jobs.finish_runs(spark, f"{tmp_path}/out")) == 1
+    assert jobs.finish_runs(spark, f"{tmp_path}/out") == []
+    after = made.stored("out")
+    assert [r["tx_id"] for r in after] == [r["tx_id"] for r in before]
+    # nothing of the second day is above the threshold now, so its old alerts are gone
+    assert not any(r["is_fraud"] for r in after if str(r["dt"]) == DAYS[1])
+    assert {str(r["dt"]) for r in made.stored("out", "alerts")} == {DAYS[0]}
+
+
+def test_flat_tables_are_refused(spark, sf_dir, tmp_path):
+    made = Batches(spark, sf_dir, tmp_path)
+    made.add(0, "in")
+    spark.range(3).write.parquet(f"{tmp_path}/out/batch_layer/transactions")
+    with pytest.raises(ValueError, match="outside its dt= folders"):
+        made.run("in", "out")
 
 
 def test_files_with_other_headers_are_an_error(spark, tmp_path):
