@@ -10,6 +10,9 @@ from riskloom.operators.skew import BROADCAST_ROWS, HOT_ROWS, is_small, split_ho
 ACCOUNT_COLUMNS = ["init_balance", "country", "account_type", "tx_behavior_id"]
 BATCH_ACCOUNT_COLUMNS = ["init_balance", "country", "account_type"]
 AMOUNT_EPS = 1e-6
+MATCH_KEYS = ["sender_account_id", "receiver_account_id", "tx_type", "ts"]
+# rows of one side of a group that one task pairs with as many of the other side
+PAIR_ROWS = 2_000
 
 
 def accounts_projection(accounts: DataFrame) -> DataFrame:
@@ -118,7 +121,7 @@ def match_label(
     The tolerance becomes an equality on amount cells of width ``2 * eps``: matches lie
     in the same cell or a neighbouring one. Labelled rows visit all three.
     """
-    keys = ["sender_account_id", "receiver_account_id", "tx_type", "ts"]
+    keys = MATCH_KEYS
     cell = F.floor(F.col("tx_amount") / F.lit(2 * eps))
     labelled = (
         transactions.groupBy(*keys, "tx_amount", F.col("is_fraud").alias("tx_is_fraud"))
@@ -136,3 +139,66 @@ def match_label(
         copies = F.explode(F.sequence(F.lit(1).cast("long"), F.col("n_matches")))
         out = out.withColumn("_copy", copies).drop("_copy", "n_matches")
     return out
+
+
+def match_pairs(
+    predictions: DataFrame,
+    transactions: DataFrame,
+    eps: float = AMOUNT_EPS,
+    pair_rows: int = PAIR_ROWS,
+) -> DataFrame:
+    """The columns of ``predictions`` and ``tx_is_fraud``, one row for each matching pair.
+
+    A many-to-many join on the keys of :func:`match_label` with the same tolerance, nothing
+    folded. A group of ``n`` predictions and ``m`` transactions has up to ``n * m`` pairs, so
+    groups with more than ``pair_rows`` rows on a side are cut on both: predictions into
+    ``a`` parts and transactions into ``b``, every part of one side meeting every part of the
+    other once, in a task of its own. Each row is then copied ``b`` or ``a`` times, never more
+    often than the group has parts. Parts come from the rows' positions, so the inputs must
+    be stored tables or repeat their rows in order. NULL keys and amounts match nothing.
+    """
+    cell = F.floor(F.col("tx_amount") / F.lit(2 * eps))
+    keys = [*MATCH_KEYS, "_cell"]
+    left = predictions.select(
+        F.struct(*predictions.columns).alias("_row"),
+        *MATCH_KEYS,
+        "tx_amount",
+        cell.alias("_cell"),
+        F.monotonically_increasing_id().alias("_id"),
+    )
+    right = transactions.select(
+        *MATCH_KEYS,
+        F.col("tx_amount").alias("_amount"),
+        F.col("is_fraud").alias("tx_is_fraud"),
+        F.monotonically_increasing_id().alias("_id"),
+        F.explode(F.array(cell - 1, cell, cell + 1)).alias("_cell"),
+    )
+
+    def large(side: DataFrame, name: str) -> DataFrame:
+        # counted on the map side; at most rows / pair_rows groups are large
+        return side.groupBy(*keys).count().filter(F.col("count") > pair_rows).select(
+            *keys, F.ceil(F.col("count") / pair_rows).alias(name)
+        )
+
+    # parts of both sides for groups that are large on either
+    parts = large(left, "_a").join(large(right, "_b"), keys, "full")
+    parts = F.broadcast(parts.select(
+        *keys, F.coalesce("_a", F.lit(1)).alias("_a"), F.coalesce("_b", F.lit(1)).alias("_b")
+    ))
+
+    def dealt(side: DataFrame, own: str, other: str, mine: str, theirs: str) -> DataFrame:
+        one = F.lit(1).cast("long")
+        n, copies = F.coalesce(own, one), F.coalesce(other, one)
+        return (
+            side.join(parts, keys, "left")
+            .withColumn(mine, F.pmod(F.xxhash64("_id"), n))
+            .withColumn(theirs, F.explode(F.sequence(F.lit(0).cast("long"), copies - 1)))
+            .drop("_a", "_b", "_id")
+        )
+
+    pairs = dealt(left, "_a", "_b", "_i", "_j").join(
+        dealt(right, "_b", "_a", "_j", "_i"), [*keys, "_i", "_j"]
+    )
+    return pairs.filter(F.abs(F.col("tx_amount") - F.col("_amount")) < F.lit(eps)).select(
+        "_row.*", "tx_is_fraud"
+    )

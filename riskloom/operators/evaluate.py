@@ -6,9 +6,10 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from riskloom.session import scratch_dir
+
 FP_COST = 3
 DEFAULT_THRESHOLD = 0.5
-SCORE_BUCKETS = 1024
 GRID = (0.05, 0.95, 200)
 
 
@@ -79,67 +80,51 @@ def evaluation_report(
         "tp", "fp", "fn", "tn", "unjudged", *_metric_columns())
 
 
-def cumulative_counts(
-    df: DataFrame, score: str = "score", label: str = "label", buckets: int | None = None
-) -> DataFrame:
+def cumulative_counts(df: DataFrame, score: str = "score", label: str = "label") -> DataFrame:
     """``threshold, tp, fp, positives`` at every distinct score, decision ``>=``.
 
-    A running total over all scores would sort everything in one task. Scores are
-    first made distinct with counts, then cut into quantile buckets, which stay even
-    however the scores are distributed; each bucket sums on its own and the bucket
-    totals, one row per bucket, supply what lies above it. By default there are eight
-    buckets a shuffle partition, so that they grow with the partitions that the data were
-    given, and ``SCORE_BUCKETS`` at least. Finding the bucket
-    edges runs a job here. A positive without a score is never reached, but counts among
-    the positives.
+    A running total over all scores would sort everything in one task. Here one pass over
+    the rows makes scores distinct with counts, summed on the map side, so that a score of
+    a third of the rows is one row a task; these are range-partitioned by falling score and
+    written once, each with its partition. Every partition then sums on its own, and the
+    partition totals, one row a partition, supply what lies above it. Runs a job here: the
+    result reads the written counts. A positive without a score is never reached, but counts
+    among the positives.
     """
-    if buckets is None:
-        partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        buckets = max(SCORE_BUCKETS, 8 * partitions)
-    every_row = df.select(
-        F.col(score).cast("double").alias("threshold"),
-        F.when(F.col(label) == 1, 1).otherwise(0).alias("_p"),
-        F.when(F.col(label) == 0, 1).otherwise(0).alias("_q"),
-    )
-    scored = every_row.filter(F.col("threshold").isNotNull())
-    # quantiles of the rows: a bucket has at most as many distinct scores as rows
-    cuts = scored.approxQuantile(
-        "threshold", [i / buckets for i in range(1, buckets)], 1 / (4 * buckets)
+    by_score = df.groupBy(F.col(score).cast("double").alias("threshold")).agg(
+        F.count_if(F.col(label) == 1).alias("_p"), F.count_if(F.col(label) == 0).alias("_q")
     )
-    edges = sorted(set(cuts)) or [DEFAULT_THRESHOLD]
-    cut = Bucketizer(
-        splits=[float("-inf"), *edges, float("inf")], inputCol="threshold", outputCol="_bucket"
+    falling = F.desc_nulls_last("threshold")
+    path = scratch_dir(df.sparkSession, "scores")
+    by_score.repartitionByRange(falling).withColumn("_part", F.spark_partition_id()).write.parquet(
+        path
     )
+    counts = df.sparkSession.read.parquet(path)
 
-    above = Window.orderBy(F.desc("_bucket")).rowsBetween(Window.unboundedPreceding, -1)
-    every = Window.orderBy(F.desc("_bucket")).rowsBetween(
+    above = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    every = Window.orderBy("_part").rowsBetween(
         Window.unboundedPreceding, Window.unboundedFollowing
     )
-    # straight from the rows: map-side sums leave one row per bucket and task
     totals = (
-        cut.setHandleInvalid("keep")
-        .transform(every_row)
-        .withColumn("_bucket", F.when(F.col("threshold").isNull(), -1.0).otherwise(F.col("_bucket")))
-        .groupBy("_bucket")
-        .agg(F.sum("_p").alias("_bp"), F.sum("_q").alias("_bq"))
+        counts.groupBy("_part")
+        .agg(F.sum("_p").alias("_tp"), F.sum("_q").alias("_tq"))
         .select(
-            "_bucket",
-            F.coalesce(F.sum("_bp").over(above), F.lit(0)).alias("_above_p"),
-            F.coalesce(F.sum("_bq").over(above), F.lit(0)).alias("_above_q"),
-            F.sum("_bp").over(every).alias("positives"),
+            "_part",
+            F.coalesce(F.sum("_tp").over(above), F.lit(0)).alias("_above_p"),
+            F.coalesce(F.sum("_tq").over(above), F.lit(0)).alias("_above_q"),
+            F.sum("_tp").over(every).alias("positives"),
         )
     )
-    by_score = scored.groupBy("threshold").agg(F.sum("_p").alias("_p"), F.sum("_q").alias("_q"))
-    bucketed = cut.transform(by_score)
     within = (
-        Window.partitionBy("_bucket")
+        Window.partitionBy("_part")
         .orderBy(F.desc("threshold"))
         .rowsBetween(Window.unboundedPreceding, 0)
     )
     return (
-        bucketed.withColumn("_in_p", F.sum("_p").over(within))
+        counts.filter("threshold IS NOT NULL")
+        .withColumn("_in_p", F.sum("_p").over(within))
         .withColumn("_in_q", F.sum("_q").over(within))
-        .join(F.broadcast(totals), "_bucket")
+        .join(F.broadcast(totals), "_part")
         .select(
             "threshold",
             (F.col("_above_p") + F.col("_in_p")).alias("tp"),
@@ -150,13 +135,14 @@ def cumulative_counts(
 
 
 def pr_curve(df: DataFrame, score: str = "score", label: str = "label") -> DataFrame:
-    """Precision and recall at every distinct score; recall is 1 without positives."""
+    """Precision and recall at every distinct score; recall is 1 without positives, and
+    precision 0 where only rows without a label are reached."""
     tp, fp, p = F.col("tp"), F.col("fp"), F.col("positives")
     return cumulative_counts(df, score, label).select(
         "threshold",
         "tp",
         "fp",
-        (tp / (tp + fp)).alias("precision"),
+        _ratio(tp, tp + fp).alias("precision"),
         F.when(p > 0, tp / p).otherwise(F.lit(1.0)).alias("recall"),
     )
 

@@ -276,6 +276,24 @@ WHERE sender_account_id NOT IN (SELECT account_id FROM accounts)""",
         "match_label": _with(TX, SCORED)
         + _MATCHED
         + """SELECT tx_id, round(score, 6) AS score, tx_is_fraud, n_matches FROM matched""",
+        "match_pairs": _with(TX, SCORED)
+        + _MATCHED
+        + """SELECT p.tx_id, round(p.score, 6) AS score, t.is_fraud AS tx_is_fraud
+FROM predictions p JOIN labelled t
+  ON p.sender_account_id = t.sender_account_id AND p.receiver_account_id = t.receiver_account_id
+ AND p.tx_type = t.tx_type AND p.ts = t.ts AND abs(p.tx_amount - t.tx_amount) < 1e-6""",
+        "batch_runs": _with(TX, ACCOUNTS, SCORED, BATCH)
+        + """SELECT tx_id, strftime(make_timestamp(ts * 1000000), '%Y-%m-%d') AS dt,
+  fraud_probability > 0.5 AS is_fraud, round(score, 6) AS speed_layer_score
+FROM batched JOIN accounts ON sender_account_id = account_id WHERE init_balance > -1""",
+        "batch_quarantine": _with(TX, ACCOUNTS, JOINED)
+        + """, absent AS (
+  SELECT unnest(list_filter([
+    CASE WHEN init_balance IS NULL OR init_balance <= -1 THEN 'init_balance_log' END,
+    CASE WHEN country IS NULL THEN 'country' END,
+    CASE WHEN account_type IS NULL THEN 'account_type' END], lambda x: x IS NOT NULL)) AS reason
+  FROM joined)
+SELECT reason, count(*) AS n FROM absent GROUP BY reason""",
         "gam_fit": _with(TX, ACCOUNTS)
         + f""", parts AS (
   SELECT CAST(tx.is_fraud AS INT) AS label, {FRACTION.format(seed=42)} / 4294967296.0 < 0.8 AS train

@@ -26,8 +26,9 @@ from riskloom.operators import (
     windows,
 )
 from riskloom.plans import jobs, search, training
-from riskloom.schemas import ACCOUNT_CSV, GAM_CATEGORICAL, SCORED_TX
+from riskloom.schemas import ACCOUNT_CSV, GAM_CATEGORICAL, SCORED_TX, stored_schema
 from riskloom.session import scratch_dir
+from riskloom.sinks import writers
 from riskloom.streaming import speed
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -158,6 +159,13 @@ def match_label(spark, d):
     return rounded(matched.select("tx_id", "score", "tx_is_fraud", "n_matches"), "score")
 
 
+@query
+def match_pairs(spark, d):
+    """The same join unfolded: one row for each pair of prediction and labelled row."""
+    pairs = enrich.match_pairs(fx.predictions(spark, d), fx.labelled_with_copies(spark, d))
+    return rounded(pairs.select("tx_id", "score", "tx_is_fraud"), "score")
+
+
 # --- features ------------------------------------------------------------
 
 
@@ -431,6 +439,44 @@ def layer_compare(spark, d):
     return evaluate.layer_compare(out)
 
 
+@query
+def batch_runs(spark, d):
+    """The stored batch table after a full run, a daily run and that day's run again."""
+    moment = F.timestamp_seconds("ts")
+    folder = scratch_dir(spark, "batch-runs")
+    records = _decided(spark, d)
+    scored = facts.scored_payload(records, F.date_trunc("day", moment))
+    day = F.substring("prediction_timestamp", 1, 10)
+    last = scored.agg(F.max(day)).first()[0] or ""
+    accounts = fx.accounts(spark, d)
+
+    def run(**options):
+        jobs.batch_scoring(
+            spark, f"{folder}/in", accounts, fx.batch_score, folder, as_of_day=True, **options
+        )
+
+    writers.write_scored_json(scored.filter(day < last), f"{folder}/in")
+    run()
+    writers.write_scored_json(scored.filter(day >= last), f"{folder}/in")
+    for _ in range(2):
+        run(since=last)
+    stored = spark.read.schema(stored_schema("batch_layer", "transactions")).parquet(
+        f"{folder}/batch_layer/transactions"
+    )
+    out = stored.select(
+        F.col("tx_id").cast("long").alias("tx_id"), "dt", "is_fraud", "speed_layer_score"
+    )
+    return rounded(out, "speed_layer_score")
+
+
+@query
+def batch_quarantine(spark, d):
+    """What keeps rows from the batch model: how many lack each input."""
+    _, rejected = jobs.batch_features(fx.scored(spark, d), fx.accounts(spark, d))
+    each = rejected.select(F.explode("reasons").alias("reason"))
+    return each.groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
+
+
 # --- evaluation ----------------------------------------------------------
 
 

@@ -2,6 +2,7 @@
 
 import pytest
 from conftest import rows
+from pyspark.sql import functions as F
 
 from riskloom.operators.enrich import (
     ACCOUNT_COLUMNS,
@@ -9,6 +10,7 @@ from riskloom.operators.enrich import (
     first_account,
     join_accounts,
     match_label,
+    match_pairs,
 )
 
 ACCOUNTS = (
@@ -147,3 +149,22 @@ def test_enriched_pair(spark, accounts):
         "TX_BEHAVIOR_ID": 3,
     }
     assert list(row["transaction"].values()) == [2, 3, "T", 9.5, 100]
+
+
+@pytest.mark.parametrize("pair_rows", [7, 2000])
+def test_pairs_of_groups_that_are_large_on_both_sides(spark, pair_rows):
+    """Every pair once, with a group of 60 by 45 copies cut on both sides."""
+    def made(n, amount, key):
+        return [(key, 2, "T", 100, amount) for _ in range(n)]
+
+    data = made(60, 10.0, 1) + made(1, 10.0 + 5e-7, 1) + made(3, 10.5, 1) + made(2, 10.0, 3)
+    data += [(1, 2, None, 100, 10.0), (1, 2, "T", 100, None)]
+    schema = "sender_account_id int, receiver_account_id int, tx_type string, ts long, tx_amount double"
+    predictions = spark.createDataFrame(data, schema).repartition(3).withColumn("_i", F.lit("own"))
+    other = made(45, 10.0, 1) + made(1, 10.5, 1) + made(20, 11.0, 1) + [(1, 2, None, 100, 10.0)]
+    labelled = spark.createDataFrame(other, schema).withColumn("is_fraud", F.col("tx_amount") > 10.2)
+    out = match_pairs(predictions, labelled, pair_rows=pair_rows)
+    assert out.columns == [*predictions.columns, "tx_is_fraud"]
+    got = {(r[0], r[1]): r[2] for r in out.groupBy("tx_amount", "tx_is_fraud").count().collect()}
+    assert got == {(10.0, False): 60 * 45, (10.0 + 5e-7, False): 45, (10.5, True): 3}
+    assert match_pairs(predictions.limit(0), labelled).count() == 0

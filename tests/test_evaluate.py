@@ -43,14 +43,19 @@ def curve(pairs):
     return out
 
 
-@pytest.mark.parametrize("buckets", [2, 7, 1024])
-def test_cumulative_counts(spark, buckets):
+@pytest.mark.parametrize("partitions", ["2", "7", "40"])
+def test_cumulative_counts(spark, partitions):
     """A third of the rows share one score; the rest crowd near zero."""
     draw = random.Random(5)
     pairs = [
         (0.25 if i % 3 == 0 else draw.random() ** 6, int(draw.random() < 0.2)) for i in range(900)
     ]
-    got = rows(evaluate.cumulative_counts(frame(spark, pairs), buckets=buckets), "threshold")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        got = rows(evaluate.cumulative_counts(frame(spark, pairs)), "threshold")
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
     assert [(r["threshold"], r["tp"], r["fp"]) for r in got] == curve(pairs)
     assert {r["positives"] for r in got} == {sum(y for _, y in pairs)}
 
@@ -82,6 +87,32 @@ def test_cost_when_the_top_score_is_a_false_alarm(spark):
     assert (plain["threshold"], plain["cost"]) == (0.9, 4)
 
 
+def test_curve_scans_the_rows_once_and_sums_by_partition(spark, tmp_path):
+    draw = random.Random(9)
+    # a third of the rows have one score; labels and scores may be missing
+    pairs = [
+        (0.5 if i % 3 == 0 else draw.choice([None, draw.random()]), draw.choice([0, 0, 1, None]))
+        for i in range(3000)
+    ]
+    frame(spark, pairs).repartition(6).write.parquet(f"{tmp_path}/in")
+    df = spark.read.parquet(f"{tmp_path}/in")
+    curve = evaluate.cumulative_counts(df)
+    plan = curve._jdf.queryExecution().executedPlan().toString()
+    assert f"{tmp_path}/in" not in plan and "scores-" in plan
+    got = {r["threshold"]: (r["tp"], r["fp"], r["positives"]) for r in curve.collect()}
+    positives = sum(y == 1 for _, y in pairs)
+    scores = {s for s, _ in pairs if s is not None}
+    assert set(got) == scores
+    for t in sorted(scores)[::50] + [0.5]:
+        above = [y for s, y in pairs if s is not None and s >= t]
+        assert got[t] == (above.count(1), above.count(0), positives)
+
+
+def test_curve_where_only_unlabelled_rows_are_reached(spark):
+    got = rows(evaluate.pr_curve(frame(spark, [(0.9, None), (0.4, 1)])), "threshold")
+    assert [(r["threshold"], r["precision"]) for r in got] == [(0.4, 1.0), (0.9, 0.0)]
+
+
 def test_cost_of_nothing(spark):
     assert evaluate.cost_threshold(frame(spark, [])).first() is None
 

@@ -5,7 +5,7 @@ from contextlib import contextmanager
 import pytest
 from pyspark.sql import functions as F
 
-from riskloom.operators.enrich import match_label
+from riskloom.operators.enrich import match_label, match_pairs
 from riskloom.operators.skew import hot_keys, is_small, split_hot
 from riskloom.operators.windows import add_behavioral_features
 from riskloom.session import scratch_dir
@@ -173,3 +173,19 @@ def test_large_accounts_join_a_stream(spark, tmp_path):
     query.awaitTermination()
     got = sorted((r["tx_id"], r["country"]) for r in spark.table("large_join").collect())
     assert got == [(1, "b"), (2, None)]
+
+
+def test_no_part_of_a_large_group_holds_more_than_its_share(spark):
+    one = spark.range(0, 3000, 1, 4).select(
+        F.lit(1).alias("sender_account_id"),
+        F.lit(2).alias("receiver_account_id"),
+        F.lit("T").alias("tx_type"),
+        F.lit(5).cast("long").alias("ts"),
+        F.lit(1.0).alias("tx_amount"),
+        F.lit(True).alias("is_fraud"),
+    )
+    with conf(spark, **SMALL, **{"spark.sql.adaptive.coalescePartitions.enabled": "false"}):
+        out = match_pairs(one, one.limit(300), pair_rows=100)
+        by_task = out.groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert sum(r["count"] for r in by_task) == 900_000
+    assert max(r["count"] for r in by_task) < 450_000
