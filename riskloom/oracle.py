@@ -118,22 +118,24 @@ def _with(*parts: str) -> str:
 
 
 def _spline() -> str:
-    """b0..b7 of the log amount between its own minimum and maximum."""
-    piece = (
-        "CASE WHEN {t} < 0 OR {t} >= 4 THEN 0.0"
-        " WHEN {t} < 1 THEN {t}*{t}*{t}/6"
-        " WHEN {t} < 2 THEN (-3*{t}*{t}*{t} + 12*{t}*{t} - 12*{t} + 4)/6"
-        " WHEN {t} < 3 THEN (3*{t}*{t}*{t} - 24*{t}*{t} + 60*{t} - 44)/6"
-        " ELSE (4-{t})*(4-{t})*(4-{t})/6 END"
-    )
-    columns = ", ".join(
-        f"round({piece.format(t=f'(u - {j} + 3)')}, 6) AS b{j}" for j in range(8)
-    )
+    """b0..b7 of the log amount between its own minimum and maximum, by the recursion of
+    B-splines: each degree is a blend of two neighbours of the degree below."""
+    steps = f"""n0 AS (
+  SELECT tx_id, u, {", ".join(f"CAST(u >= {j - 3} AND u < {j - 2} AS DOUBLE) AS s{j}" for j in range(11))}
+  FROM placed)"""
+    for k in (1, 2, 3):
+        blends = ", ".join(
+            f"((u - ({j - 3})) * s{j} + ({j - 2 + k} - u) * s{j + 1}) / {k} AS s{j}"
+            for j in range(11 - k)
+        )
+        steps += f", n{k} AS (SELECT tx_id, u, {blends} FROM n{k - 1})"
+    columns = ", ".join(f"round(s{j}, 6) AS b{j}" for j in range(8))
     return (
         _with(TX)
-        + f"""SELECT tx_id, {columns} FROM (
+        + f""", placed AS (
   SELECT tx_id, 5 * (x - min(x) OVER ()) / (max(x) OVER () - min(x) OVER ()) AS u
-  FROM (SELECT tx_id, ln(1 + tx_amount) AS x FROM tx))"""
+  FROM (SELECT tx_id, ln(1 + tx_amount) AS x FROM tx)), {steps}
+SELECT tx_id, {columns} FROM n3"""
     )
 
 
@@ -296,13 +298,19 @@ FROM batched JOIN accounts ON sender_account_id = account_id WHERE init_balance
 SELECT reason, count(*) AS n FROM absent GROUP BY reason""",
         "gam_fit": _with(TX, ACCOUNTS)
         + f""", parts AS (
-  SELECT CAST(tx.is_fraud AS INT) AS label, {FRACTION.format(seed=42)} / 4294967296.0 < 0.8 AS train
+  SELECT tx.*, country, account_type, tx_behavior_id, CAST(tx.is_fraud AS INT) AS label, {FRACTION.format(seed=42)} / 4294967296.0 < 0.8 AS train
   FROM tx JOIN accounts ON sender_account_id = account_id WHERE init_balance > -1)
 SELECT count(*) FILTER (NOT train AND label = 1) AS positives,
   count(*) FILTER (NOT train AND label = 0) AS negatives,
   count(*) FILTER (train) AS n_train,
   round(sum(10 * label) FILTER (train) / sum(CASE label WHEN 1 THEN 10 ELSE 1 END) FILTER (train), 9)
-    AS train_share, true AS calibrated
+    AS train_share,
+  -- two splines of 8, sine and cosine, a slot a category, the intercept
+  19 + count(DISTINCT tx_type) FILTER (train) + count(DISTINCT account_type) FILTER (train)
+    + count(DISTINCT tx_behavior_id) FILTER (train)
+    -- the 20 most frequent countries, and one slot for the others
+    + least(21, count(DISTINCT country) FILTER (train)) AS n_coefficients,
+  true AS stationary, true AS calibrated
 FROM parts""",
         "gbt_fit": _with(TX, ACCOUNTS, SCORED)
         + _MATCHED

@@ -9,7 +9,7 @@ on dev rows and report on test rows; the spline model does both on its validatio
 from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassificationModel, GBTClassifier, LogisticRegression
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -21,6 +21,7 @@ from riskloom.operators import encode, evaluate, sampling
 from riskloom.operators.enrich import join_accounts, match_label
 from riskloom.operators.score import add_model_features, decide_ge, decide_gt, require, score_model
 from riskloom.operators.smote import oversample
+from riskloom.plans import gam
 from riskloom.plans.jobs import batch_features
 from riskloom.plans.search import DRAWS, ROUNDS, SEARCH_GRID, SEARCH_ROWS, draw_params, run_trials
 from riskloom.schemas import GAM_CATEGORICAL, GAM_NUMERIC
@@ -28,7 +29,6 @@ from riskloom.session import scratch_dir
 from riskloom.sinks import writers
 
 SPLINES = {"tx_amount_log": 8, "init_balance_log": 8}
-REG_PARAM = 1e-4
 GAM_ITERATIONS = 1000
 TREE_ROUNDS = 500
 TREE_STEP = 0.5
@@ -88,7 +88,8 @@ def train_gam(
     max_rows: int = sampling.MAX_TRAIN_ROWS,
     iterations: int = GAM_ITERATIONS,
 ) -> DataFrame:
-    """Fit, choose the cost-optimal threshold, evaluate, save; returns the report."""
+    """Fit with smoothing penalties (:mod:`riskloom.plans.gam`), choose the cost-optimal
+    threshold, evaluate, save; returns the report."""
     usable, rejected = gam_rows(tx, accounts)
     # written once: the fit passes over its input many times
     sampling.split_80_20(usable).write.mode("overwrite").partitionBy("split").parquet(f"{out}/rows")
@@ -103,10 +104,10 @@ def train_gam(
     writers.write_features(prepared.transform(weighted), f"{out}/features")
     # the values that the model knows, for whoever encodes rows elsewhere
     encode.category_index(weighted).write.mode("overwrite").parquet(f"{out}/categories")
-    regression = LogisticRegression(
-        weightCol="weight", maxIter=iterations, regParam=REG_PARAM
+    features = spark.read.parquet(f"{out}/features")
+    fitted = gam.as_model(
+        features, gam.fit_penalised(features, list(SPLINES.values()), iterations)
     )
-    fitted = regression.fit(spark.read.parquet(f"{out}/features"))
     save_model(PipelineModel([*prepared.stages, fitted]), f"{out}/model")
     # the stored model carries no training summary, and so no session, to the tasks
     model = load_pipeline(f"{out}/model")

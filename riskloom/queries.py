@@ -25,7 +25,7 @@ from riskloom.operators import (
     validate,
     windows,
 )
-from riskloom.plans import jobs, search, training
+from riskloom.plans import gam, jobs, search, training
 from riskloom.schemas import ACCOUNT_CSV, GAM_CATEGORICAL, SCORED_TX, stored_schema
 from riskloom.session import scratch_dir
 from riskloom.sinks import writers
@@ -609,26 +609,34 @@ def _class_counts(report):
 
 @query
 def gam_fit(spark, d):
-    """The fit at full rounds, by what any right fit must give.
+    """The fit at full rounds, by what the one right fit must give.
 
-    With an unpenalised intercept the weighted mean of the fitted probabilities is the
-    weighted share of positives.
+    ``stationary``: the derivatives of the penalised likelihood, summed by column
+    expressions over the stored features, are zero. ``calibrated``: with a free intercept
+    the weighted mean of the fitted probabilities is the weighted share of positives.
     """
     folder = scratch_dir(spark, "gam")
     report = training.train_gam(spark, fx.transactions(spark, d), fx.accounts(spark, d), folder)
-    train = spark.read.parquet(f"{folder}/train")
-    fitted = score.score_model(train, training.load_pipeline(f"{folder}/model"))
+    stage = training.load_pipeline(f"{folder}/model").stages[-1]
+    features = spark.read.parquet(f"{folder}/features")
+    fitted = score.score_model(features, stage)
     w = F.sum("weight")
-    fit, share, n = fitted.agg(
+    fit, share, total, n = fitted.agg(
         F.sum(F.col("weight") * F.col("score")) / w,
         F.sum(F.col("weight") * F.col("label")) / w,
+        w,
         F.count(F.lit(1)),
     ).first()
+    held = gam.Fit(stage.coefficients.toArray(), stage.intercept, 0, True)
+    equations = gam.score_equations(fitted, held, list(training.SPLINES.values()))
+    slope, slots = equations.agg(F.max(F.abs("gradient")), F.count(F.lit(1))).first()
     return _class_counts(report).select(
         "*",
         F.lit(n).alias("n_train"),
+        F.lit(slots).alias("n_coefficients"),
         F.lit(round(share, 9)).alias("train_share"),
-        F.lit(abs(fit - share) < 1e-3).alias("calibrated"),
+        F.lit(slope < 1e-6 * total).alias("stationary"),
+        F.lit(abs(fit - share) < 1e-7).alias("calibrated"),
     )
 
 

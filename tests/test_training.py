@@ -3,24 +3,24 @@
 import numpy as np
 import pytest
 from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
 from riskloom import fixtures as fx
 from riskloom.operators import score
-from riskloom.plans import search, training
+from riskloom.plans import gam, search, training
 
 
 @pytest.fixture(scope="module")
-def gam(spark, sf_dir, tmp_path_factory):
+def fitted_gam(spark, sf_dir, tmp_path_factory):
     out = str(tmp_path_factory.mktemp("gam"))
     tx, accounts = fx.transactions(spark, sf_dir), fx.accounts(spark, sf_dir)
     report = training.train_gam(spark, tx, accounts, out, iterations=50).first()
     return out, report
 
 
-def test_gam_is_better_than_chance(spark, gam):
-    out, report = gam
+def test_gam_is_better_than_chance(spark, fitted_gam):
+    out, report = fitted_gam
     assert training.rank_auc(spark.read.parquet(f"{out}/scored")) > 0.6
     assert report["tp"] + report["fn"] > 0
     assert training.load_threshold(spark, f"{out}/threshold") == report["threshold"]
@@ -28,8 +28,8 @@ def test_gam_is_better_than_chance(spark, gam):
     assert {"country", "tx_type"} <= {r["feature"] for r in known.select("feature").collect()}
 
 
-def test_saved_gam_scores_alike_and_takes_unseen_categories(spark, sf_dir, gam):
-    out, _ = gam
+def test_saved_gam_scores_alike_and_takes_unseen_categories(spark, sf_dir, fitted_gam):
+    out, _ = fitted_gam
     model = training.load_pipeline(f"{out}/model")
     stored = spark.read.parquet(f"{out}/scored")
     val = spark.read.parquet(f"{out}/rows").filter("split = 'val'")
@@ -210,7 +210,7 @@ def test_decisions_at_the_threshold(spark):
     assert ge == [True, False, True] and gt == [False, False, True]
 
 
-def test_strict_model_on_a_batch_with_bad_events(spark, sf_dir, gam):
+def test_strict_model_on_a_batch_with_bad_events(spark, sf_dir, fitted_gam):
     """The assembler refuses NULL, yet bad events must not fail the batch."""
     from functools import partial
 
@@ -218,7 +218,7 @@ def test_strict_model_on_a_batch_with_bad_events(spark, sf_dir, gam):
     from riskloom.schemas import GAM_NUMERIC
     from riskloom.streaming import speed
 
-    out, _ = gam
+    out, _ = fitted_gam
     scorer = partial(score.score_model, model=training.load_pipeline(f"{out}/model"))
     parsed = parse_events(fx.event_json(spark, sf_dir))
     decided = speed.decide_events(parsed, fx.accounts(spark, sf_dir), scorer, 0.5, GAM_NUMERIC)
@@ -227,3 +227,59 @@ def test_strict_model_on_a_batch_with_bad_events(spark, sf_dir, gam):
     assert set(counts) == {None, "malformed", "bad_type", "missing_field", "no_account", "no_score"}
     assert decided.filter("reason IS NULL AND score IS NULL").count() == 0
     assert decided.filter("reason IS NOT NULL AND (score IS NOT NULL OR is_fraud)").count() == 0
+
+
+@pytest.fixture(scope="module")
+def wavy(spark):
+    draw = np.random.default_rng(3)
+    x = draw.random((900, 2))
+    label = (draw.random(900) < 1 / (1 + np.exp(-3 * np.sin(6 * x[:, 0]) + x[:, 1]))).astype(int)
+    data = [(*v.tolist(), int(y), 1.0 + i % 3) for i, (v, y) in enumerate(zip(x, label))]
+    from riskloom.functions import add_spline_basis
+
+    rows = spark.createDataFrame(data, "x double, z double, label int, weight double")
+    rows = add_spline_basis(rows, "x", 0.0, 1.0).repartition(4)
+    vector = array_to_vector(F.array(*[f"b{j}" for j in range(8)], "z")).alias("features")
+    return rows.select(vector, "label", "weight")
+
+
+def test_penalised_fit_is_the_maximum(spark, wavy):
+    fit = gam.fit_penalised(wavy, [8])
+    assert fit.converged and fit.rounds < 20
+    frame = wavy.select(vector_to_array("features").alias("x"), "label", "weight").toPandas()
+    x = np.column_stack([np.stack(frame["x"]), np.ones(len(frame))])
+    y, w = frame["label"].to_numpy(), frame["weight"].to_numpy()
+    p = gam.penalty(9, [8])
+
+    def value(b):
+        eta = x @ b
+        return (w * (y * eta - np.logaddexp(0, eta))).sum() - b @ p @ b / 2
+
+    best = np.append(fit.coefficients, fit.intercept)
+    draw = np.random.default_rng(1)
+    for size in (1e-3, 1e-1, 1.0):
+        assert all(value(best + size * draw.normal(size=10)) < value(best) for _ in range(20))
+    scored = score.score_model(wavy, gam.as_model(wavy, fit))
+    slopes = [r["gradient"] for r in gam.score_equations(scored, fit, [8]).collect()]
+    assert len(slopes) == 10 and np.abs(slopes).max() < 1e-5
+
+
+def test_penalty_leaves_lines_alone_and_smooths_the_rest():
+    p = gam.penalty(10, [4, 4], 2.0)
+    line = np.array([1, 2, 3, 4, 9, 7, 5, 3, 0, 0, 5.0])
+    assert line @ p @ line == pytest.approx(0)
+    bent = np.array([0, 1, 0, 0, 0, 0, 0, 0, 0, 3, 0.0])
+    # second differences of 0 1 0 0 are -2 and 1; the single coefficient counts squared
+    assert bent @ p @ bent == pytest.approx(2 * (4 + 1 + 9))
+
+
+def test_penalised_fit_of_separable_or_single_class_rows(spark):
+    data = [([float(i > 4), 1.0], int(i > 4), 1.0) for i in range(10)]
+    rows = spark.createDataFrame(data, "a array<double>, label int, weight double")
+    rows = rows.select(array_to_vector("a").alias("features"), "label", "weight")
+    apart = gam.fit_penalised(rows, [], 60)
+    assert apart.converged and apart.coefficients[0] > 0
+    one = gam.fit_penalised(rows.filter("label = 1"), [], 60)
+    assert np.isfinite(one.coefficients).all() and one.intercept > 5
+    with pytest.raises(ValueError):
+        gam.fit_penalised(rows.limit(0), [])
