@@ -7,14 +7,15 @@ every candidate of every occurrence has a coin of its own, and the segmentation
 same on every run and machine. Without dropout the pieces are those of the library.
 
 No piece holds a space mark after another character (checked when the model is read), so
-merges never cross the start of a word: the agenda runs on one word at a time. What is
-remembered of a word is its tree of agendas, not a drawn segmentation: the candidates that
-come up until one is skipped, and for each of them the agenda that goes on from there.
-An occurrence throws its coins down that tree.
+merges never cross the start of a word: every word of a chunk of texts has an agenda of its
+own, and all agendas run in lockstep. A step takes the first candidate of each of them, throws
+its coin and merges the pair or strikes the candidate, for all words at once in arrays.
+Nothing drawn is remembered. Words beyond ``SHORT`` characters run alone, with a heap.
 
 Characters without a piece, and a literal space mark in the text, are spelled as bytes,
 so decoding gives back every text exactly. NULL and empty texts have no pieces; repeated
-rows get equal pieces. Documents without id are told apart by their text. The model has a fixed size and is broadcast by content.
+rows get equal pieces; a text of any length is encoded whole. Documents without id are told
+apart by their text. The model has a fixed size and is broadcast by content.
 """
 
 from __future__ import annotations
@@ -22,7 +23,6 @@ from __future__ import annotations
 import hashlib
 import heapq
 import zlib
-from array import array
 from collections.abc import Iterator, Sequence
 from itertools import chain
 
@@ -39,12 +39,16 @@ from riskloom.llm.common import schema_with, session
 MARK = "▁"
 DROPOUT = 0.1
 SEED = 17
-# agendas remembered in one Python worker
-MEMORY = 600_000
 # characters encoded at a time, in whole texts
-CHUNK = 300_000
-# words up to this length keep their agenda in a list
+CHUNK = 1_000_000
+# words up to this length run in lockstep
 SHORT = 40
+# a character without a piece is a symbol of its own, above all piece ids
+BASE = 1 << 16
+SYMBOL_BITS = 21
+# an agenda entry is a rank and a place
+PLACE_BITS = 6
+DONE = np.iinfo(np.int32).max
 NEVER = float("inf")
 # stands for a mark that the text itself holds; spelled as bytes
 LITERAL = "▁literal"
@@ -75,16 +79,73 @@ class Vocabulary:
             raise ValueError("the model has no byte pieces")
         if any(MARK in p.lstrip(MARK) for p in self.ids):
             raise ValueError("the model has pieces across words")
+        if n > BASE:
+            raise ValueError("the model has too many pieces")
+        self.symbols = np.arange(0x110000, dtype=np.int32) + BASE
+        for piece, i in self.ids.items():
+            if len(piece) == 1:
+                self.symbols[ord(piece)] = i
+        self.symbols[ord(" ")] = self.symbols[ord(MARK)]
+        self.pairs = Pairs(self)
 
     def decode(self, ids: Sequence[int]) -> str:
         """The text that was encoded: byte pieces as bytes, marks as spaces."""
-        text = b"".join(map(self.spelled.__getitem__, ids)).decode("utf-8")
-        # the mark that encoding puts before a text
-        return text[1:] if ids else text
+        numbers = np.asarray(ids, np.int64).tolist()
+        # the mark that encoding puts before a text goes
+        return b"".join(map(self.spelled.__getitem__, numbers)).decode("utf-8")[1:]
+
+
+class Pairs:
+    """Which two symbols make a piece: a hash table over all splits of all pieces."""
+
+    def __init__(self, vocabulary: Vocabulary):
+        order = {r: k for k, r in enumerate(sorted(set(vocabulary.ranks.values())))}
+        found = {}
+        for piece, i in vocabulary.ids.items():
+            for at in range(1, len(piece)):
+                halves = [
+                    int(vocabulary.symbols[ord(h)]) if len(h) == 1 else vocabulary.ids.get(h)
+                    for h in (piece[:at], piece[at:])
+                ]
+                if None not in halves:
+                    found[halves[0] << SYMBOL_BITS | halves[1]] = (order[vocabulary.ranks[piece]], i)
+        bits = max(4, (4 * len(found)).bit_length())
+        self.shift, self.mask = np.uint64(64 - bits), (1 << bits) - 1
+        self.keys = np.full(1 << bits, -1, np.int64)
+        self.ranks = np.zeros(1 << bits, np.int32)
+        self.made = np.zeros(1 << bits, np.int32)
+        keys = np.fromiter(found, np.int64, len(found))
+        for key, at in zip(keys.tolist(), self._slot(keys).tolist()):
+            while self.keys[at] >= 0:
+                at = (at + 1) & self.mask
+            self.keys[at], (self.ranks[at], self.made[at]) = key, found[key]
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.astype(np.uint64) * np.uint64(STEP)) >> self.shift).astype(np.int64)
+
+    def find(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """The table's place of each pair, -1 for pairs that are no piece."""
+        keys = left.astype(np.int64) << SYMBOL_BITS | right
+        at = self._slot(keys)
+        held = self.keys[at]
+        out = np.where(held == keys, at, -1)
+        open_ = np.flatnonzero((held != keys) & (held >= 0))
+        while len(open_):
+            at[open_] = (at[open_] + 1) & self.mask
+            held = self.keys[at[open_]]
+            same = held == keys[open_]
+            out[open_[same]] = at[open_[same]]
+            open_ = open_[~same & (held >= 0)]
+        return out
+
+    def entries(self, left: np.ndarray, right: np.ndarray, place) -> np.ndarray:
+        """Agenda entries of pairs whose left symbol stands at ``place``."""
+        at = self.find(left, right)
+        return np.where(at < 0, DONE, self.ranks[at] << PLACE_BITS | place).astype(np.int32)
 
 
-def coin_key(seed: int, document: int, word: str = "") -> int:
-    return xxhash.xxh64_intdigest(f"{seed}:{document}:{word}".encode("utf-8", "surrogatepass"))
+def coin_key(seed: int, document: int) -> int:
+    return xxhash.xxh64_intdigest(f"{seed}:{document}:".encode())
 
 
 def _place(role: int, at: int) -> int:
@@ -174,32 +235,6 @@ def _merge_short(word: str, vocabulary: Vocabulary, key: int, limit: int) -> lis
     return parts
 
 
-def _merge_traced(word: str, vocabulary: Vocabulary, skips: tuple) -> tuple[list[str], list[int]]:
-    """``_merge_short`` where the candidates numbered ``skips`` are skipped and no others;
-    also the combined places of every candidate that came up."""
-    rank, never, n = vocabulary.ranks.get, NEVER, len(word)
-    parts = list(word.replace(" ", MARK))
-    starts = list(range(n + 1))
-    agenda = [rank(a + b, never) for a, b in zip(parts, parts[1:])]
-    places: list[int] = []
-    while agenda:
-        best = min(agenda)
-        if best == never:
-            break
-        i = agenda.index(best)
-        places.append(LEFT[starts[i]] ^ RIGHT[starts[i + 1]] ^ END[starts[i + 2]])
-        if len(places) - 1 in skips:
-            agenda[i] = never
-            continue
-        parts[i] += parts[i + 1]
-        del parts[i + 1], starts[i + 1], agenda[i]
-        if i < len(agenda):
-            agenda[i] = rank(parts[i] + parts[i + 1], never)
-        if i:
-            agenda[i - 1] = rank(parts[i - 1] + parts[i], never)
-    return parts, places
-
-
 def _merge_long(word: str, vocabulary: Vocabulary, key: int, limit: int) -> list[str]:
     """The same with a heap, for words of any length and with literal marks.
 
@@ -244,144 +279,159 @@ def _merge_long(word: str, vocabulary: Vocabulary, key: int, limit: int) -> list
     return out
 
 
-class Known(dict):
-    """Piece ids by word, of one variant; segments what is missing."""
-
-    def __init__(self, vocabulary: Vocabulary, seed: int, variant: int, limit: int, size: int):
-        super().__init__()
-        self.args = vocabulary, seed, variant, limit
-        self.size = size
-
-    def __missing__(self, word: str) -> tuple[int, ...]:
-        vocabulary, seed, variant, limit = self.args
-        if len(self) >= self.size:
-            self.clear()
-        key = coin_key(seed, variant, word) if limit else 0
-        found = self[word] = encode_word(word, vocabulary, key, limit)
-        return found
-
-
-class Agenda:
-    """A word after some skips: its pieces if no other candidate is skipped, the places of
-    the candidates still to come, and the agendas where one of those is the next skip."""
-
-    __slots__ = ("word", "skips", "first", "ids", "places", "n", "after")
-
-    def __init__(self, word: str, skips: tuple, vocabulary: Vocabulary):
-        parts, places = _merge_traced(word, vocabulary, skips)
-        self.word, self.skips = word, skips
-        self.first = skips[-1] + 1 if skips else 0
-        self.ids = _ids(parts, vocabulary)
-        self.n = len(places) - self.first
-        self.places = array("Q", places[self.first :]).tobytes()
-        self.after: dict[int, Agenda | None] | None = None
-
-
-class Agendas(dict):
-    """Agendas by word; None for one that is to be run: of a word that is long, or when it
-    comes up for the first time, as most never come up again."""
-
-    def __init__(self, vocabulary: Vocabulary, size: int):
-        super().__init__()
-        self.vocabulary, self.size, self.n = vocabulary, size, 0
-        self.seen: set[str] = set()
-
-    def __missing__(self, word: str) -> Agenda | None:
-        if len(word) > SHORT or MARK in word:
-            return None
-        if word not in self.seen:
-            if len(self.seen) >= self.size:
-                self.seen.clear()
-            self.seen.add(word)
-            return None
-        self._grow()
-        found = self[word] = Agenda(word, (), self.vocabulary)
-        return found
-
-    def _grow(self) -> None:
-        if self.n >= self.size:
-            self.clear()
-            self.n = 0
-        self.n += 1
-
-    def after(self, agenda: Agenda, place: int) -> Agenda | None:
-        if agenda.after is None:
-            agenda.after = {}
-        found = agenda.after.get(place)
-        if found is None:
-            if place not in agenda.after:
-                agenda.after[place] = None
-                return None
-            self._grow()
-            skips = (*agenda.skips, agenda.first + place)
-            found = agenda.after[place] = Agenda(agenda.word, skips, self.vocabulary)
-        return found
+def lockstep(
+    codes: np.ndarray, vocabulary: Vocabulary, keys: np.ndarray | None, limit: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """``(symbols, alive)``, places by words: what the agendas of words of one length leave.
+
+    ``codes`` are their characters, a row a word; ``keys`` their coin keys.
+    """
+    pairs = vocabulary.pairs
+    n, size = codes.shape[1], len(codes)
+    symbols = np.ascontiguousarray(vocabulary.symbols[codes].T)
+    alive = np.ones((n, size), bool)
+    if n == 1:
+        return symbols, alive
+    agenda = np.full((n, size), DONE, np.int32)
+    for place in range(n - 1):
+        agenda[place] = pairs.entries(symbols[place], symbols[place + 1], place)
+    # where the next part begins, which is where a part ends; and the one before
+    following = np.repeat(np.arange(1, n + 1, dtype=np.int8)[:, None], size, axis=1)
+    previous = np.repeat(np.arange(-1, n - 1, dtype=np.int8)[:, None], size, axis=1)
+    kept_symbols, kept_alive = symbols.copy(), alive.copy()
+    word = np.arange(size)
+    left_of, right_of, end_of = (np.array(t, np.uint64) for t in (LEFT, RIGHT, END))
+    while True:
+        best = agenda.min(axis=0)
+        going = best != DONE
+        if not going.all():
+            over = np.flatnonzero(~going)
+            kept_symbols[:, word[over]] = symbols[:, over]
+            kept_alive[:, word[over]] = alive[:, over]
+            left = np.flatnonzero(going)
+            if not len(left):
+                return kept_symbols, kept_alive
+            word, best = word[left], best[left]
+            symbols, alive, agenda, following, previous = (
+                np.take(x, left, axis=1) for x in (symbols, alive, agenda, following, previous)
+            )
+        at = best & ((1 << PLACE_BITS) - 1)
+        column = np.arange(len(word))
+        right = following[at, column].astype(np.int64)
+        end = following[right, column].astype(np.int64)
+        if limit:
+            places = left_of[at] ^ right_of[right] ^ end_of[end]
+            skip = coins(keys[word] ^ places) < limit
+            agenda[at[skip], column[skip]] = DONE
+            column = np.flatnonzero(~skip)
+            at, right, end = at[column], right[column], end[column]
+        found = pairs.find(symbols[at, column], symbols[right, column])
+        merged = pairs.made[found]
+        symbols[at, column] = merged
+        alive[right, column] = False
+        agenda[right, column] = DONE
+        following[at, column] = end
+        # with the part that comes next, and with the one before
+        entry = np.full(len(column), DONE, np.int32)
+        inner = np.flatnonzero(end < n)
+        c, here, there = column[inner], at[inner], end[inner]
+        previous[there, c] = here
+        entry[inner] = pairs.entries(merged[inner], symbols[there, c], here)
+        agenda[at, column] = entry
+        before = previous[at, column].astype(np.int64)
+        inner = np.flatnonzero(before >= 0)
+        c, here = column[inner], before[inner]
+        agenda[here, c] = pairs.entries(symbols[here, c], merged[inner], here)
 
 
 class Encoder:
     """Encodes texts; one lives in each Python worker."""
 
-    def __init__(self, model: bytes, seed: int, rate: float, size: int = MEMORY):
+    def __init__(self, model: bytes, seed: int, rate: float):
         self.vocabulary = Vocabulary(model)
         self.seed = seed
         self.limit = int(rate * 2**32)
-        self.known = Known(self.vocabulary, seed, 0, 0, size)
-        self.agendas = Agendas(self.vocabulary, size)
 
-    def encode(self, text: str, key: int) -> array:
+    def encode(self, text: str, key: int) -> np.ndarray:
         """Piece ids of a text; ``key`` tells documents apart."""
         return self.encode_all([text], [key])[0]
 
-    def encode_all(self, texts: Sequence[str], keys: Sequence[int]) -> list[array]:
+    def encode_all(self, texts: Sequence[str], keys: Sequence[int]) -> list[np.ndarray]:
         """Piece ids of several texts."""
         words = [WORD.findall(" " + text) if text else [] for text in texts]
         flat = list(chain.from_iterable(words))
         if self.limit:
-            coded = zip(keys, words)
-            found = self._drop(
-                flat, np.concatenate([word_keys(coin_key(self.seed, k), len(w)) for k, w in coded])
-            )
+            coded = [word_keys(coin_key(self.seed, k), len(w)) for k, w in zip(keys, words)]
+            found, counts = self._run(flat, np.concatenate(coded) if coded else None)
         else:
-            found = list(map(self.known.__getitem__, flat))
-        out, at = [], 0
-        for w in words:
-            out.append(array("i", chain.from_iterable(found[at : at + len(w)])))
-            at += len(w)
-        return out
+            once = dict.fromkeys(flat)
+            place = {w: i for i, w in enumerate(once)}
+            found, counts = self._run(list(once), None)
+            found, counts = _repeated(found, counts, [place[w] for w in flat])
+        ends = np.cumsum(counts)
+        last = np.cumsum([len(w) for w in words])
+        cuts = [int(ends[i - 1]) if i else 0 for i in last.tolist()]
+        return [found[a:b] for a, b in zip([0, *cuts], cuts)]
+
+    def _run(self, words: list[str], keys: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+        """The piece ids of words, one after another, and how many each has."""
+        v, limit = self.vocabulary, self.limit
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        alone = sizes > SHORT
+        joined = "".join(words)
+        codes = np.frombuffer(joined.encode("utf-32-le"), "<u4").astype(np.int64)
+        begins = np.cumsum(sizes) - sizes
+        if MARK in joined:
+            marks = np.flatnonzero(codes == ord(MARK))
+            alone[np.searchsorted(begins, marks, "right") - 1] = True
+        parts = []  # (words, their counts, ids)
+        for i in np.flatnonzero(alone).tolist():
+            ids = encode_word(words[i], v, int(keys[i]) if limit else 0, limit)
+            parts.append((np.array([i]), np.array([len(ids)]), np.array(ids, np.int32)))
+        order = np.flatnonzero(~alone)
+        order = order[np.argsort(sizes[order], kind="stable")]
+        for group in np.split(order, np.flatnonzero(np.diff(sizes[order])) + 1):
+            if len(group):
+                letters = codes[begins[group][:, None] + np.arange(sizes[group[0]])]
+                own = keys[group] if limit else None
+                symbols, alive = lockstep(letters, v, own, limit)
+                which, at = np.nonzero(alive.T)
+                parts.append((group, *self._spelled(symbols[at, which], which, len(group))))
+        counts = np.zeros(len(words), np.int64)
+        for group, n, _ in parts:
+            counts[group] = n
+        out = np.empty(int(counts.sum()), np.int32)
+        first = np.cumsum(counts) - counts
+        for group, n, ids in parts:
+            inside = np.arange(len(ids)) - np.repeat(np.cumsum(n) - n, n)
+            out[np.repeat(first[group], n) + inside] = ids
+        return out, counts
+
+    def _spelled(self, symbols: np.ndarray, which: np.ndarray, n: int):
+        """Counts by word and piece ids, characters without a piece as bytes."""
+        lost = np.flatnonzero(symbols >= BASE)
+        if not len(lost):
+            return np.bincount(which, minlength=n), symbols.astype(np.int32)
+        spelled = [
+            [self.vocabulary.byte_ids[b] for b in chr(c - BASE).encode()]
+            for c in symbols[lost].tolist()
+        ]
+        times = np.ones(len(symbols), np.int64)
+        times[lost] = [len(b) for b in spelled]
+        out = np.repeat(symbols, times)
+        starts = (np.cumsum(times) - times)[lost]
+        at = np.concatenate([np.arange(s, s + len(b)) for s, b in zip(starts.tolist(), spelled)])
+        out[at] = list(chain.from_iterable(spelled))
+        return np.bincount(np.repeat(which, times), minlength=n), out.astype(np.int32)
+
 
-    def _drop(self, words: list[str], keys: np.ndarray) -> list[tuple[int, ...]]:
-        """Piece ids of words, each with the coins of its own key."""
-        limit, after = self.limit, self.agendas.after
-        agendas = list(map(self.agendas.__getitem__, words))
-        found: list = [None] * len(words)
-
-        def settle(open_: np.ndarray, agendas: list) -> tuple[np.ndarray, list]:
-            """Note the pieces so far; leaves those with an agenda to throw coins for."""
-            left = []
-            for i, a in zip(open_.tolist(), agendas):
-                if a is None:
-                    found[i] = encode_word(words[i], self.vocabulary, int(keys[i]), limit)
-                else:
-                    found[i] = a.ids
-                    if a.n:
-                        left.append((i, a))
-            return np.array([i for i, _ in left], np.int64), [a for _, a in left]
-
-        open_, agendas = settle(np.arange(len(words)), agendas)
-        while agendas:
-            lengths = np.fromiter([a.n for a in agendas], np.int64, len(agendas))
-            owner = np.repeat(np.arange(len(agendas)), lengths)
-            places = np.frombuffer(b"".join([a.places for a in agendas]), np.uint64)
-            hits = np.flatnonzero(coins(keys[open_][owner] ^ places) < limit)
-            owner = owner[hits]
-            # the first skip of each word
-            first = np.ones(len(owner), bool)
-            first[1:] = owner[1:] != owner[:-1]
-            owner, hits = owner[first], hits[first]
-            at = hits - (np.cumsum(lengths) - lengths)[owner]
-            agendas = [after(agendas[o], k) for o, k in zip(owner.tolist(), at.tolist())]
-            open_, agendas = settle(open_[owner], agendas)
-        return found
+def _repeated(found: np.ndarray, counts: np.ndarray, picks: list[int]):
+    """The ids of the picked words, one after another, and their counts."""
+    picks = np.array(picks, np.int64)
+    n = counts[picks]
+    first = (np.cumsum(counts) - counts)[picks]
+    inside = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+    return found[np.repeat(first, n) + inside], n
 
 
 def _chunks(texts: Sequence[str]) -> Iterator[slice]:
@@ -441,14 +491,13 @@ def encode(
                 encoder.encode_all(texts[part], keys[part]) for part in _chunks(texts)
             )
             rows = []
-            for text, found in zip(texts, coded):
-                numbers = np.frombuffer(found, np.int32) if found else np.empty(0, np.int32)
+            for text, numbers in zip(texts, coded):
                 rows.append(
                     (
-                        len(found),
+                        len(numbers),
                         int(is_byte[numbers].sum()),
                         zlib.crc32(numbers.astype("<i4").tobytes()),
-                        vocabulary.decode(found) == text,
+                        vocabulary.decode(numbers) == text,
                         numbers,
                     )
                 )

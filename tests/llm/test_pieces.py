@@ -23,12 +23,12 @@ def library(model):
 
 @pytest.fixture(scope="module")
 def plain(model):
-    return p.Encoder(model, 1, 0.0, 4)
+    return p.Encoder(model, 1, 0.0)
 
 
 @pytest.fixture(scope="module")
 def dropping(model):
-    return p.Encoder(model, 1, 0.5, 4)
+    return p.Encoder(model, 1, 0.5)
 
 
 @settings(max_examples=150, deadline=None)
@@ -49,7 +49,7 @@ def test_decoding_is_lossless(plain, dropping, text, key):
 @given(st.text(alphabet="abcdefinorst ", min_size=1, max_size=30), st.integers(0, 2**32))
 def test_list_and_heap_agendas_agree(plain, word, limit):
     v = plain.vocabulary
-    key = p.coin_key(3, 0, word)
+    key = p.coin_key(3, len(word))
     assert p._merge_short(word, v, key, limit) == p._merge_long(word, v, key, limit)
 
 
@@ -57,9 +57,9 @@ def test_segmentations_vary_and_repeat(dropping, model):
     text = "understanding international considerations " * 4
     found = {tuple(dropping.encode(text, k)) for k in range(8)}
     assert len(found) > 1
-    again = p.Encoder(model, 1, 0.5, 4)
+    again = p.Encoder(model, 1, 0.5)
     assert {tuple(again.encode(text, k)) for k in range(8)} == found
-    other = p.Encoder(model, 2, 0.5, 4)
+    other = p.Encoder(model, 2, 0.5)
     assert {tuple(other.encode(text, k)) for k in range(8)} != found
 
 
@@ -81,34 +81,73 @@ def test_empty_table(spark):
     assert p.encode(no_docs(spark), PATH, ids=False).count() == 0
 
 
-def test_memory_is_bounded(model):
-    v = p.Vocabulary(model)
-    known = p.Known(v, 1, 0, 0, 2)
-    for word in (" a", " b", " c", " d"):
-        assert known[word] == p.encode_word(word, v)
-    assert len(known) <= 2
-
-
-def test_every_occurrence_has_its_own_coins(model):
+def test_every_occurrence_has_its_own_coins(model, plain):
     encoder = p.Encoder(model, 1, 0.1)
     word, n = " considerations", 4000
-    plain = encoder.known[word]
-    found = [tuple(encoder.encode("x" + word, k))[1:] for k in range(n)]
+    whole = plain.encode(word[1:], 0).tolist()
+    coded = encoder.encode_all(["x" + word] * n, list(range(n)))
+    found = [tuple(x.tolist())[1:] for x in coded]
     assert len(set(found)) > 8
-    assert 0.9 ** encoder.agendas[word].n - 0.04 < found.count(plain) / n < 0.8
-    one_text = tuple(encoder.encode("x" + word * n, 7))
-    assert one_text[1 : 1 + n * len(plain)] != plain * n
+    # a word of so many characters takes at most one merge fewer
+    assert 0.9 ** (len(word) - 1) - 0.04 < found.count(tuple(whole)) / n < 0.8
+    one_text = encoder.encode("x" + word * n, 7).tolist()
+    assert one_text[1 : 1 + n * len(whole)] != whole * n
     # a word of one merge is dropped at the rate in one document as over many
     short = " a"
     split = len(encoder.encode(short[1:] + short * (n - 1), 3)) - n
     assert abs(split / n - 0.1) < 0.03
 
 
-def test_remembered_agendas_give_what_a_run_gives(model):
-    encoder = p.Encoder(model, 5, 0.3, 50)
-    text = "the understanding of international considerations\n was " * 30 + "y" * 60 + " ▁z"
-    words = p.WORD.findall(" " + text)
-    keys = p.word_keys(p.coin_key(5, 11), len(words))
-    runs = [p.encode_word(w, encoder.vocabulary, int(k), encoder.limit) for w, k in zip(words, keys)]
-    assert encoder.encode(text, 11).tolist() == [i for run in runs for i in run]
-    assert encoder.agendas.n <= 50
+def by_words(encoder, text, key):
+    """One agenda after another, by the list and the heap."""
+    words = p.WORD.findall(" " + text) if text else []
+    keys = p.word_keys(p.coin_key(encoder.seed, key), len(words))
+    runs = [
+        p.encode_word(w, encoder.vocabulary, int(k) if encoder.limit else 0, encoder.limit)
+        for w, k in zip(words, keys)
+    ]
+    return [i for run in runs for i in run]
+
+
+@settings(max_examples=200, deadline=None)
+@given(
+    st.lists(st.text(alphabet="abdeinorst Aé\n語😀▁", max_size=70), max_size=6),
+    st.sampled_from([0.0, 0.1, 0.5, 1.0]),
+)
+def test_lockstep_is_one_agenda_after_another(model, texts, rate):
+    if rate not in ENCODERS:
+        ENCODERS[rate] = p.Encoder(model, 5, rate)
+    encoder = ENCODERS[rate]
+    keys = range(3, 3 + len(texts))
+    got = [x.tolist() for x in encoder.encode_all(texts, list(keys))]
+    assert got == [by_words(encoder, t, k) for t, k in zip(texts, keys)]
+
+
+ENCODERS = {}
+
+
+@pytest.mark.parametrize("rate", [0.0, 0.1])
+def test_lockstep_over_a_table(spark, model, rate):
+    from riskloom.llm.common import table
+
+    rows = table(spark, "/root/testdata/sf0.001", "documents").select("doc_id", "text").collect()
+    encoder = p.Encoder(model, 17, rate)
+    texts, keys = [r["text"] or "" for r in rows], [r["doc_id"] for r in rows]
+    got = encoder.encode_all(texts, keys)
+    assert [x.tolist() for x in got] == [by_words(encoder, t, k) for t, k in zip(texts, keys)]
+
+
+def test_pair_table_has_every_split(model):
+    v = p.Vocabulary(model)
+    for piece in ("the", "▁the", "ing", "▁considered"):
+        if piece not in v.ids:
+            continue
+        for at in range(1, len(piece)):
+            a, b = (
+                int(v.symbols[ord(h)]) if len(h) == 1 else v.ids.get(h) for h in (piece[:at], piece[at:])
+            )
+            if a is not None and b is not None:
+                found = v.pairs.find(p.np.array([a]), p.np.array([b]))[0]
+                assert v.pairs.made[found] == v.ids[piece]
+    none = v.pairs.find(p.np.array([v.ids["the"]]), p.np.array([p.BASE + 0x2603]))
+    assert none.tolist() == [-1]
