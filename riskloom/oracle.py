@@ -241,6 +241,10 @@ def oracle_sql() -> dict[str, str]:
         "accounts_scan": _with(ACCOUNTS)
         + "SELECT account_id, init_balance, country, account_type FROM accounts",
         "accounts_import": _with(ACCOUNTS) + "SELECT * FROM accounts",
+        "accounts_upsert": _with(ACCOUNTS)
+        + """SELECT * REPLACE (
+  CASE WHEN account_id % 5 = 0 THEN init_balance + 1000 ELSE init_balance END AS init_balance)
+FROM accounts""",
         "accounts_first": _with(ACCOUNTS)
         + """, doubled AS (
   SELECT * FROM accounts UNION ALL

@@ -64,6 +64,19 @@ def accounts_import(spark, d):
     return facts.import_accounts(raw)
 
 
+@query
+def accounts_upsert(spark, d):
+    """The stored accounts after an import, and one of some accounts with other balances."""
+    folder = scratch_dir(spark, "upsert")
+    accounts = fx.accounts(spark, d)
+    writers.write_accounts(accounts, folder)
+    moved = accounts.filter("account_id % 5 = 0").withColumn(
+        "init_balance", F.col("init_balance") + 1000
+    )
+    writers.write_accounts(moved, folder)
+    return spark.read.parquet(f"{folder}/batch_layer/accounts").select(accounts.columns)
+
+
 @query
 def accounts_first(spark, d):
     return enrich.first_account(fx.duplicated_accounts(spark, d)).drop("is_fraud")

@@ -143,16 +143,23 @@ BATCH_TABLES = {
     "transactions_by_receiver": _fact_table("receiver_account_id", _SPEED_REF),
 }
 LAYERS = {"speed_layer": SPEED_TABLES, "batch_layer": BATCH_TABLES}
-# the folders below a layer's tables; accounts have none
+# the folders below a layer's tables, and those of accounts in either layer
 PARTITIONS = {"speed_layer": "batch_id", "batch_layer": "dt"}
+BUCKET, ACCOUNT_BUCKETS = "bucket", 64
+# the primary key of accounts
+ACCOUNT_KEY = ["account_id", "customer_id"]
+
+
+def partition_field(layer: str, table: str) -> StructField:
+    if table == "accounts":
+        return StructField(BUCKET, IntegerType(), True)
+    return StructField(PARTITIONS[layer], StringType(), True)
 
 
 def stored_schema(layer: str, table: str) -> StructType:
     """The columns of a stored table, its partition column last."""
-    fields = list(LAYERS[layer][table].fields)
-    if table != "accounts":
-        fields.append(StructField(PARTITIONS[layer], StringType(), True))
-    return StructType(fields)
+    return StructType([*LAYERS[layer][table].fields, partition_field(layer, table)])
+
 
 # partition key, then clustering columns: the sort order of each table's files
 CLUSTERING = {

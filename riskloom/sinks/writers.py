@@ -11,8 +11,16 @@ from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.operators import facts
-from riskloom.schemas import CLUSTERING, LAYERS, PARTITIONS, stored_schema
-from riskloom.session import listed, remove
+from riskloom.schemas import (
+    ACCOUNT_BUCKETS,
+    ACCOUNT_KEY,
+    BUCKET,
+    CLUSTERING,
+    LAYERS,
+    partition_field,
+    stored_schema,
+)
+from riskloom.session import listed, remove, scratch_dir
 
 BATCH_FILE_ROWS = 1_000_000
 FACTS = ["transactions", "transactions_by_sender", "transactions_by_receiver", "alerts"]
@@ -23,8 +31,8 @@ RUN = "run string, state string, at timestamp, days array<string>, whole boolean
 def create_tables(spark: SparkSession, warehouse: str, layers: dict = LAYERS) -> list[str]:
     """Declare every serving table of both layers as external Parquet tables.
 
-    Fact tables are declared with the folders they are written in: micro-batches of the
-    speed layer, days of the batch layer. Folders that are there are known at once, those
+    Tables are declared with the folders they are written in: micro-batches of the speed
+    layer, days of the batch layer, key buckets of accounts. Folders that are there are known at once, those
     of later writes after :func:`recover_tables`.
     """
     made = []
@@ -34,7 +42,7 @@ def create_tables(spark: SparkSession, warehouse: str, layers: dict = LAYERS) ->
             columns = ", ".join(
                 f"{f.name} {f.dataType.simpleString()}" for f in stored_schema(layer, name).fields
             )
-            folders = "" if name == "accounts" else f"PARTITIONED BY ({PARTITIONS[layer]}) "
+            folders = f"PARTITIONED BY ({partition_field(layer, name).name}) "
             spark.sql(
                 f"CREATE TABLE IF NOT EXISTS {layer}.{name} ({columns}) USING parquet {folders}"
                 f"LOCATION '{warehouse}/{layer}/{name}'"
@@ -48,7 +56,7 @@ def recover_tables(spark: SparkSession, warehouse: str, layers: dict = LAYERS) -
     """Let declared tables know the folders that were written since."""
     for layer, tables in layers.items():
         for name in tables:
-            if name != "accounts" and listed(spark, f"{warehouse}/{layer}/{name}"):
+            if listed(spark, f"{warehouse}/{layer}/{name}"):
                 spark.sql(f"ALTER TABLE {layer}.{name} RECOVER PARTITIONS")
             spark.catalog.refreshTable(f"{layer}.{name}")
 
@@ -88,17 +96,50 @@ def by_day(df: DataFrame, mode: str, whole: bool = False) -> DataFrameWriter:
     return writer.option("partitionOverwriteMode", replaced).partitionBy(facts.DAY)
 
 
-def write_accounts(accounts: DataFrame, warehouse: str, mode: str = "overwrite") -> dict[str, int]:
-    """Import accounts into both layers; rows now stored per layer.
+def write_accounts(accounts: DataFrame, warehouse: str, replace: bool = False) -> dict[str, int]:
+    """Put accounts into both layers, keyed by account and customer; rows now stored per layer.
 
-    Counted from the written files' footers: an observed count would see the rows
-    twice, as range partitioning samples its input first.
+    A row replaces the stored one of its key, and of rows with one key the last of the input
+    stays. Keys are dealt to ``ACCOUNT_BUCKETS`` folders by a hash of the account: only the
+    folders of incoming keys are read, merged and rewritten, the files of others stay. With
+    ``replace`` the tables hold the incoming rows alone. The merged rows are staged before
+    they go to the tables, so a repeated import changes nothing. NULL keys are keys too.
+
+    Counted from the written files' footers.
     """
-    stored = {}
+    spark, stored = accounts.sparkSession, {}
+    names = accounts.columns
+    bucket = F.pmod(F.xxhash64(ACCOUNT_KEY[0]), F.lit(ACCOUNT_BUCKETS)).cast("int")
+    # the last row of each key, folded on the map side
+    last = F.max_by(F.struct(*names), F.col("_nth")).alias("_row")
+    incoming = accounts.withColumn("_nth", F.monotonically_increasing_id())
+    incoming = incoming.groupBy(*ACCOUNT_KEY).agg(last).select("_row.*").withColumn(BUCKET, bucket)
+    staged = scratch_dir(spark, "accounts")
+    incoming.write.parquet(f"{staged}/in")
+    incoming = spark.read.schema(incoming.schema).parquet(f"{staged}/in")
+    # at most one row a bucket
+    touched = [r[0] for r in incoming.select(BUCKET).distinct().collect()]
     for layer in LAYERS:
         path = f"{warehouse}/{layer}/accounts"
-        write_table(accounts, path, "accounts", mode)
-        stored[layer] = accounts.sparkSession.read.schema(accounts.schema).parquet(path).count()
+        merged, there = incoming, listed(spark, path)
+        if any(not n.startswith((f"{BUCKET}=", "_", ".")) for n in there):
+            raise ValueError(f"{path} has files outside its {BUCKET}= folders: import them anew")
+        if there and not replace:
+            old = spark.read.schema(incoming.schema).parquet(path)
+            same = [F.col(f"o.{k}").eqNullSafe(F.col(f"i.{k}")) for k in ACCOUNT_KEY]
+            kept = old.filter(F.col(BUCKET).isin(touched)).alias("o").join(
+                incoming.select(*ACCOUNT_KEY).alias("i"), same, "left_anti"
+            )
+            merged = incoming.unionByName(kept.select(incoming.columns))
+        merged.write.parquet(f"{staged}/{layer}")
+        rows = spark.read.schema(incoming.schema).parquet(f"{staged}/{layer}")
+        rows.repartition(BUCKET).sortWithinPartitions(BUCKET, *CLUSTERING["accounts"]).write.mode(
+            "overwrite"
+        ).option("partitionOverwriteMode", "static" if replace else "dynamic").partitionBy(
+            BUCKET
+        ).parquet(path)
+        stored[layer] = spark.read.schema(incoming.schema).parquet(path).count()
+    remove(spark, staged)
     return stored
 
 

@@ -48,7 +48,7 @@ def test_accounts_csv_to_both_layers(spark, csv):
     assert written == {"speed_layer": 3, "batch_layer": 3}
     for layer in schemas.LAYERS:
         table = spark.read.schema(schemas.ACCOUNTS).parquet(f"{csv}/w/{layer}/accounts")
-        got = rows(table, "account_id")
+        got = rows(table.select(*schemas.ACCOUNTS.fieldNames()), "account_id")
         assert got[1] == {
             "account_id": 2,
             "customer_id": "C_2",
@@ -60,6 +60,40 @@ def test_accounts_csv_to_both_layers(spark, csv):
         }
 
 
+def test_accounts_are_replaced_by_key(spark, tmp_path):
+    def made(*data):
+        full = [(i, c, b, "US", "A", None, 1) for i, c, b in data]
+        return spark.createDataFrame(full, schemas.ACCOUNTS).coalesce(1)
+
+    def files(layer):
+        folder = tmp_path / layer / "accounts"
+        return {f.parent.name: f.name for f in folder.glob("bucket=*/*.parquet")}
+
+    first = [(i, f"c{i}", float(i)) for i in range(200)] + [(None, "x", 1.0), (7, None, 2.0)]
+    assert writers.write_accounts(made(*first), str(tmp_path)) == {"speed_layer": 202, "batch_layer": 202}
+    before = files("speed_layer")
+    # a changed row, one twice, a second customer of an account, a new one, and NULL keys
+    second = [(3, "c3", 30.0), (4, "c4", 40.0), (4, "c4", 41.0), (4, "d", 5.0), (900, "n", 9.0)]
+    second += [(None, "x", 11.0), (7, None, 22.0)]
+    for _ in range(2):
+        stored = writers.write_accounts(made(*second), str(tmp_path))
+        assert stored == {"speed_layer": 204, "batch_layer": 204}
+    want = {(i, c): b for i, c, b in [*first, *second]}
+    for layer in schemas.LAYERS:
+        table = spark.read.parquet(f"{tmp_path}/{layer}/accounts")
+        assert {(r["account_id"], r["customer_id"]): r["init_balance"] for r in table.collect()} == want
+    touched = {
+        f"bucket={r['bucket']}"
+        for r in table.filter("account_id IN (3, 4, 900, 7) OR account_id IS NULL").collect()
+    }
+    after = files("speed_layer")
+    assert {b for b in after if after[b] != before.get(b)} == touched
+    assert writers.write_accounts(made(*second), str(tmp_path), replace=True)["batch_layer"] == 6
+    spark.range(2).write.parquet(f"{tmp_path}/old/speed_layer/accounts")
+    with pytest.raises(ValueError, match="outside its bucket= folders"):
+        writers.write_accounts(made(*first), f"{tmp_path}/old")
+
+
 def test_csv_columns_are_found_by_name_and_bad_rows_kept(spark, csv):
     got = rows(readers.read_transactions_csv(spark, f"{csv}/transactions.csv"), "ts", "status")
     assert got[0]["tx_amount"] == 512.75 and got[0]["is_fraud"] is True
@@ -82,7 +116,7 @@ def test_tables_are_declared_for_both_layers(spark, tmp_path):
         assert batch.schema == schemas.stored_schema("batch_layer", "transactions")
         assert batch.columns[-1] == "dt"
         assert spark.table("speed_layer.alerts").columns[-1] == "batch_id"
-        assert spark.table("batch_layer.accounts").schema == schemas.ACCOUNTS
+        assert spark.table("batch_layer.accounts").columns == [*schemas.ACCOUNTS.fieldNames(), "bucket"]
         assert "speed_layer_treshold" in batch.columns
         assert "speed_layer_treshold" not in spark.table("speed_layer.transactions").columns
     finally:
