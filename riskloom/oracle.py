@@ -167,6 +167,14 @@ def _history(key: str) -> str:
     )
 
 
+def _clustered(key: str) -> str:
+    return (
+        _with(TX)
+        + f"""SELECT {key}, ts, tx_id,
+  CAST(row_number() OVER (PARTITION BY {key} ORDER BY ts DESC, tx_id) AS INT) AS nth FROM tx"""
+    )
+
+
 def _metrics(select: str) -> str:
     return (
         _with(TX, SCORED)
@@ -474,6 +482,16 @@ SELECT NULL, 1, TRUE, base, round(d, 4), TRUE FROM
         + """SELECT tx_id, sender_account_id AS sender, receiver_account_id AS receiver,
   tx_amount AS amount, round(fraud_probability, 6) AS fraud_probability,
   fraud_probability > 0.5 AS is_fraud FROM batched""",
+        "clustered_transactions": "SELECT event_id AS tx_id, true AS in_order FROM events",
+        "clustered_alerts": _with(TX, SCORED)
+        + f"SELECT tx_id, {ALERT_ID}, true AS in_order FROM decided WHERE is_fraud",
+        "clustered_by_sender": _clustered("sender_account_id"),
+        "clustered_by_receiver": _clustered("receiver_account_id"),
+        "stream_metrics": _with(TX, ACCOUNTS, SCORED)
+        + """SELECT count(*) AS n_rows, count(account_id) AS n_scored,
+  count(*) - count(account_id) AS n_rejected,
+  count(*) FILTER (account_id IS NOT NULL AND is_fraud) AS n_flagged, max(ts) AS last_ts
+FROM (SELECT d.*, account_id FROM decided d LEFT JOIN accounts ON sender_account_id = account_id)""",
         "sender_history": _history("sender_account_id"),
         "receiver_history": _history("receiver_account_id"),
         "layer_compare": _with(TX, SCORED, BATCH)

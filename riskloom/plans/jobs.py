@@ -6,7 +6,7 @@ import time
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.functions import uuid_from
@@ -51,7 +51,8 @@ def backfill(
     ).withColumnRenamed("raw", "value")
     path = f"{out}/speed_layer/staged/batch_id=backfill"
     decided = speed.decide_events(parsed, accounts, scorer, threshold, inputs)
-    scored, rejected = speed.stage(decided, path)
+    seen = Observation("backfill")
+    scored, rejected = speed.stage(decided, path, seen)
     speed.persist_staged(scored, rejected, out, "/batch_id=backfill", mode="overwrite")
     writers.write_predictions_csv(
         facts.scored_payload(scored, F.col("tx_timestamp")),
@@ -59,8 +60,7 @@ def backfill(
         "overwrite",
     )
     seconds = time.time() - start
-    # both from file footers
-    total = scored.count() + rejected.count()
+    total = seen.get["n_rows"]
     return {"rows": total, "seconds": seconds, "rows_per_second": total / seconds}
 
 

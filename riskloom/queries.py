@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import date, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from riskloom import fixtures as fx
@@ -434,6 +434,60 @@ def batch_results(spark, d):
     return rounded(out, "fraud_probability")
 
 
+def _stored(spark, d, table, made):
+    """A serving table as its files hold it: rows with file and place in it."""
+    folder = scratch_dir(spark, "clustered")
+    staged = facts.with_write_time(_decided(spark, d), F.timestamp_seconds("ts"))
+    writers.write_table(made(staged), folder, table)
+    return spark.read.parquet(folder).select(
+        "*",
+        F.col("_metadata.file_name").alias("_file"),
+        F.col("_metadata.row_index").alias("_place"),
+    )
+
+
+def _in_order(rows, keys):
+    """Whether each row's key is no less than that of the row before it in its file."""
+    here = F.struct(*[F.col(k) for k in keys])
+    before = F.lag(here).over(Window.partitionBy("_file").orderBy("_place"))
+    return F.coalesce(before <= here, F.lit(True)).alias("in_order")
+
+
+def _by_place(rows, key):
+    """The number of each row among those of its key, in the order they are stored."""
+    stored = Window.partitionBy(key).orderBy("_file", "_place")
+    return rows.select(
+        key, F.unix_timestamp("tx_timestamp").alias("ts"), "tx_id", F.row_number().over(stored).alias("nth")
+    )
+
+
+@query
+def clustered_transactions(spark, d):
+    rows = _stored(spark, d, "transactions", facts.tx_fact)
+    return rows.select("tx_id", _in_order(rows, ["tx_id"]))
+
+
+@query
+def clustered_alerts(spark, d):
+    rows = _stored(spark, d, "alerts", facts.alerts)
+    return rows.select("tx_id", "alert_id", _in_order(rows, ["alert_id"]))
+
+
+@query
+def clustered_by_sender(spark, d):
+    """Every row with its number in its sender's stored order, over all files."""
+    return _by_place(
+        _stored(spark, d, "transactions_by_sender", facts.tx_by_sender), "sender_account_id"
+    )
+
+
+@query
+def clustered_by_receiver(spark, d):
+    return _by_place(
+        _stored(spark, d, "transactions_by_receiver", facts.tx_by_receiver), "receiver_account_id"
+    )
+
+
 @query
 def sender_history(spark, d):
     out = windows.latest_per_key(fx.transactions(spark, d), "sender_account_id", 5)
@@ -580,6 +634,29 @@ def stream_score(spark, d):
     return rounded(out.select("tx_id", "score", "is_fraud"), "score")
 
 
+@query
+def stream_metrics(spark, d):
+    """What the stream observed of itself, summed over its micro-batches."""
+    events = (
+        fx.tune(spark)
+        .readStream.schema(fx.SCHEMAS["events"])
+        .option("pathGlobFilter", "events.parquet")
+        .parquet(d)
+    )
+    work = scratch_dir(spark, "metrics")
+    speed.run_speed_layer(
+        _speed_events(events),
+        lambda: fx.accounts(spark, d),
+        _speed_scorer,
+        fx.SPEED_THRESHOLD,
+        f"{work}/out",
+        f"{work}/checkpoint",
+        trigger={"availableNow": True},
+    ).awaitTermination()
+    observed = spark.read.parquet(f"{work}/out/speed_layer/metrics")
+    return observed.agg(*[F.sum(c).alias(c) for c in speed.COUNTED], F.max("last_ts").alias("last_ts"))
+
+
 # --- models, fitted on the whole tables by the jobs' own defaults ---
 
 

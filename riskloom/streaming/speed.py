@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
@@ -21,6 +21,8 @@ from riskloom.sinks import writers
 Scorer = Callable[[DataFrame], DataFrame]
 NO_ACCOUNT = "no_account"
 NO_SCORE = "no_score"
+COUNTED = ["n_rows", "n_scored", "n_rejected", "n_flagged"]
+METRICS = "batch long, n_rows long, n_scored long, n_rejected long, n_flagged long, last_ts long"
 
 
 def decide_events(
@@ -59,8 +61,24 @@ def decide_events(
     return facts.with_alert_id(decide_ge(scored, threshold)).drop("_found", "status")
 
 
-def stage(decided: DataFrame, path: str) -> tuple[DataFrame, DataFrame]:
-    """Fix decisions, ids and write time in one written table; read back ``(scored, rejected)``."""
+def stage(
+    decided: DataFrame, path: str, seen: Observation | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """Fix decisions, ids and write time in one written table; read back ``(scored, rejected)``.
+
+    ``seen`` observes the rows while they are written: the counts of ``COUNTED`` and the
+    latest event time, without a second look at anything.
+    """
+    done = F.col("reason").isNull()
+    if seen is not None:
+        decided = decided.observe(
+            seen,
+            F.count(F.lit(1)).alias("n_rows"),
+            F.count_if(done).alias("n_scored"),
+            F.count_if(~done).alias("n_rejected"),
+            F.count_if(done & F.col("is_fraud")).alias("n_flagged"),
+            F.max("ts").alias("last_ts"),
+        )
     ready = facts.with_write_time(decided).withColumn(
         "outcome", F.when(F.col("reason").isNull(), "scored").otherwise("rejected")
     )
@@ -113,14 +131,21 @@ def run_speed_layer(
     Accounts are loaded anew for every micro-batch, so new ones count at once. A
     micro-batch is evaluated once, into its staged table; the outputs are projections
     of that. After a failure the same offsets overwrite the same folders. Published
-    messages are repeated in that case and carry the same ids.
+    messages are repeated in that case and carry the same ids. What was observed of a
+    micro-batch is a row of the ``metrics`` table.
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         path = f"{out}/speed_layer/staged/batch_id={batch_id}"
         parsed = parse_events(batch, ts_unit=ts_unit)
         decided = decide_events(parsed, accounts(), scorer, threshold, inputs)
-        scored, rejected = stage(decided, path)
+        seen = Observation("speed")
+        scored, rejected = stage(decided, path, seen)
+        counts = seen.get
+        row = (batch_id, *[counts[c] for c in [*COUNTED, "last_ts"]])
+        batch.sparkSession.createDataFrame([row], METRICS).write.mode("overwrite").parquet(
+            f"{out}/speed_layer/metrics/batch_id={batch_id}"
+        )
         persist_staged(scored, rejected, out, f"/batch_id={batch_id}", publish_to=publish_to)
 
     return (

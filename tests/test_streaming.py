@@ -121,3 +121,19 @@ def test_operators_run_on_an_unbounded_frame(spark, sf_dir, tmp_path):
     batch = QUERIES["backfill"](spark, sf_dir)
     assert got.withColumn("score", F.round("score", 6)).exceptAll(batch.select("tx_id", "score")).count() == 0
     assert got.count() == batch.count()
+
+
+def test_metrics_are_observed_while_staging(spark, sf_dir, tmp_path):
+    """One look at the rows: the counts equal those of the staged table."""
+    from pyspark.sql import Observation
+
+    parsed = parse_events(fx.event_json(spark, sf_dir))
+    decided = speed.decide_events(parsed, fx.accounts(spark, sf_dir), scorer, 0.52)
+    seen = Observation("test")
+    scored, rejected = speed.stage(decided, f"{tmp_path}/staged", seen)
+    counts = seen.get
+    assert counts["n_scored"] == scored.count() and counts["n_rejected"] == rejected.count() > 0
+    assert counts["n_rows"] == 1000 and counts["n_flagged"] == scored.filter("is_fraud").count()
+    none = Observation("none")
+    speed.stage(decided.limit(0), f"{tmp_path}/none", none)
+    assert [none.get[c] for c in speed.COUNTED] == [0, 0, 0, 0] and none.get["last_ts"] is None
