@@ -3,7 +3,9 @@
 Labelled pages become transactions: the tokens of a URL and, for bad pages, a label
 token. Spark's FP-growth mines frequent combinations of all their tokens; those that lead
 to the label with enough support and confidence, and that no shorter rule already implies,
-are kept. Two reductions change no kept rule: tokens on too few bad pages for any rule are
+are kept. Confidence is judged against the share of bad pages among all labelled ones: a
+rule has to exceed it by the factor ``MIN_LIFT`` and by ``MIN_SIGMA`` standard deviations of
+a draw of as many pages; an absolute bound may be given instead. Two reductions change no kept rule: tokens on too few bad pages for any rule are
 left out, and tokens that always stand together are mined as one, as a rule with two of
 them is implied by the one with either; afterwards each takes the other's place. A
 page is matched through an inverted index: each rule hangs under its rarest token, and
@@ -13,8 +15,16 @@ first; the longest that fits decides.
 The number of mined rules is bounded by the supports, not by the pages; ``match_rules``
 checks it before it broadcasts the index, and joins by token beyond ``BROADCAST_RULES``.
 
+A label belongs to the page whose ``page_id`` is its ``doc_id``; pages without a label teach
+nothing. The deviation bound holds for one rule: where many combinations are tried and
+labels have nothing to do with URLs, about one in forty passes it by chance (raise
+``min_sigma`` to be stricter).
+
 NULL urls and urls without ``://`` have empty host and path and no tokens: they are
-allowed. Repeated pages are judged alike; conflicting labels of an id count as bad.
+allowed. Very long urls are tokens like any other. Repeated pages are judged alike;
+conflicting labels of an id count as bad. Without labels, or with bad ones only, no rule
+exceeds the share of all pages and none is mined. Columns other than ``page_id`` and ``url``
+are not read.
 """
 
 from __future__ import annotations
@@ -33,7 +43,8 @@ from riskloom.llm.common import LOWER, UPPER, land, session
 
 MIN_SUPPORT = 0.002  # of the labelled pages
 MIN_ROWS = 20  # a rule rests on so many bad pages at least
-MIN_CONFIDENCE = 0.6
+MIN_LIFT = 1.25  # confidence over the share of bad pages
+MIN_SIGMA = 2.0  # and by so many standard deviations of chance
 BROADCAST_RULES = 20_000
 BAD = "label:bad"
 
@@ -149,19 +160,25 @@ def token_classes(rows: DataFrame, least: int) -> dict[str, tuple[int, list[str]
 def mine_rules(
     rows: DataFrame,
     min_support: float = MIN_SUPPORT,
-    min_confidence: float = MIN_CONFIDENCE,
+    min_confidence: float | None = None,
     min_rows: int = MIN_ROWS,
+    min_lift: float = MIN_LIFT,
+    min_sigma: float = MIN_SIGMA,
 ) -> DataFrame:
     """Rules ``tokens -> bad``: tokens (sorted), key (the rarest of them), confidence, support.
 
-    ``rows`` has ``tokens`` and ``bad``. Runs FP-growth over all rows, in Spark.
+    ``rows`` has ``tokens`` and ``bad``. Runs FP-growth over all rows, in Spark. With
+    ``min_confidence`` that is the bound; without, ``min_lift`` and ``min_sigma`` bound the
+    confidence from below, against the share of bad rows.
     """
     spark = rows.sparkSession
     none = "tokens array<string>, key string, confidence double, support double"
     rows = land(rows.select("tokens", "bad"), "url-tokens")
-    n = rows.count()
+    n, n_bad = rows.agg(F.count(F.lit(1)), F.count_if("bad")).first()
+    share = n_bad / max(n, 1)
+    least = min(share * min_lift, 1.0) if min_confidence is None else min_confidence
     support = max(min_support, min_rows / max(n, 1))
-    if support > 1:
+    if support > 1 or (min_confidence is None and share == 1.0):
         return spark.createDataFrame([], none)
     classes = token_classes(rows, math.ceil(support * n))
     first = {t: name for name, (_, members) in classes.items() for t in members}
@@ -189,12 +206,17 @@ def mine_rules(
         ),
         "url-items",
     )
-    model = FPGrowth(minSupport=support, minConfidence=min_confidence, itemsCol="items").fit(
+    model = FPGrowth(minSupport=support, minConfidence=least, itemsCol="items").fit(
         tagged
     )
     rules = model.associationRules.filter(
         (F.size("consequent") == 1) & (F.col("consequent")[0] == BAD)
     ).select(F.sort_array("antecedent").alias("tokens"), "confidence", "support")
+    if min_confidence is None:
+        # a rule's support counts its bad pages, so support / confidence all its pages
+        pages = F.col("support") * n / F.col("confidence")
+        chance = F.sqrt(F.lit(share * (1 - share)) / pages)
+        rules = rules.filter(F.col("confidence") - share >= min_sigma * chance)
     landed = land(rules, "url-rules")
     # a rule is implied by a shorter one that is at least as sure
     long, short = landed.alias("l"), landed.alias("s")
@@ -279,7 +301,7 @@ def judge_urls(
     pages: DataFrame,
     labels: DataFrame,
     min_support: float = MIN_SUPPORT,
-    min_confidence: float = MIN_CONFIDENCE,
+    min_confidence: float | None = None,
     host_rules: Sequence[HostRule] = HOST_RULES,
 ) -> DataFrame:
     """page_id, host, path, rule, verdict, mined_rule, mined_confidence of every page."""

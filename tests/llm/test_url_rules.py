@@ -1,5 +1,10 @@
+import os
+import random
 from itertools import combinations
 
+import pytest
+from pyspark.sql import functions as F
+
 from riskloom.llm import url_rules as u
 
 PAGES = "page_id long, url string, html string, rule string"
@@ -103,3 +108,75 @@ def test_tokens_that_stand_together_take_each_others_place(spark):
     rows = spark.createDataFrame(list(zip(sets, bad)), "tokens array<string>, bad boolean")
     found = {tuple(r["tokens"]) for r in u.mine_rules(rows, 0.05, 0.6, min_rows=2).collect()}
     assert found == {(x, y) for x in "ab" for y in "cd"}
+
+
+def test_confidence_is_judged_against_the_share_of_bad_pages(spark):
+    # base share 0.26; "x" at 0.45 is far from 0.6 and still well above chance
+    sets = [["x"]] * 200 + [["y"]] * 700 + [["x", "w"]] * 100
+    bad = [i % 20 < 9 for i in range(200)] + [i % 5 == 0 for i in range(700)] + [i % 4 == 0 for i in range(100)]
+    rows = spark.createDataFrame(list(zip(sets, bad)), "tokens array<string>, bad boolean")
+    found = {tuple(r["tokens"]): r["confidence"] for r in u.mine_rules(rows).collect()}
+    assert found == {("x",): pytest.approx(115 / 300)}
+    assert u.mine_rules(rows, min_sigma=9).count() == 0
+    assert u.mine_rules(rows, min_lift=2).count() == 0
+    assert u.mine_rules(rows.withColumn("bad", F.lit(True))).count() == 0
+    assert u.mine_rules(rows.withColumn("bad", F.lit(False))).count() == 0
+
+
+def test_relative_rules_equal_brute_force(spark):
+    draw = random.Random(4)
+    sets = [sorted(draw.sample("abcdefg", draw.randrange(1, 5))) for _ in range(900)]
+    bad = [draw.random() < (0.7 if {"a", "b"} <= set(s) else 0.4 if "c" in s else 0.2) for s in sets]
+    rows = spark.createDataFrame(list(zip(sets, bad)), "tokens array<string>, bad boolean")
+    found = {tuple(r["tokens"]): r["confidence"] for r in u.mine_rules(rows).collect()}
+    share, want = sum(bad) / len(bad), {}
+    for k in range(1, 5):
+        for c in combinations("abcdefg", k):
+            have = [i for i, s in enumerate(sets) if set(c) <= set(s)]
+            hits = sum(bad[i] for i in have)
+            if hits < u.MIN_ROWS or hits / len(have) < u.MIN_LIFT * share:
+                continue
+            sure = hits / len(have)
+            chance = (share * (1 - share) / len(have)) ** 0.5
+            if sure - share >= u.MIN_SIGMA * chance:
+                if not any(set(w) < set(c) and v >= sure for w, v in want.items()):
+                    want[c] = sure
+    assert found == pytest.approx(want) and ("a", "b") in want
+
+
+def test_rules_hold_on_pages_that_were_not_mined(spark):
+    draw = random.Random(8)
+    urls = [
+        f"https://{draw.choice(['casino', 'garden', 'news', 'school'])}.example.org/en/{draw.choice(['bets', 'win', 'a', 'b'])}/{i}"
+        for i in range(1600)
+    ]
+    chance = [0.15 + 0.35 * ("casino" in x) + 0.3 * ("/bets/" in x) for x in urls]
+    bad = [draw.random() < c for c in chance]
+    labels = spark.createDataFrame(
+        [(i, int(not b), 0) for i, b in enumerate(bad) if i % 2], "doc_id long, quality int, toxic int"
+    )
+    judged = u.judge_urls(pages(spark, urls), labels).collect()
+    new = [r for r in judged if r["page_id"] % 2 == 0]
+    blocked = [r for r in new if r["verdict"] == "block"]
+    share = sum(bad[r["page_id"]] for r in new) / len(new)
+    assert blocked and all(r["mined_rule"] for r in blocked)
+    assert sum(bad[r["page_id"]] for r in blocked) / len(blocked) > 1.5 * share
+
+
+def test_very_long_and_repeated_urls(spark):
+    long = "https://a.example.org/" + "/".join(f"w{i}x" for i in range(20_000))
+    labels = spark.createDataFrame([(0, 0, 0), (1, 1, 0)], "doc_id long, quality int, toxic int")
+    rows = u.judge_urls(pages(spark, [long, long, None, ""]).union(pages(spark, [long])), labels).collect()
+    assert len(rows) == 5 and {r["verdict"] for r in rows} == {"allow"}
+
+
+def test_given_tables_yield_rules(spark):
+    d = "/root/testdata/sf0.1"
+    if not os.path.exists(d):
+        pytest.skip("no test tables")
+    judged = u.judge_urls(
+        spark.read.parquet(f"{d}/pages.parquet"), spark.read.parquet(f"{d}/labels.parquet")
+    ).collect()
+    mined = [r for r in judged if r["mined_rule"] is not None]
+    assert 0 < len(mined) < len(judged)
+    assert any(r["rule"] is None and r["verdict"] == "block" for r in mined)
