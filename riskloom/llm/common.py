@@ -66,11 +66,23 @@ def schema_with(df: DataFrame, added: str) -> T.StructType:
     return T.StructType([*df.schema.fields, *T.StructType.fromDDL(added).fields])
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """``names``, each with as many underscores more as no column of ``df`` has them."""
+    taken, found = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        found.append(name)
+    return found
+
+
 def keep_where(df: DataFrame, condition: Column) -> DataFrame:
     """The rows where ``condition`` holds, evaluated above the columns it uses.
 
     A filter on computed columns is otherwise pushed below them, and each of its mentions
     of a column becomes one more evaluation of what made it.
     """
-    here = df.withColumn("_here", F.monotonically_increasing_id())
-    return here.filter(condition & (F.col("_here") >= 0)).drop("_here")
+    (name,) = fresh(df, "_here")
+    here = df.withColumn(name, F.monotonically_increasing_id())
+    return here.filter(condition & (F.col(name) >= 0)).drop(name)

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import ascii_lower, land, session
+from riskloom.llm.common import ascii_lower, fresh, land, session
 
 WINDOW = 10
 SHINGLE = 3
@@ -188,11 +188,12 @@ def _placed(k: int) -> Column:
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """The rows of ``docs`` without those that hold a benchmark window."""
+    id_, hash_ = fresh(docs, "_id", "_hash")
     bad = (
         contamination(docs, benchmark, window)
         .filter("n_hit > 0")
-        .select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
+        .select(F.col("doc_id").alias(id_), F.col("text_hash").alias(hash_))
         .distinct()
     )
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_hash"))
+    same = F.col("doc_id").eqNullSafe(F.col(id_)) & (F.xxhash64("text") == F.col(hash_))
     return docs.join(bad, same, "left_anti")

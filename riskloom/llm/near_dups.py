@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import land, session
+from riskloom.llm.common import fresh, land, session
 
 SHINGLE = 5
 PERCENT = 80
@@ -421,13 +421,14 @@ def _class_texts(docs: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
 
 def deduplicate(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """The rows of ``docs`` that are kept, one of each group, with their columns."""
+    own, id_, hash_ = fresh(docs, "_th", "_id", "_hash")
     kept = (
-        near_duplicates(docs, shingle, percent)
+        near_duplicates(docs.select("doc_id", "text"), shingle, percent)
         .filter("kept AND doc_id IS NOT NULL")
-        .select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), F.col("component_id").alias("_group"))
+        .select(F.col("doc_id").alias(id_), F.col("text_hash").alias(hash_))
         .distinct()
     )
-    hashed = docs.withColumn("_th", F.xxhash64("text"))
-    with_id = hashed.join(kept, (F.col("doc_id") == F.col("_id")) & (F.col("_th") == F.col("_hash")))
-    chosen = with_id.dropDuplicates(["doc_id", "_th"]).select(*docs.columns)
+    hashed = docs.withColumn(own, F.xxhash64("text"))
+    with_id = hashed.join(kept, (F.col("doc_id") == F.col(id_)) & (F.col(own) == F.col(hash_)))
+    chosen = with_id.dropDuplicates(["doc_id", own]).drop(own, id_, hash_)
     return chosen.unionByName(docs.filter("doc_id IS NULL"))

@@ -7,7 +7,9 @@ judged anew without reading a text. Ablations fold the ledger to its distinct bi
 (at most 2^rules) and compare those with the policies bit by bit.
 
 A NULL or empty text has no words: it fails ``few_words`` and nothing else. Columns of
-the input named like a result column are replaced. Repeated rows are judged alike.
+the input named like a result column are replaced, all others stay (``passing`` gives all
+columns back as they were). Repeated rows are judged alike. A very long text is measured as
+a whole, in the memory of a few copies of it.
 """
 
 from __future__ import annotations
@@ -17,7 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import let, words
+from riskloom.llm.common import fresh, keep_where, let, words
 
 MEASURES = [
     "n_words",
@@ -76,35 +78,35 @@ def _repeated(hashes: Column) -> Column:
 
 def measure(docs: DataFrame, text: str = "text") -> DataFrame:
     """Add the measurements (long) of every text."""
-    split = docs.drop(*MEASURES).withColumn("_words", words(F.col(text)))
-    windows = F.slice("_words", F.lit(1), F.greatest(F.size("_words") - 2, F.lit(0)))
+    w, chars, lines, grams = fresh(docs, "_words", "_chars", "_lines", "_windows")
+    split = docs.drop(*MEASURES).withColumn(w, words(F.col(text)))
+    starts = F.slice(w, F.lit(1), F.greatest(F.size(w) - 2, F.lit(0)))
     joined = split.withColumns(
         {
-            "_chars": F.array_join("_words", ""),
-            "_lines": F.filter(
+            chars: F.array_join(w, ""),
+            lines: F.filter(
                 F.split(F.coalesce(F.col(text), F.lit("")), "\n"), lambda x: x.rlike(NOT_BLANK)
             ),
-            "_windows": F.transform(
-                windows,
-                lambda w, i: F.xxhash64(w, F.get("_words", i + 1), F.get("_words", i + 2)),
+            grams: F.transform(
+                starts, lambda x, i: F.xxhash64(x, F.get(w, i + 1), F.get(w, i + 2))
             ),
         }
     )
 
     def lost(pattern: str) -> Column:
-        return F.char_length("_chars") - F.char_length(F.regexp_replace("_chars", pattern, ""))
+        return F.char_length(chars) - F.char_length(F.regexp_replace(chars, pattern, ""))
 
     found = {
-        "n_words": F.size("_words"),
-        "word_chars": F.char_length("_chars"),
+        "n_words": F.size(w),
+        "word_chars": F.char_length(chars),
         "n_symbols": lost(SYMBOLS),
-        "n_lines": F.size("_lines"),
-        "n_dup_lines": F.size("_lines") - F.size(F.array_distinct("_lines")),
-        "n_repeat_words": _repeated(F.col("_windows")),
+        "n_lines": F.size(lines),
+        "n_dup_lines": F.size(lines) - F.size(F.array_distinct(lines)),
+        "n_repeat_words": _repeated(F.col(grams)),
         "n_upper": lost(r"\p{Lu}+"),
     }
     return joined.withColumns({k: v.cast("long") for k, v in found.items()}).drop(
-        "_words", "_chars", "_lines", "_windows"
+        w, chars, lines, grams
     )
 
 
@@ -132,6 +134,13 @@ def judge(rows: DataFrame) -> DataFrame:
     return rows.withColumns({"base_failed": failed(BASE), "kept": ~failed(CURRENT)})
 
 
+def passing(docs: DataFrame, text: str = "text") -> DataFrame:
+    """The rows of ``docs`` that the current policy keeps, with all their own columns."""
+    # the measures must not take the place of columns with their names
+    packed = docs.select(F.struct("*").alias("_doc"), F.col(text).alias("text"))
+    return keep_where(judge(ledger(packed)), F.col("kept")).select("_doc.*")
+
+
 def ablation(
     rows: DataFrame, policies: dict[str, tuple[str, ...]] = POLICIES, rules=RULES
 ) -> DataFrame:

@@ -139,7 +139,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAIN)
     sample = each.filter(F.pmod(F.xxhash64("doc_id"), F.lit(HASH_CELLS)) < cells)
     # about max_rows rows of two numbers
     wanted = F.broadcast(sample.withColumnRenamed("doc_id", "_id"))
-    return docs.join(wanted, F.col("doc_id") == F.col("_id")).select(
+    return docs.select("doc_id", "text").join(wanted, F.col("doc_id") == F.col("_id")).select(
         "label", statistics(F.col("text")).alias("s")
     )
 

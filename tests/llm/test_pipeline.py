@@ -4,6 +4,7 @@ import random
 import zlib
 
 import pytest
+from pyspark.sql import functions as F
 from test_decontaminate import expected as contaminated
 from test_near_dups import expected as components
 
@@ -68,6 +69,26 @@ def test_stages_return_the_columns_of_documents(spark, folder):
         assert stage(spark, docs, folder[0]).columns == docs.columns
 
 
+CLASHING = [
+    "_id", "_hash", "_th", "_words", "_w", "_lines", "_here", "_here_", "_doc", "_score",
+    "label", "n_words", "n_lines", "kept", "fail_bits", "digest", "component_id", "text_hash",
+]
+
+
+def test_columns_with_names_of_the_operators_stay_as_they_are(spark, folder):
+    docs = table(spark, folder[0], "documents")
+    more = docs.withColumns({c: F.concat(F.lit(f"{c} of "), "doc_id") for c in CLASHING})
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        plain, out = stage(spark, docs, folder[0]), stage(spark, more, folder[0])
+        assert out.columns == more.columns, name
+        rows = out.collect()
+        key = lambda r: (r["doc_id"] or -1, r["text"] or "")
+        assert sorted(map(key, rows)) == sorted(map(key, plain.collect())), name
+        for r in rows:
+            for c in CLASHING:
+                assert r[c] == (None if r["doc_id"] is None else f"{c} of {r['doc_id']}"), name
+
+
 def test_empty_documents(spark, folder, tmp_path):
     docs = table(spark, folder[0], "documents").limit(0)
     for _, stage in corpus_pipeline.STAGES:
