@@ -12,21 +12,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.llm import decontaminate, near_dups, pieces, quality_rules, rule_ensemble
-from riskloom.llm.common import keep_where, session, table
+from riskloom.llm.common import fresh, keep_where, session, table
 from riskloom.session import scratch_dir
 
 
 def classified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the rule ensemble takes for good ones."""
     model = rule_ensemble.fit(docs, table(spark, sf_dir, "labels"))
-    good = docs.withColumn("_score", model.score(F.col("text")))
-    return keep_where(good, F.col("_score") >= rule_ensemble.THRESHOLD).drop("_score")
+    (score,) = fresh(docs, "_score")
+    good = docs.withColumn(score, model.score(F.col("text")))
+    return keep_where(good, F.col(score) >= rule_ensemble.THRESHOLD).drop(score)
 
 
 def ruled(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the current policy of the quality rules."""
-    judged = quality_rules.judge(quality_rules.ledger(docs))
-    return keep_where(judged, F.col("kept")).select(*docs.columns)
+    return quality_rules.passing(docs)
 
 
 def deduplicated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
