@@ -23,6 +23,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from riskloom.llm.common import land
+
 # shortest payload worth a revisit record
 MIN_BYTES = 1000
 END = "\r\n"
@@ -228,22 +230,24 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
 
 
 def resolve_archives(records: DataFrame) -> DataFrame:
-    """Revisits with the payload columns of the response they refer to."""
-    originals = (
-        records.filter("record_type = 'response'")
-        .groupBy(F.col("payload_digest").alias("_d"), F.col("page_id").alias("_p"))
-        .agg(F.max("payload_bytes").alias("_bytes"))
-    )
-    joined = records.join(
-        originals,
-        (F.col("refers_digest") == F.col("_d")) & (F.col("refers_to") == F.col("_p")),
-        "left",
-    )
-    return joined.select(
-        "page_id",
-        F.coalesce("payload_bytes", "_bytes").alias("payload_bytes"),
-        F.coalesce("payload_digest", "_d").alias("payload_digest"),
-        "record_type",
-        "refers_to",
-        "url",
+    """Revisits with the payload columns of the response they refer to.
+
+    Archives are parsed once: the records, without payloads, are landed. Only revisits are
+    joined; a response knows its own payload.
+    """
+    found = land(records, "warc-records")
+    responses = found.filter("record_type = 'response'")
+    originals = responses.groupBy(
+        F.col("payload_digest").alias("_d"), F.col("page_id").alias("_p")
+    ).agg(F.max("payload_bytes").alias("_bytes"))
+    resolved = (
+        found.filter("record_type = 'revisit'")
+        .join(
+            originals,
+            (F.col("refers_digest") == F.col("_d")) & (F.col("refers_to") == F.col("_p")),
+            "left",
+        )
+        .withColumns({"payload_bytes": F.col("_bytes"), "payload_digest": F.col("_d")})
     )
+    columns = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url"]
+    return responses.select(*columns).unionByName(resolved.select(*columns))

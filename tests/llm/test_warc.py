@@ -96,3 +96,23 @@ def test_parts_whose_last_payload_ends_in_line_ends(spark, tmp_path, end):
     assert sorted((r["page_id"], r["payload_bytes"]) for r in found) == [
         (i, len(html)) for i, _, html, _ in rows
     ]
+
+
+def test_only_revisits_are_joined(spark, tmp_path):
+    """Responses have no digest to join by: they would all meet in one task."""
+    path = str(tmp_path / "warc")
+    warc.write_archives(spark.createDataFrame(ROWS, PAGES), path)
+    plan = warc.resolve_archives(warc.read_archives(spark, path))._jdf.queryExecution()
+    left = plan.optimizedPlan().toString().split("Join LeftOuter")[1].split("Aggregate")[0]
+    assert "= revisit" in left and "MapInArrow" not in plan.optimizedPlan().toString()
+
+
+def test_very_long_page(spark, tmp_path):
+    html = "<p>long\r\n\r\n" * 300_000
+    _, found = run(spark, tmp_path, [(1, "u", html, None), (2, "u", html, None), (3, "u", "x", None)])
+    want = hashlib.sha1(html.encode()).hexdigest()
+    assert sorted((r["page_id"], r["record_type"], r["payload_digest"] == want) for r in found) == [
+        (1, "revisit", True),
+        (2, "response", True),
+        (3, "response", False),
+    ]
