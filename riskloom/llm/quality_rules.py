@@ -52,6 +52,7 @@ RULES = (
 )
 POLICIES = {
     "base-1": ("few_words", "repeated_words"),
+    "base-2": ("few_words", "repeated_words", "repeated_lines"),
     "text-1": tuple(r.name for r in RULES),
 }
 BASE, CURRENT = "base-1", "text-1"

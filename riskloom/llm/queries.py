@@ -24,7 +24,7 @@ from riskloom.llm import (
     url_rules,
     warc,
 )
-from riskloom.llm.common import table
+from riskloom.llm.common import land, table
 from riskloom.llm.sql import SQL
 from riskloom.session import scratch_dir
 
@@ -42,7 +42,14 @@ def query(fn: Query) -> Query:
 @query
 def op1_quality_ledger(spark, d):
     docs = table(spark, d, "documents").select("doc_id", "text")
-    return quality_rules.judge(quality_rules.ledger(docs)).drop("text")
+    return quality_rules.judge(land(quality_rules.ledger(docs).drop("text"), "ledger"))
+
+
+@query
+def ledger_ablation(spark, d):
+    """What every rule of every policy version rejects, from the bits of a stored ledger."""
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    return quality_rules.ablation(land(quality_rules.ledger(docs).drop("text"), "ledger"))
 
 
 @query

@@ -40,6 +40,20 @@ WITH d AS (
 SELECT *, (fail_bits & 3) <> 0 AS base_failed, fail_bits = 0 AS kept FROM b
 """
 
+SQL["ledger_ablation"] = f"""
+WITH j AS ({SQL["op1_quality_ledger"]}),
+bits(rule, bit) AS (
+  VALUES ('few_words', 1), ('repeated_words', 2), ('symbols', 4), ('repeated_lines', 8),
+         ('shouting', 16), ('short_words', 32), ('long_words', 64)
+), policies(policy, everything) AS (VALUES ('base-1', 3), ('base-2', 11), ('text-1', 127))
+SELECT policy, rule,
+       CAST(coalesce(sum(CAST((fail_bits & bit) <> 0 AS INT)), 0) AS BIGINT) AS n_failed,
+       CAST(coalesce(sum(CAST((fail_bits & everything) = bit AS INT)), 0) AS BIGINT) AS n_only,
+       CAST(coalesce(sum(CAST((fail_bits & everything) = 0 AS INT)), 0) AS BIGINT) AS n_kept
+FROM policies JOIN bits ON (everything & bit) <> 0 CROSS JOIN j
+GROUP BY policy, rule
+"""
+
 SQL["op9_warc_revisits"] = """
 WITH p AS (
   SELECT page_id, coalesce(html, '') AS html, CAST(strlen(coalesce(html, '')) AS BIGINT) AS n

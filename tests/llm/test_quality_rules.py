@@ -5,7 +5,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from riskloom.llm import quality_rules as q
-from riskloom.llm.common import keep_where
+from riskloom.llm.common import keep_where, land
 from pyspark.sql import functions as F
 
 
@@ -73,3 +73,25 @@ def test_keep_where_does_not_repeat_work(spark):
     kept = keep_where(q.judge(q.ledger(edge_docs(spark))), F.col("kept"))
     plan = kept._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("split(") <= 4
+
+
+def test_a_stored_ledger_is_judged_by_later_versions(spark):
+    """A new version of a policy needs the bits only, not the texts."""
+    lines = "\n".join([" ".join(f"word{i}" for i in range(30))] * 3)
+    df = spark.createDataFrame([(1, lines), (2, "few"), (3, None)], "doc_id long, text string")
+    stored = land(q.ledger(df).select("doc_id", "fail_bits"), "ledger-test")
+    found = stored.select("doc_id", *[q.failed(p).alias(p) for p in ("base-1", "base-2")])
+    assert sorted(map(tuple, found.collect())) == [(1, True, True), (2, True, True), (3, True, True)]
+    one = spark.createDataFrame([(8,), (0,)], "fail_bits long")
+    assert [tuple(r) for r in one.select(q.failed("base-1"), q.failed("base-2")).collect()] == [
+        (False, True),
+        (False, False),
+    ]
+
+
+def test_input_columns_with_work_names_stay(spark):
+    df = edge_docs(spark).withColumns({c: F.lit(c) for c in ("_words", "_chars", "_lines", "_windows")})
+    row = q.ledger(df).filter("doc_id = 1").first()
+    assert [row[c] for c in ("_words", "_chars", "_lines", "_windows")] == ["_words", "_chars", "_lines", "_windows"]
+    out = q.passing(df)
+    assert out.columns == df.columns
