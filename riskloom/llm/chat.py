@@ -13,7 +13,8 @@ The 128 bits of both hashes, the turn number and the count of turns make up the
 Rows without conversation id belong to no conversation and are left out; repeated rows
 count once; several texts under one turn number are all part of that turn, in the order
 of role and text. NULL roles and texts are rendered as empty, NULL turn numbers come
-first.
+first. Marks that a role or text itself holds are made inert, so that no text can pass for
+another turn; very long texts are rendered whole.
 """
 
 from __future__ import annotations
@@ -113,7 +114,11 @@ def maximal(turns: DataFrame) -> DataFrame:
 
 
 def rendered_turn(role: Column, text: Column) -> Column:
-    return F.concat(F.lit("<|"), role, F.lit("|>\n"), text, F.lit("<|end|>\n"))
+    """A turn between marks. A mark's opening inside a text gets a backslash more after its
+    ``<``, a mark's closing inside a role one after its ``|``; a reader takes them off."""
+    inert_text = F.regexp_replace(text, r"<(\\*)\|", r"<\\$1|")
+    inert_role = F.regexp_replace(role, r"\|(\\*)>", r"|\\$1>")
+    return F.concat(F.lit("<|"), inert_role, F.lit("|>\n"), inert_text, F.lit("<|end|>\n"))
 
 
 def render(turns: DataFrame) -> DataFrame:

@@ -132,7 +132,7 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
 FROM d LEFT JOIN c USING (r) LEFT JOIN t USING (r)
 """
 
-SQL["op8_chat_snapshots"] = """
+SQL["op8_chat_snapshots"] = r"""
 WITH t AS (
   SELECT DISTINCT conv_id, coalesce(turn, -4611686018427387904) AS pos,
          coalesce(role, '') AS role, coalesce(text, '') AS text
@@ -152,7 +152,8 @@ WITH t AS (
   WHERE conv_id = least AND h NOT IN (SELECT h FROM p WHERE pos < top)
 ), b AS (
   SELECT conv_id, CAST(floor(pos / 256) AS BIGINT) AS block, count(*) AS n_turns,
-         string_agg('<|' || role || '|>' || chr(10) || text || '<|end|>' || chr(10), ''
+         string_agg('<|' || regexp_replace(role, '\|(\\*)>', '|\\\1>', 'g') || '|>' || chr(10)
+                    || regexp_replace(text, '<(\\*)\|', '<\\\1|', 'g') || '<|end|>' || chr(10), ''
                     ORDER BY pos, role, text) AS s
   FROM t WHERE conv_id IN (SELECT conv_id FROM k) GROUP BY ALL
 )
