@@ -148,7 +148,7 @@ def linked(a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> bool:
 
 
 def sketched(docs: DataFrame, shingle: int) -> DataFrame:
-    """doc_id, text_hash, n_shingles, digest, bands, planes; the last three NULL for no words."""
+    """doc_id, text_hash, n_shingles, digest, bands; the last two NULL for no words."""
     schema = pa.schema(
         [
             ("doc_id", pa.int64()),
@@ -156,35 +156,30 @@ def sketched(docs: DataFrame, shingle: int) -> DataFrame:
             ("n_shingles", pa.int64()),
             ("digest", pa.binary()),
             ("bands", pa.list_(pa.int64())),
-            ("planes", pa.list_(pa.int64())),
         ]
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, digests, bands, planes = [], [], [], []
-            seen: dict[bytes | None, tuple] = {None: (None, None)}
+            sizes, digests, bands = [], [], []
+            seen: dict[bytes | None, np.ndarray | None] = {None: None}
             for text in batch.column(2).to_pylist():
                 found = shingle_set(text, shingle)
                 sizes.append(len(found))
                 digest = set_digest(found) if len(found) else None
                 if digest and digest not in seen:
-                    bins = sketch(found)
-                    seen[digest] = band_keys(bins), bit_planes(bins)
+                    seen[digest] = band_keys(sketch(found))
                 digests.append(digest)
-                bands.append(seen[digest][0])
-                planes.append(seen[digest][1])
+                bands.append(seen[digest])
             columns = [batch.column(0), batch.column(1)]
-            for values, field in zip((sizes, digests, bands, planes), list(schema)[2:]):
+            for values, field in zip((sizes, digests, bands), list(schema)[2:]):
                 columns.append(pa.array(values, field.type))
             yield pa.RecordBatch.from_arrays(columns, schema=schema)
 
     return docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text"
     ).mapInArrow(
-        run,
-        "doc_id long, text_hash long, n_shingles long, digest binary, bands array<long>, "
-        "planes array<long>",
+        run, "doc_id long, text_hash long, n_shingles long, digest binary, bands array<long>"
     )
 
 
@@ -262,18 +257,18 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def class_links(
-    classes: DataFrame, members: DataFrame, texts: DataFrame, shingle: int, percent: int
+    members: DataFrame, texts: DataFrame, shingle: int, percent: int
 ) -> DataFrame | None:
     """node, root of the classes that are linked.
 
-    ``classes``: digest, n, bands, planes; ``members``: bucket, digest, n, of the buckets
-    of several classes; ``texts``: digest, text of their classes.
+    ``members``: bucket, digest, n, of the buckets of several classes; ``texts``: digest,
+    text, bands, planes of their classes.
     """
     if members.isEmpty():
         return None
     enough = least_agreement(percent)
     sizes_fit = lambda n, m: 100 * F.least(n, m) >= percent * F.greatest(n, m)
-    planes = classes.select("digest", "planes")
+    planes = texts.select("digest", "planes")
     tried: list[DataFrame] = []
     roots: DataFrame | None = None
 
@@ -282,7 +277,7 @@ def class_links(
         nonlocal roots
         if tried:
             pairs = pairs.join(reduce(DataFrame.union, tried), ["a", "b"], "left_anti")
-        result = land(verified(pairs, texts, shingle, percent), "verified")
+        result = land(verified(pairs, texts.select("digest", "text"), shingle, percent), "verified")
         new = result.filter("link").select("a", "b")
         tried.append(result.select("a", "b").union(result.select("b", "a")))
         if roots is None:
@@ -329,7 +324,7 @@ def class_links(
         F.max_by("root", F.struct("k", "root")).alias("main"), F.count(F.lit(1)).alias("parts")
     )
     several = main.filter("parts > 1").drop("parts")
-    kept = classes.select("digest", "bands", "planes")
+    kept = texts.select("digest", "bands", "planes")
     left = land(rooted.join(several, "bucket").join(kept, "digest"), "left")
     outside = left.filter("root != main").alias("x")
     inside = left.alias("y")
@@ -360,22 +355,19 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
             F.min("doc_id").alias("first_id"),
             F.min("n_shingles").alias("n"),
             F.any_value("bands").alias("bands"),
-            F.any_value("planes").alias("planes"),
             F.count(F.lit(1)).alias("copies"),
         ),
         "classes",
     )
     banded = classes.select("digest", "n", F.explode("bands").alias("bucket"))
+    # a class has a row of its own, so two rows are two classes
     shared = (
-        banded.groupBy("bucket")
-        .agg(F.min("digest").alias("lo"), F.max("digest").alias("hi"))
-        .filter("lo != hi")
-        .select("bucket")
+        banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("bucket")
     )
     members = land(banded.join(shared, "bucket", "left_semi"), "buckets")
     wanted = members.select("digest").distinct().join(classes.select("digest", "first_id"), "digest")
     texts = land(_class_texts(docs, wanted, shingle), "texts")
-    roots = class_links(classes, members, texts, shingle, percent)
+    roots = class_links(members, texts, shingle, percent)
     copies = classes.filter("copies > 1").select("digest", "first_id")
     if roots is None:
         groups = copies.select("digest", F.col("first_id").alias("component_id"))
@@ -391,7 +383,7 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
             "digest", F.col("first_id").alias("component_id")
         )
         groups = in_links.union(alone)
-    joined = rows.drop("bands", "planes").join(groups, "digest", "left")
+    joined = rows.drop("bands").join(groups, "digest", "left")
     member = F.col("doc_id").isNotNull() & F.col("component_id").isNotNull()
     return joined.select(
         "doc_id",
@@ -403,20 +395,37 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
 
 
 def _class_texts(docs: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
-    """digest, text of the classes in ``wanted`` (digest, first_id): one text each."""
+    """digest, text, bands, planes of the classes in ``wanted`` (digest, first_id): one text each.
+
+    Sketches are wide, and most classes share no bucket: theirs are never shuffled whole.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            names, texts = (batch.column(k).to_pylist() for k in range(2))
-            right = [set_digest(shingle_set(t, shingle)) == n for n, t in zip(names, texts)]
-            yield batch.filter(pa.array(right, pa.bool_()))
+            right, bands, planes = [], [], []
+            for name, text in zip(*(batch.column(k).to_pylist() for k in range(2))):
+                found = shingle_set(text, shingle)
+                right.append(set_digest(found) == name)
+                if right[-1]:
+                    bins = sketch(found)
+                    bands.append(band_keys(bins))
+                    planes.append(bit_planes(bins))
+            kept = batch.filter(pa.array(right, pa.bool_()))
+            columns = [*kept.columns, *(pa.array(c, pa.list_(pa.int64())) for c in (bands, planes))]
+            yield pa.RecordBatch.from_arrays(columns, names=["digest", "text", "bands", "planes"])
 
     found = docs.select(F.col("doc_id").cast("long").alias("first_id"), "text").join(
         wanted, "first_id"
     )
     # an id may stand for several texts
-    checked = found.select("digest", "text").mapInArrow(run, "digest binary, text string")
-    return checked.groupBy("digest").agg(F.min("text").alias("text"))
+    checked = found.select("digest", "text").mapInArrow(
+        run, "digest binary, text string, bands array<long>, planes array<long>"
+    )
+    return checked.groupBy("digest").agg(
+        F.min("text").alias("text"),
+        F.any_value("bands").alias("bands"),
+        F.any_value("planes").alias("planes"),
+    )
 
 
 def deduplicate(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:

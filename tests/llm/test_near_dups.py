@@ -124,3 +124,15 @@ def test_components_of_a_long_path(spark):
     df = spark.createDataFrame(edges, "a binary, b binary")
     found = {bytes(r["node"]): bytes(r["root"]) for r in n.components(df).collect()}
     assert found == {bytes([i]): b"\x00" for i in range(41)} | {b"\xf0": b"\xf0", b"\xf1": b"\xf0"}
+
+
+def test_wide_sketches_are_made_for_classes_with_bucket_mates_only(spark, monkeypatch):
+    landed, land = {}, n.land
+    monkeypatch.setattr(n, "land", lambda df, label: landed.setdefault(label, land(df, label)))
+    texts = [" ".join(f"t{i}w{j}" for j in range(20)) for i in range(30)]
+    texts += [texts[0] + " more", texts[0].upper(), texts[1] + " more"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r["doc_id"]: r["component_id"] for r in n.near_duplicates(df, shingle=4).collect()}
+    assert found == {i: i for i in range(30)} | {30: 0, 31: 0, 32: 1}
+    assert "planes" not in landed["sketches"].columns and "planes" not in landed["classes"].columns
+    assert landed["classes"].count() == 32 and landed["texts"].filter("planes IS NOT NULL").count() == 4
