@@ -1,4 +1,5 @@
 import random
+import time
 
 import numpy as np
 from cases import EDGE, ascii_lower, edge_docs, no_docs, words
@@ -136,3 +137,23 @@ def test_wide_sketches_are_made_for_classes_with_bucket_mates_only(spark, monkey
     assert found == {i: i for i in range(30)} | {30: 0, 31: 0, 32: 1}
     assert "planes" not in landed["sketches"].columns and "planes" not in landed["classes"].columns
     assert landed["classes"].count() == 32 and landed["texts"].filter("planes IS NOT NULL").count() == 4
+
+
+def shuffle_files(spark):
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    files = spark._jvm.scala.jdk.javaapi.CollectionConverters.asJava(disk.getAllFiles())
+    return {f.getName() for f in files if f.getName().startswith("shuffle_")}
+
+
+def test_landing_leaves_no_shuffle_files(spark):
+    from riskloom.llm import common
+
+    before, wanted = shuffle_files(spark), spark.conf.get(common.SHUFFLE_CLEANUP)
+    df = spark.range(1000, numPartitions=4).groupBy((n.F.col("id") % 7).alias("k")).count()
+    landed = common.land(df, "groups")
+    deadline = time.time() + 20
+    while shuffle_files(spark) - before and time.time() < deadline:
+        time.sleep(0.2)
+    assert not shuffle_files(spark) - before
+    assert landed.count() == 7 and df.count() == 7
+    assert spark.conf.get(common.SHUFFLE_CLEANUP) == wanted
