@@ -16,6 +16,7 @@ from riskloom.operators import facts
 from riskloom.operators.enrich import ACCOUNT_COLUMNS, join_accounts
 from riskloom.operators.score import add_model_features, decide_ge
 from riskloom.operators.validate import VALID, parse_events
+from riskloom.session import apart
 from riskloom.sinks import writers
 
 Scorer = Callable[[DataFrame], DataFrame]
@@ -71,7 +72,7 @@ def stage(
     """
     done = F.col("reason").isNull()
     if seen is not None:
-        decided = decided.observe(
+        decided = apart(decided).observe(
             seen,
             F.count(F.lit(1)).alias("n_rows"),
             F.count_if(done).alias("n_scored"),

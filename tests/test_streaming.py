@@ -137,3 +137,26 @@ def test_metrics_are_observed_while_staging(spark, sf_dir, tmp_path):
     none = Observation("none")
     speed.stage(decided.limit(0), f"{tmp_path}/none", none)
     assert [none.get[c] for c in speed.COUNTED] == [0, 0, 0, 0] and none.get["last_ts"] is None
+
+
+def test_observing_leaves_the_session_fit_for_new_models(spark, tmp_path):
+    """A model with its training summary takes the session along to the tasks."""
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.functions import array_to_vector
+    from pyspark.sql import Observation
+
+    rows = spark.range(40).select(
+        F.col("id").alias("tx_id"),
+        F.col("id").alias("ts"),
+        F.lit(None).cast("string").alias("reason"),
+        (F.col("id") % 2 == 0).alias("is_fraud"),
+    )
+    seen = Observation("left")
+    speed.stage(rows, f"{tmp_path}/staged", seen)
+    assert seen.get["n_rows"] == 40 and seen.get["n_flagged"] == 20
+    points = rows.select(
+        array_to_vector(F.array(F.col("ts").cast("double"))).alias("features"),
+        (F.col("ts") % 7 > 3).cast("int").alias("label"),
+    )
+    model = LogisticRegression(maxIter=2).fit(points)
+    assert model.transform(points).filter("prediction >= 0").count() == 40
